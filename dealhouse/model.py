@@ -27,11 +27,25 @@ class Model:
         self.run_ts = run_ts
         self.data_date = run_ts.date()
 
+        self._raw: dict[str, DataFrame] = {}
+        self._staged: dict[str, DataFrame] = {}
+
     def raw(self, name: str) -> DataFrame:
-        return RAW_BUILDERS[name](self.tables)
+        if name not in self._raw:
+            self._raw[name] = RAW_BUILDERS[name](self.tables)
+        return self._raw[name]
 
     def staged(self, name: str) -> DataFrame:
-        return stg.STAGERS[name](self.raw(name))
+        if name not in self._staged:
+            self._staged[name] = stg.STAGERS[name](self.raw(name))
+        return self._staged[name]
+
+    def check_tables(self) -> dict[str, DataFrame]:
+        """Inputs of the check catalogue: staged entities, raw views, geography."""
+        out = {n: self.staged(n) for n in stg.STAGERS}
+        out.update({f"raw_{n}": self.raw(n) for n in RAW_BUILDERS})
+        out["nation"] = self.tables.nation
+        return out
 
     @cached_property
     def quarantine(self) -> DataFrame:

@@ -442,3 +442,143 @@ ORACLE: dict[str, str] = {
     "rpt_sector_trend_summary": REPORT_SQL,
     "fct_target_deal_sequence": SEQUENCE_SQL,
 }
+
+
+# --- checks -----------------------------------------------------------------
+
+def _verdict_sql(name: str, table: str, source: str, severity: str = "ERROR") -> str:
+    return (f"SELECT '{name}' AS check_name, '{table}' AS table_name, '{severity}' AS severity, "
+            f"CAST(count(*) AS BIGINT) AS violations, count(*) = 0 AS passed FROM {source}")
+
+
+def _dupes(table: str, keys: str) -> str:
+    return f"(SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1) d"
+
+
+_BUSINESS_DAYS = """(
+  SELECT *, CASE WHEN n >= 0 THEN (n // 7) * 5
+      + greatest(0, least(f + (n - (n // 7) * 7), 5) - greatest(f, 0))
+      + greatest(0, least(f + (n - (n // 7) * 7), 12) - greatest(f, 7)) END AS bd
+  FROM (SELECT *, date_diff('day', announce_date, close_date) AS n,
+               isodow(announce_date + 1) - 1 AS f FROM stg_transactions) x
+) b WHERE announce_date IS NOT NULL AND close_date IS NOT NULL AND days_to_close IS NOT NULL
+      AND bd IS NOT NULL AND abs(days_to_close - bd) > 1"""
+
+CHECK_SQL: dict[str, tuple[list[str], str]] = {
+    "chk_transactions_unique": (["stg_transactions"], _verdict_sql(
+        "chk_transactions_unique", "transactions", _dupes("stg_transactions", "transaction_id"))),
+    "chk_transactions_fk_acquirer": (["stg_transactions", "stg_acquirers"], _verdict_sql(
+        "chk_transactions_fk_acquirer", "transactions",
+        "stg_transactions t WHERE NOT EXISTS (SELECT 1 FROM stg_acquirers a WHERE a.acquirer_id = t.acquirer_id)")),
+    "chk_transactions_fk_target": (["stg_transactions", "stg_targets"], _verdict_sql(
+        "chk_transactions_fk_target", "transactions",
+        "stg_transactions t WHERE NOT EXISTS (SELECT 1 FROM stg_targets x WHERE x.target_id = t.target_id)")),
+    "chk_date_order": (["stg_transactions"], _verdict_sql(
+        "chk_date_order", "transactions",
+        "stg_transactions WHERE announce_date IS NOT NULL AND close_date IS NOT NULL "
+        "AND close_date < announce_date")),
+    "chk_closed_requires_close_date": (["stg_transactions"], _verdict_sql(
+        "chk_closed_requires_close_date", "transactions",
+        "stg_transactions WHERE lower(trim(coalesce(outcome, ''))) = 'closed' AND close_date IS NULL")),
+    "chk_dates_require_days_to_close": (["stg_transactions"], _verdict_sql(
+        "chk_dates_require_days_to_close", "transactions",
+        "stg_transactions WHERE announce_date IS NOT NULL AND close_date IS NOT NULL AND days_to_close IS NULL")),
+    "chk_targets_unique": (["stg_targets"], _verdict_sql(
+        "chk_targets_unique", "targets", _dupes("stg_targets", "target_id"))),
+    "chk_acquirers_unique": (["stg_acquirers"], _verdict_sql(
+        "chk_acquirers_unique", "acquirers", _dupes("stg_acquirers", "acquirer_id"))),
+    "chk_nonneg_acquirers": (["stg_acquirers"], _verdict_sql(
+        "chk_nonneg_acquirers", "acquirers",
+        "stg_acquirers WHERE employee_count < 0 OR annual_revenue_mm < 0")),
+    "chk_nonneg_targets": (["stg_targets"], _verdict_sql(
+        "chk_nonneg_targets", "targets", "stg_targets WHERE employee_count < 0 OR ltm_revenue_mm < 0")),
+    "chk_nonneg_transactions": (["stg_transactions"], _verdict_sql(
+        "chk_nonneg_transactions", "transactions",
+        "stg_transactions WHERE deal_size_mm < 0 OR ev_ebitda_multiple < 0 OR ev_revenue_multiple < 0 "
+        "OR synergy_pct_of_deal < 0 OR num_bidders < 0 OR days_to_close < 0")),
+    "chk_nonneg_financials": (["stg_acquirer_financials"], _verdict_sql(
+        "chk_nonneg_financials", "acquirer_financials",
+        "stg_acquirer_financials WHERE employee_count < 0 OR revenue_mm < 0 OR ebitda_mm < 0 "
+        "OR cash_on_hand_mm < 0 OR total_assets_mm < 0 OR market_cap_mm < 0")),
+    "chk_nonneg_sector_multiples": (["stg_sector_multiples"], _verdict_sql(
+        "chk_nonneg_sector_multiples", "sector_multiples",
+        "stg_sector_multiples WHERE median_ev_ebitda < 0 OR p25_ev_ebitda < 0 OR p75_ev_ebitda < 0 "
+        "OR median_ev_revenue < 0 OR p25_ev_revenue < 0 OR p75_ev_revenue < 0 OR deal_count < 0")),
+    "chk_year_matches_announce": (["stg_transactions"], _verdict_sql(
+        "chk_year_matches_announce", "transactions",
+        "stg_transactions WHERE deal_year <> year(announce_date)")),
+    "chk_quarter_matches_announce": (["stg_transactions"], _verdict_sql(
+        "chk_quarter_matches_announce", "transactions",
+        "stg_transactions WHERE deal_quarter <> 'Q' || CAST(quarter(announce_date) AS VARCHAR)")),
+    "chk_percentile_order": (["stg_sector_multiples"], _verdict_sql(
+        "chk_percentile_order", "sector_multiples",
+        "stg_sector_multiples WHERE coalesce(p25_ev_ebitda > median_ev_ebitda OR median_ev_ebitda > p75_ev_ebitda, false) "
+        "OR coalesce(p25_ev_revenue > median_ev_revenue OR median_ev_revenue > p75_ev_revenue, false)")),
+    "chk_unique_fiscal_grain": (["stg_acquirer_financials"], _verdict_sql(
+        "chk_unique_fiscal_grain", "acquirer_financials",
+        _dupes("stg_acquirer_financials", "acquirer_id, fiscal_year"))),
+    "chk_id_format": (["stg_transactions"], _verdict_sql(
+        "chk_id_format", "transactions",
+        "stg_transactions WHERE NOT regexp_matches(transaction_id, '^TXN-[0-9]+$') "
+        "OR NOT regexp_matches(target_id, '^TGT-[0-9]+$') OR NOT regexp_matches(acquirer_id, '^ACQ-[0-9]+$')")),
+    "chk_sponsor_in_financials": (["stg_acquirers", "stg_acquirer_financials"], _verdict_sql(
+        "chk_sponsor_in_financials", "acquirers",
+        "stg_acquirers a WHERE a.acquirer_type = 'Financial Sponsor' AND EXISTS "
+        "(SELECT 1 FROM stg_acquirer_financials f WHERE f.acquirer_id = a.acquirer_id)")),
+    "chk_business_days": (["stg_transactions"], _verdict_sql(
+        "chk_business_days", "transactions", _BUSINESS_DAYS, "WARN")),
+    "chk_fiscal_year_range": (["stg_acquirer_financials"], _verdict_sql(
+        "chk_fiscal_year_range", "acquirer_financials",
+        "stg_acquirer_financials WHERE NOT (fiscal_year BETWEEN 1990 AND 2035)")),
+    "chk_synergy_cap": (["stg_transactions"], _verdict_sql(
+        "chk_synergy_cap", "transactions", "stg_transactions WHERE synergy_pct_of_deal > 100")),
+    "chk_value_range": (["stg_transactions"], _verdict_sql(
+        "chk_value_range", "transactions",
+        "stg_transactions WHERE NOT (ev_ebitda_multiple BETWEEN 0 AND 100)", "WARN")),
+    "chk_allowed_matrix": (["stg_acquirers"], _verdict_sql(
+        "chk_allowed_matrix", "acquirers",
+        "stg_acquirers a WHERE NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_name = a.headquarters)", "WARN")),
+    "chk_private_has_no_market_cap": (["stg_acquirers", "stg_acquirer_financials"], _verdict_sql(
+        "chk_private_has_no_market_cap", "acquirer_financials",
+        "stg_acquirer_financials f WHERE f.market_cap_mm IS NOT NULL AND EXISTS "
+        "(SELECT 1 FROM stg_acquirers a WHERE a.acquirer_id = f.acquirer_id AND a.ticker_or_status = 'Private')")),
+    "chk_size_vs_headcount": (["stg_targets"], _verdict_sql(
+        "chk_size_vs_headcount", "targets",
+        "stg_targets WHERE employee_count > 0 AND ltm_revenue_mm IS NOT NULL "
+        "AND NOT (ltm_revenue_mm / employee_count BETWEEN 0.001 AND 5.0)", "WARN")),
+}
+
+_RAW_COLUMNS = {
+    "raw_acquirers": ["acquirer_id", "acquirer_name", "acquirer_type", "primary_sector_focus", "headquarters",
+                      "ticker_or_status", "employee_count", "annual_revenue_mm", "founded_date",
+                      "geographic_reach"],
+    "raw_targets": ["target_id", "target_name", "sector", "sub_sector", "geography", "ownership_type",
+                    "founded_date", "employee_count", "ltm_revenue_mm", "ebitda_margin_pct",
+                    "revenue_growth_pct"],
+    "raw_transactions": ["transaction_id", "target_id", "acquirer_id", "announce_date", "close_date",
+                         "deal_year", "deal_quarter", "deal_type", "financing_type", "deal_size_mm",
+                         "ev_ebitda_multiple", "ev_revenue_multiple", "synergy_pct_of_deal", "outcome",
+                         "strategic_rationale_tags", "num_bidders", "days_to_close"],
+    "raw_acquirer_financials": ["acquirer_id", "fiscal_year", "revenue_mm", "ebitda_mm", "ebitda_margin_pct",
+                                "net_debt_mm", "cash_on_hand_mm", "total_assets_mm", "market_cap_mm",
+                                "employee_count"],
+    "raw_sector_multiples": ["sector", "fiscal_year", "fiscal_quarter", "median_ev_ebitda", "p25_ev_ebitda",
+                             "p75_ev_ebitda", "median_ev_revenue", "p25_ev_revenue", "p75_ev_revenue",
+                             "deal_count"],
+}
+
+
+def _sentinel_sql(raw: str) -> str:
+    cond = " OR ".join(f"upper(trim({c})) IN ('NULL', 'NAN', 'NONE', 'N/A')" for c in _RAW_COLUMNS[raw])
+    return _verdict_sql("chk_null_sentinels", raw, f"{raw} WHERE {cond}")
+
+
+for _name, (_needs, _body) in CHECK_SQL.items():
+    ORACLE[_name] = with_ctes(_needs, _body)
+
+ORACLE["run_checks"] = with_ctes(
+    sorted({n for needs, _ in CHECK_SQL.values() for n in needs}),
+    "\nUNION ALL\n".join(body for _, body in CHECK_SQL.values()),
+)
+ORACLE["chk_null_sentinels"] = with_ctes(
+    list(_RAW_COLUMNS), "\nUNION ALL\n".join(_sentinel_sql(r) for r in _RAW_COLUMNS))

@@ -46,3 +46,25 @@ register("fct_transactions")(lambda m: m.fct_transactions())
 register("dim_acquirer_activity")(lambda m: _no_load_ts(m.dim_acquirer_activity()))
 register("rpt_sector_trend_summary")(lambda m: m.rpt_sector_trend_summary())
 register("fct_target_deal_sequence")(lambda m: m.fct_target_deal_sequence())
+
+# --- data-quality checks ------------------------------------------------------
+from dealhouse.operators.quality import RuleCheck, run_check, run_checks  # noqa: E402
+from dealhouse.operators.rules import ALL_CHECKS, null_sentinel_violation  # noqa: E402
+from dealhouse.sources.entities import RAW_BUILDERS  # noqa: E402
+
+for _check in ALL_CHECKS.checks:
+    register(_check.name)(lambda m, c=_check: run_check(m.check_tables(), c))
+
+register("run_checks")(lambda m: run_checks(m.check_tables(), ALL_CHECKS.checks))
+
+
+@register("chk_null_sentinels")
+def _null_sentinels(m: Model) -> DataFrame:
+    """Text sentinels ('NULL', 'NaN', ...) in any landed column, per raw table."""
+    tables = m.check_tables()
+    checks = [
+        RuleCheck("chk_null_sentinels", f"raw_{n}",
+                  lambda cols=tables[f"raw_{n}"].columns: null_sentinel_violation(cols))
+        for n in RAW_BUILDERS
+    ]
+    return run_checks(tables, checks)
