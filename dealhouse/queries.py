@@ -68,3 +68,174 @@ def _null_sentinels(m: Model) -> DataFrame:
         for n in RAW_BUILDERS
     ]
     return run_checks(tables, checks)
+
+# --- table maintenance, pipeline, sources, streaming ------------------------------
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from dealhouse.model import RUN_TS  # noqa: E402
+from dealhouse.operators import staging as _stg  # noqa: E402
+from dealhouse.operators.merge import ensure_column, scd1_merge  # noqa: E402
+from dealhouse.plans import marts as _marts  # noqa: E402
+from dealhouse.plans import pipeline as _pl  # noqa: E402
+from dealhouse.plans.warehouse import Warehouse  # noqa: E402
+from dealhouse.session import scratch_dir  # noqa: E402
+from dealhouse.sources import csv as _csv  # noqa: E402
+from dealhouse.sources.files import changed_files, file_snapshot  # noqa: E402
+from dealhouse.streaming.ingest import stream_ingest  # noqa: E402
+
+DAY2_TS = RUN_TS + _dt.timedelta(days=1)
+
+
+def _key_number(col: str) -> F.Column:
+    return F.regexp_extract(F.col(col), r"([0-9]+)$", 1).cast("long")
+
+
+def _renamed(raw, id_col: str, name_col: str, suffix: str = " Holdings"):
+    """Day-2 copy of a raw source: every fifth key renamed."""
+    return raw.withColumn(name_col, F.when(_key_number(id_col) % 5 == 0,
+                                           F.concat(F.col(name_col), F.lit(suffix)))
+                          .otherwise(F.col(name_col)))
+
+
+@register("scd1_merge")
+def _scd1(m: Model) -> DataFrame:
+    """Upsert day 2 (renames, every 7th key gone) into day 1 (every 11th key absent)."""
+    cols = _marts.DIM_ACQUIRER_COLUMNS
+    day1 = _marts.dimension_rows(m.staged("acquirers").filter(_key_number("acquirer_id") % 11 != 0),
+                                 cols, RUN_TS)
+    day2_src = _stg.stg_acquirers(_renamed(m.raw("acquirers"), "acquirer_id", "acquirer_name"))
+    day2 = _marts.dimension_rows(day2_src.filter(_key_number("acquirer_id") % 7 != 0), cols, DAY2_TS)
+    return scd1_merge(day1, day2, ["acquirer_id"], cols).drop("dw_updated_at")
+
+
+def _loaded_warehouse(m: Model) -> Warehouse:
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    _pl.land_raw(wh, {n: m.raw(n) for n in _stg.STAGERS})
+    _pl.refresh_core(wh, RUN_TS)
+    return wh
+
+
+@register("backfill_partitions")
+def _backfill(m: Model) -> DataFrame:
+    """Every fact year in one job, read back from the partitioned table."""
+    wh = _loaded_warehouse(m)
+    _pl.refresh_fact(wh, RUN_TS)
+    return _pl.read_fact(wh)
+
+
+@register("partition_replace")
+def _partition_replace(m: Model) -> DataFrame:
+    """Backfill, then replace 1996 and 1999 with closed deals only and 1997 with nothing."""
+    wh = _loaded_warehouse(m)
+    _pl.refresh_fact(wh, RUN_TS)
+    tx = wh.read("staging", "transactions")
+    _pl.refresh_fact(wh, RUN_TS, [1996, 1999], transactions=tx.filter(F.col("outcome").ilike("Closed%")))
+    _pl.refresh_fact(wh, RUN_TS, [1997], transactions=tx.filter(F.lit(False)))
+    return _pl.read_fact(wh)
+
+
+def _land_csv_sources(m: Model, src: str) -> None:
+    for n in _stg.STAGERS:
+        _csv.write_csv(m.raw(n), f"{src}/{n}")
+
+
+@register("incremental_refresh")
+def _incremental(m: Model) -> DataFrame:
+    """CSV sources -> refresh; targets file rewritten with renames -> second
+    refresh picks up only that change; returns dim_target."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    src = scratch_dir(m.spark, "src")
+    _land_csv_sources(m, src)
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    assert _pl.incremental_refresh(wh, src, DAY2_TS) == {}, "unchanged files must not refresh"
+    _csv.write_csv(_renamed(m.raw("targets"), "target_id", "target_name"), f"{src}/targets")
+    _pl.incremental_refresh(wh, src, DAY2_TS)
+    return wh.read("analytics", "dim_target").drop("dw_updated_at")
+
+
+@register("stream_ingest")
+def _stream(m: Model) -> DataFrame:
+    """Transactions arrive as CSV files, drained by a Structured Streaming query
+    in several micro-batches; returns the fact it maintained."""
+    wh = _loaded_warehouse(m)
+    src = scratch_dir(m.spark, "stream-src")
+    _csv.write_csv(m.raw("transactions").repartition(4), src)
+    stream_ingest(wh, src, scratch_dir(m.spark, "stream-ckpt"), RUN_TS, max_files_per_trigger=2)
+    return _pl.read_fact(wh)
+
+
+@register("scan_csv_strings")
+def _scan(m: Model) -> DataFrame:
+    """Landed acquirers written as CSV and scanned back as all-string rows."""
+    path = scratch_dir(m.spark, "csv")
+    _csv.write_csv(m.raw("acquirers"), path)
+    return _csv.scan_csv_strings(m.spark, path)
+
+
+@register("export_csv_with_manifest")
+def _export(m: Model) -> DataFrame:
+    out = scratch_dir(m.spark, "export")
+    _csv.export_csv_with_manifest(m.spark, {
+        "fct_transactions": m.fct_transactions(),
+        "dim_acquirer_activity": m.dim_acquirer_activity(),
+        "rpt_sector_trend_summary": m.rpt_sector_trend_summary(),
+    }, out)
+    return _csv.read_manifest(m.spark, out)
+
+
+@register("row_count_metrics")
+def _row_counts(m: Model) -> DataFrame:
+    """Row count per modelled table, each one aggregate over its plan."""
+    frames = {f"raw.{n}": m.raw(n) for n in _stg.STAGERS}
+    frames.update({f"staging.{n}": m.staged(n) for n in _stg.STAGERS})
+    frames["staging.transactions_quarantine"] = m.quarantine
+    frames.update({
+        "analytics.dim_acquirer": m.dim_acquirer, "analytics.dim_target": m.dim_target,
+        "analytics.fct_transactions": m.fct_transactions(),
+        "analytics.dim_acquirer_activity": m.dim_acquirer_activity(),
+        "analytics.rpt_sector_trend_summary": m.rpt_sector_trend_summary(),
+        "analytics.fct_target_deal_sequence": m.fct_target_deal_sequence(),
+    })
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+             for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("changed_files")
+def _changed(m: Model) -> DataFrame:
+    """Snapshot, rewrite one source, add one, remove one: the diff names them."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    src = scratch_dir(m.spark, "src")
+    _land_csv_sources(m, src)
+    before = file_snapshot(m.spark, src)
+    wh.write("_meta", "file_snapshot", before)
+    before = wh.read("_meta", "file_snapshot")
+    _csv.write_csv(_renamed(m.raw("targets"), "target_id", "target_name"), f"{src}/targets")
+    _csv.write_csv(m.raw("acquirers"), f"{src}/acquirers_extra")
+    wh.delete_path(f"{src}/sector_multiples")
+    return changed_files(file_snapshot(m.spark, src), before).select("source", "status").distinct()
+
+
+@register("ensure_column")
+def _ensure(m: Model) -> DataFrame:
+    """A dimension version written before ``data_date`` existed, read back with
+    the column added (NULL), as the merge path does before upserting."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    wh.write("analytics", "dim_target", m.dim_target.drop("data_date", "dw_updated_at"))
+    old = wh.read("analytics", "dim_target")
+    return ensure_column(old, "data_date", "date")
+
+
+@register("reset_layers")
+def _reset(m: Model) -> DataFrame:
+    """Load all layers, drop them, report which layers were dropped and what is left."""
+    wh = _loaded_warehouse(m)
+    dropped = wh.reset_layers()
+    left = [(layer, wh.exists_path(f"{wh.root}/{layer}")) for layer in ("raw", "staging", "analytics")]
+    rows = [(layer, layer in dropped, present) for layer, present in left]
+    return m.spark.createDataFrame(rows, "layer string, dropped boolean, still_present boolean")
