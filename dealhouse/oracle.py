@@ -679,3 +679,46 @@ ORACLE["export_csv_with_manifest"] = (
     f"SELECT 'fct_transactions' AS table_name, count(*) AS row_count FROM ({FACT_SQL}) a\n"
     f"UNION ALL SELECT 'dim_acquirer_activity', count(*) FROM ({ACTIVITY_SQL}) b\n"
     f"UNION ALL SELECT 'rpt_sector_trend_summary', count(*) FROM ({REPORT_SQL}) c\n")
+
+
+# --- operator-level views ----------------------------------------------------------
+
+def _project(sql: str, cols: str) -> str:
+    return f"SELECT {cols} FROM (\n{sql}\n) q"
+
+
+ORACLE.update({
+    "join_left_single": _project(FACT_SQL, "transaction_id, target_id, target_name, target_sector"),
+    "join_left_composite": _project(FACT_SQL, "transaction_id, target_sector, deal_year, deal_quarter, "
+                                              "sector_median_ev_ebitda, sector_median_ev_revenue"),
+    "join_left_expr_key": _project(FACT_SQL, "transaction_id, acquirer_id, announce_date, "
+                                             "acquirer_fiscal_revenue_mm, acquirer_net_debt_mm"),
+    "join_inner": with_ctes(["stg_transactions", "dim_target"], """
+SELECT t.transaction_id, t.target_id, tg.sector
+FROM stg_transactions t JOIN dim_target tg ON tg.target_id = t.target_id"""),
+    "anti_not_exists": with_ctes(["stg_transactions", "stg_acquirers"], """
+SELECT t.transaction_id, t.acquirer_id FROM stg_transactions t
+WHERE NOT EXISTS (SELECT 1 FROM stg_acquirers a WHERE a.acquirer_id = t.acquirer_id)"""),
+    "agg_count_sum_avg_min_max": _project(ACTIVITY_SQL, "acquirer_id, deal_count, total_deal_volume_mm, "
+                                          "avg_ev_ebitda_multiple, first_transaction_date, "
+                                          "most_recent_transaction_date"),
+    "agg_count_distinct": _project(ACTIVITY_SQL, "acquirer_id, distinct_target_sectors"),
+    "agg_string_concat": _project(ACTIVITY_SQL, "acquirer_id, deal_types_observed, sectors_touched"),
+    "agg_span_ratio": _project(ACTIVITY_SQL, "acquirer_id, deal_count, avg_deals_per_active_year"),
+    "agg_conditional_sum": _project(REPORT_SQL, "sector, deal_year, closed_deal_count, pending_deal_count"),
+    "agg_having_dupes": with_ctes(["stg_transactions"], """
+SELECT transaction_id, count(*) AS occurrences FROM stg_transactions
+GROUP BY transaction_id HAVING count(*) > 1"""),
+    "win_row_number": _project(SEQUENCE_SQL, "target_id, transaction_id, acquirer_id, announce_date, "
+                                             "deal_sequence_number"),
+    "win_lag": _project(SEQUENCE_SQL, "target_id, deal_sequence_number, prior_transaction_id, "
+                                      "prior_announce_date, prior_close_date, prior_outcome, "
+                                      "prior_deal_size_mm, prior_ev_ebitda_multiple, prior_acquirer_id"),
+    "win_deltas": _project(SEQUENCE_SQL, "target_id, deal_sequence_number, days_since_prior_announce, "
+                                         "deal_size_mm_delta_vs_prior, ev_ebitda_multiple_delta_vs_prior, "
+                                         "same_acquirer_as_prior"),
+    "deal_size_tier": _project(FACT_SQL, "transaction_id, deal_size_mm, deal_size_tier"),
+    "pct_vs_benchmark": _project(FACT_SQL, "transaction_id, ev_ebitda_pct_vs_sector_median, "
+                                           "ev_revenue_pct_vs_sector_median"),
+    "row_content_hash": with_ctes(["stg_targets"], "SELECT target_id, row_content_hash FROM stg_targets"),
+})

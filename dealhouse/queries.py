@@ -239,3 +239,107 @@ def _reset(m: Model) -> DataFrame:
     left = [(layer, wh.exists_path(f"{wh.root}/{layer}")) for layer in ("raw", "staging", "analytics")]
     rows = [(layer, layer in dropped, present) for layer, present in left]
     return m.spark.createDataFrame(rows, "layer string, dropped boolean, still_present boolean")
+
+# --- operator-level views (joins, aggregates, windows, scalar rules) -----------
+
+
+@register("join_left_single")
+def _j_single(m: Model) -> DataFrame:
+    return m.fct_transactions().select("transaction_id", "target_id", "target_name", "target_sector")
+
+
+@register("join_left_composite")
+def _j_composite(m: Model) -> DataFrame:
+    return m.fct_transactions().select("transaction_id", "target_sector", "deal_year", "deal_quarter",
+                                       "sector_median_ev_ebitda", "sector_median_ev_revenue")
+
+
+@register("join_left_expr_key")
+def _j_expr(m: Model) -> DataFrame:
+    return m.fct_transactions().select("transaction_id", "acquirer_id", "announce_date",
+                                       "acquirer_fiscal_revenue_mm", "acquirer_net_debt_mm")
+
+
+@register("join_inner")
+def _j_inner(m: Model) -> DataFrame:
+    tx = m.staged("transactions")
+    tg = m.dim_target.select(F.col("target_id").alias("_tg"), "sector")
+    return tx.join(tg, F.col("_tg") == F.col("target_id"), "inner").select("transaction_id", "target_id", "sector")
+
+
+@register("anti_not_exists")
+def _anti(m: Model) -> DataFrame:
+    """Deals whose acquirer is not in staging (NULL acquirer counts as orphan)."""
+    acq = m.staged("acquirers").select(F.col("acquirer_id").alias("_a"))
+    return (m.staged("transactions").join(acq, F.col("acquirer_id") == F.col("_a"), "left_anti")
+            .select("transaction_id", "acquirer_id"))
+
+
+@register("agg_count_sum_avg_min_max")
+def _agg_basic(m: Model) -> DataFrame:
+    return m.dim_acquirer_activity().select(
+        "acquirer_id", "deal_count", "total_deal_volume_mm", "avg_ev_ebitda_multiple",
+        "first_transaction_date", "most_recent_transaction_date")
+
+
+@register("agg_count_distinct")
+def _agg_distinct(m: Model) -> DataFrame:
+    return m.dim_acquirer_activity().select("acquirer_id", "distinct_target_sectors")
+
+
+@register("agg_string_concat")
+def _agg_concat(m: Model) -> DataFrame:
+    return m.dim_acquirer_activity().select("acquirer_id", "deal_types_observed", "sectors_touched")
+
+
+@register("agg_span_ratio")
+def _agg_span(m: Model) -> DataFrame:
+    return m.dim_acquirer_activity().select("acquirer_id", "deal_count", "avg_deals_per_active_year")
+
+
+@register("agg_conditional_sum")
+def _agg_cond(m: Model) -> DataFrame:
+    return m.rpt_sector_trend_summary().select("sector", "deal_year", "closed_deal_count", "pending_deal_count")
+
+
+@register("agg_having_dupes")
+def _agg_dupes(m: Model) -> DataFrame:
+    """Repeated transaction ids and how often each occurs."""
+    return (m.staged("transactions").groupBy("transaction_id").agg(F.count(F.lit(1)).alias("occurrences"))
+            .filter(F.col("occurrences") > 1))
+
+
+@register("win_row_number")
+def _w_rn(m: Model) -> DataFrame:
+    return m.fct_target_deal_sequence().select("target_id", "transaction_id", "acquirer_id",
+                                               "announce_date", "deal_sequence_number")
+
+
+@register("win_lag")
+def _w_lag(m: Model) -> DataFrame:
+    return m.fct_target_deal_sequence().select(
+        "target_id", "deal_sequence_number", "prior_transaction_id", "prior_announce_date", "prior_close_date",
+        "prior_outcome", "prior_deal_size_mm", "prior_ev_ebitda_multiple", "prior_acquirer_id")
+
+
+@register("win_deltas")
+def _w_delta(m: Model) -> DataFrame:
+    return m.fct_target_deal_sequence().select(
+        "target_id", "deal_sequence_number", "days_since_prior_announce", "deal_size_mm_delta_vs_prior",
+        "ev_ebitda_multiple_delta_vs_prior", "same_acquirer_as_prior")
+
+
+@register("deal_size_tier")
+def _tier(m: Model) -> DataFrame:
+    return m.fct_transactions().select("transaction_id", "deal_size_mm", "deal_size_tier")
+
+
+@register("pct_vs_benchmark")
+def _pct(m: Model) -> DataFrame:
+    return m.fct_transactions().select("transaction_id", "ev_ebitda_pct_vs_sector_median",
+                                       "ev_revenue_pct_vs_sector_median")
+
+
+@register("row_content_hash")
+def _hash(m: Model) -> DataFrame:
+    return m.staged("targets").select("target_id", "row_content_hash")
