@@ -24,8 +24,7 @@ DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
 
 def double_or_null(c) -> Column:
     s = _col(c)
-    ok = s.rlike(NUMBER_PATTERN) | s.rlike(SPECIAL_DOUBLE_PATTERN)
-    return F.when(ok, s.try_cast("double"))
+    return F.when(s.rlike(NUMBER_PATTERN) | s.rlike(SPECIAL_DOUBLE_PATTERN), s.try_cast("double"))
 
 
 def int_or_null(c) -> Column:
@@ -35,5 +34,5 @@ def int_or_null(c) -> Column:
 
 
 def date_or_null(c) -> Column:
-    s = F.regexp_replace(clean_str(c), "/", "-")
+    s = F.replace(clean_str(c), F.lit("/"), F.lit("-"))
     return F.when(s.rlike(DATE_PATTERN), s.try_cast("date"))

@@ -10,6 +10,7 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dealhouse.operators import staging as stg
 from dealhouse.plans import marts
@@ -31,8 +32,16 @@ class Model:
         self._staged: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
+        """The landed view of one source.
+
+        ``observe`` marks the raw/staging boundary the way a written raw table
+        does in the pipeline: it counts the landed rows, and because filters
+        cannot move below it without changing that count, staging predicates
+        are evaluated on the landed values instead of being rewritten into
+        (and duplicating) the view's expressions."""
         if name not in self._raw:
-            self._raw[name] = RAW_BUILDERS[name](self.tables)
+            self._raw[name] = RAW_BUILDERS[name](self.tables).observe(
+                f"landed_{name}_{id(self):x}", F.count(F.lit(1)).alias("rows"))
         return self._raw[name]
 
     def staged(self, name: str) -> DataFrame:

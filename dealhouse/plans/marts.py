@@ -24,6 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealhouse.operators.sequence import sequence_with_prior
 from dealhouse.functions.measures import (
     avg_from_parts,
     deal_size_tier,
@@ -251,7 +252,8 @@ SEQUENCE_TIEBREAK = ["acquirer_id", "close_date", "outcome", "deal_size_mm", "ev
                      "num_bidders", "days_to_close", "target_name", "target_sector"]
 
 
-def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt.date) -> DataFrame:
+def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt.date,
+                             hot_group_safe: bool = True) -> DataFrame:
     ordered = tx.filter(F.col("target_id").isNotNull()).select(
         "transaction_id", "target_id", "acquirer_id", "announce_date", "close_date", "deal_year",
         "deal_quarter", "deal_type", "financing_type", "deal_size_mm", "ev_ebitda_multiple",
@@ -261,11 +263,15 @@ def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt
                           F.col("sector").alias("target_sector")),
         F.col("_tg_id") == F.col("target_id"), "left",
     )
-    w = sequence_window(SEQUENCE_TIEBREAK)
-    lagged = ordered.withColumns({
-        "deal_sequence_number": F.row_number().over(w).cast("bigint"),
-        **{f"prior_{c}": F.lag(c).over(w) for c in LAGGED_COLUMNS},
-    })
+    if hot_group_safe:
+        order = [F.col(c).asc_nulls_last() for c in ["announce_date", "transaction_id", *SEQUENCE_TIEBREAK]]
+        lagged = sequence_with_prior(ordered, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number")
+    else:
+        w = sequence_window(SEQUENCE_TIEBREAK)
+        lagged = ordered.withColumns({
+            "deal_sequence_number": F.row_number().over(w).cast("bigint"),
+            **{f"prior_{c}": F.lag(c).over(w) for c in LAGGED_COLUMNS},
+        })
     both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
     out = lagged.withColumns({
         "days_since_prior_announce": F.when(

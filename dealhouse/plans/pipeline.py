@@ -87,10 +87,6 @@ def refresh_core(wh: Warehouse, run_ts: dt.datetime, names: Sequence[str] = ENTI
 FACT_TABLE = "fct_transactions"
 
 
-def fact_schema(sample: DataFrame) -> T.StructType:
-    return T.StructType([sample.schema[c] for c in marts.FACT_COLUMNS])
-
-
 def fact_source(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,
                 transactions: DataFrame | None = None) -> DataFrame:
     tx = transactions if transactions is not None else wh.read("staging", "transactions")
@@ -104,7 +100,9 @@ def refresh_fact(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None
                  transactions: DataFrame | None = None) -> dict[str, int]:
     src = fact_source(wh, run_ts, years, transactions)
     counts = wh.replace_partitions("analytics", FACT_TABLE, src, "deal_year", years)
-    return {f"analytics.{FACT_TABLE}[{y}]": n for y, n in counts.items()}
+    out = {f"analytics.{FACT_TABLE}[{y}]": n for y, n in counts.items()}
+    out[f"analytics.{FACT_TABLE}"] = wh.last_written_rows
+    return out
 
 
 def read_fact(wh: Warehouse) -> DataFrame:

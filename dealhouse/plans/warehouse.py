@@ -31,6 +31,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.read_only = read_only
         self.keep = keep
+        self.last_written_rows = 0
 
     # -- file system ---------------------------------------------------------
     def _path(self, p: str):
@@ -133,6 +134,7 @@ class Warehouse:
         for v, n in counts.items():
             if n == 0:
                 self.delete_path(f"{path}/{part_col}={v}")
+        self.last_written_rows = int(got["rows"])
         return counts
 
     # -- maintenance -----------------------------------------------------------
