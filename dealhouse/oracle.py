@@ -722,3 +722,9 @@ GROUP BY transaction_id HAVING count(*) > 1"""),
                                            "ev_revenue_pct_vs_sector_median"),
     "row_content_hash": with_ctes(["stg_targets"], "SELECT target_id, row_content_hash FROM stg_targets"),
 })
+
+_Q_ORDER = ", ".join(f"{c} ASC NULLS LAST" for c in ["quarantine_reason"] + _RAW_COLUMNS["raw_transactions"])
+ORACLE["quarantine_preview"] = f"SELECT * FROM (\n{QUARANTINE_SQL}\n) q ORDER BY {_Q_ORDER} LIMIT 20"
+ORACLE["chk_csv_width"] = (
+    "SELECT 'chk_csv_width' AS check_name, 'raw_acquirers' AS table_name, 'ERROR' AS severity, "
+    "CAST(0 AS BIGINT) AS violations, true AS passed")

@@ -94,7 +94,10 @@ def dimension_rows(staged: DataFrame, columns: list[str], run_ts: dt.datetime) -
 
 def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFrame,
                      multiples: DataFrame, financials: DataFrame, data_date: dt.date,
-                     years: list[int] | None = None) -> DataFrame:
+                     years: list[int] | None = None, broadcast: frozenset[str] = frozenset()) -> DataFrame:
+    """``broadcast`` names the sides ('target', 'acquirer', 'multiples',
+    'financials') whose size the caller has checked; others are left to AQE,
+    which broadcasts only what it measures under the session threshold."""
     t = tx if years is None else tx.filter(F.col("deal_year").isin(list(years)))
     tg = dim_target.select(
         F.col("target_id").alias("_tg_id"), "target_name",
@@ -122,6 +125,10 @@ def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFra
         F.col("cash_on_hand_mm").alias("acquirer_cash_mm"),
         F.col("total_assets_mm").alias("acquirer_total_assets_mm"),
     )
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return F.broadcast(df) if name in broadcast else df
+
+    tg, aq, sm, af = side(tg, "target"), side(aq, "acquirer"), side(sm, "multiples"), side(af, "financials")
     j = (
         t.join(tg, F.col("_tg_id") == F.col("target_id"), "left")
         .join(aq, F.col("_aq_id") == F.col("acquirer_id"), "left")
@@ -236,7 +243,9 @@ def rpt_sector_trend_summary(tx: DataFrame, dim_target: DataFrame, data_date: dt
         F.sum("c").alias("closed_deal_count"),
         F.sum("p").alias("pending_deal_count"),
     )
-    return g.withColumn("data_date", _stamp(data_date)).select(*REPORT_COLUMNS)
+    # The report is small (sectors x years); its published order is part of it.
+    return (g.withColumn("data_date", _stamp(data_date)).select(*REPORT_COLUMNS)
+            .orderBy(F.col("sector").asc_nulls_last(), F.col("deal_year").asc_nulls_last()))
 
 
 def sequence_window(extra_order: list[str]) -> Window:

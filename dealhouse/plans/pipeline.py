@@ -87,13 +87,35 @@ def refresh_core(wh: Warehouse, run_ts: dt.datetime, names: Sequence[str] = ENTI
 FACT_TABLE = "fct_transactions"
 
 
+# A dimension side is broadcast only when its recorded row count is at most
+# this; the joined columns are narrow (ids, names, a few measures), so the
+# bound keeps each broadcast in the tens of megabytes.
+BROADCAST_MAX_ROWS = 500_000
+
+_FACT_SIDES = {
+    "target": ("analytics", "dim_target"),
+    "acquirer": ("analytics", "dim_acquirer"),
+    "multiples": ("staging", "sector_multiples"),
+    "financials": ("staging", "acquirer_financials"),
+}
+
+
+def broadcastable(wh: Warehouse, max_rows: int = BROADCAST_MAX_ROWS) -> frozenset[str]:
+    out = set()
+    for side, (layer, name) in _FACT_SIDES.items():
+        n = wh.row_count(layer, name)
+        if n is not None and n <= max_rows:
+            out.add(side)
+    return frozenset(out)
+
+
 def fact_source(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,
                 transactions: DataFrame | None = None) -> DataFrame:
     tx = transactions if transactions is not None else wh.read("staging", "transactions")
     return marts.fct_transactions(
         tx, wh.read("analytics", "dim_target"), wh.read("analytics", "dim_acquirer"),
         wh.read("staging", "sector_multiples"), wh.read("staging", "acquirer_financials"),
-        run_ts.date(), list(years) if years else None)
+        run_ts.date(), list(years) if years else None, broadcast=broadcastable(wh))
 
 
 def refresh_fact(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LAYERS = ("raw", "staging", "analytics")
+# Written into each version folder; names starting with '_' are skipped by readers.
+ROWS_FILE = "_ROWS"
 
 
 class ReadOnlyWarehouse(PermissionError):
@@ -49,6 +51,23 @@ class Warehouse:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(jp))
 
+    def _write_text(self, p: str, text: str) -> None:
+        fs, jp = self._path(p)
+        out = fs.create(jp, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def _read_text(self, p: str) -> str | None:
+        fs, jp = self._path(p)
+        if not fs.exists(jp):
+            return None
+        jvm = self.spark._jvm
+        stream = fs.open(jp)
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def delete_path(self, p: str) -> None:
         self._guard()
         fs, jp = self._path(p)
@@ -74,6 +93,14 @@ class Warehouse:
     def exists(self, layer: str, name: str) -> bool:
         return bool(self.versions(layer, name))
 
+    def row_count(self, layer: str, name: str) -> int | None:
+        """Rows of the current version, as observed when it was written (no job)."""
+        vs = self.versions(layer, name)
+        if not vs:
+            return None
+        text = self._read_text(f"{self.table_path(layer, name)}/v={vs[-1]:06d}/{ROWS_FILE}")
+        return int(text) if text else None
+
     def read(self, layer: str, name: str) -> DataFrame:
         vs = self.versions(layer, name)
         if not vs:
@@ -91,6 +118,7 @@ class Warehouse:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
             f"{base}/v={nxt:06d}")
         rows = int(obs.get["rows"])
+        self._write_text(f"{base}/v={nxt:06d}/{ROWS_FILE}", str(rows))
         for old in self.versions(layer, name)[:-self.keep]:
             self.delete_path(f"{base}/v={old:06d}")
         return rows

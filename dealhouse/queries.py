@@ -343,3 +343,23 @@ def _pct(m: Model) -> DataFrame:
 @register("row_content_hash")
 def _hash(m: Model) -> DataFrame:
     return m.staged("targets").select("target_id", "row_content_hash")
+
+
+@register("quarantine_preview")
+def _preview(m: Model) -> DataFrame:
+    """First 20 quarantined rows in a total order (a top-k, not a full sort)."""
+    q = m.quarantine
+    return q.orderBy(*[F.col(c).asc_nulls_last() for c in ["quarantine_reason", *q.columns[:-1]]]).limit(20)
+
+
+@register("chk_csv_width")
+def _csv_width(m: Model) -> DataFrame:
+    """Field-count check over the landed acquirers file."""
+    path = scratch_dir(m.spark, "csv")
+    _csv.write_csv(m.raw("acquirers"), path)
+    bad = _csv.csv_width_violations(m.spark, path, m.raw("acquirers").columns)
+    # Spark rejects CSV queries that read only the corrupt-record column, so the
+    # counted expression also reads a data column (and cannot be folded away).
+    n = F.count(F.coalesce(F.col(_csv.CORRUPT_COLUMN), F.col(bad.columns[0])))
+    return bad.agg(F.lit("chk_csv_width").alias("check_name"), F.lit("raw_acquirers").alias("table_name"),
+                   F.lit("ERROR").alias("severity"), n.alias("violations"), (n == 0).alias("passed"))

@@ -82,3 +82,11 @@ def test_versioned_tables_and_read_only(spark, tmp_root):
         ro.write("staging", "t", spark.range(1))
     assert wh.reset_layers() == ["staging"]
     assert not wh.exists("staging", "t")
+
+
+def test_row_counts_recorded_without_a_job(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.write("staging", "t", spark.range(7))
+    assert wh.row_count("staging", "t") == 7 and wh.row_count("staging", "missing") is None
+    from dealhouse.plans.pipeline import broadcastable
+    assert broadcastable(wh) == frozenset()
