@@ -8,6 +8,13 @@ is numbered locally, and a per-(range, group) summary, at most one row per
 range and group, supplies the offset to add and the last row of the previous
 range (the carry-in for the first row's previous values). The result equals
 ``row_number()`` / ``lag(1)`` over the plain window.
+
+The range path costs two extra shuffles, so only hot groups take it:
+``sequence_with_prior`` counts rows per group (partial aggregation), marks
+groups with at least ``hot_rows`` rows through a broadcast of their keys (at
+most total_rows / hot_rows keys, a bound fixed by construction), numbers cold
+groups with the plain window (whose shuffle by group the upstream plan often
+already provides) and hot groups with the range path, and unions both.
 """
 from __future__ import annotations
 
@@ -17,10 +24,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Groups with at least this many rows are numbered on the range path.
+HOT_GROUP_ROWS = 2_000_000
+
+
 def sequence_with_prior(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
-                        rn_name: str, prior_prefix: str = "prior_", ranges: int | None = None) -> DataFrame:
+                        rn_name: str, prior_prefix: str = "prior_", ranges: int | None = None,
+                        hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Add ``rn_name`` (1-based order within ``group``) and ``prior_<c>`` for
-    each of ``lag_columns`` (value on the previous row of the same group)."""
+    each of ``lag_columns`` (value on the previous row of the same group).
+    ``group`` must not be NULL (filter such rows first)."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_seq_rows"))
+    hot_keys = F.broadcast(counts.filter(F.col("_seq_rows") >= hot_rows)
+                           .select(F.col(group).alias("_seq_hot_key")))
+    flagged = df.join(hot_keys, F.col(group) == F.col("_seq_hot_key"), "left")
+    is_hot = F.col("_seq_hot_key").isNotNull()
+    cold = _plain_sequence(flagged.filter(~is_hot).drop("_seq_hot_key"), group, order, lag_columns,
+                           rn_name, prior_prefix)
+    hot = _ranged_sequence(flagged.filter(is_hot).drop("_seq_hot_key"), group, order, lag_columns,
+                           rn_name, prior_prefix, ranges)
+    return cold.unionByName(hot)
+
+
+def _plain_sequence(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
+                    rn_name: str, prior_prefix: str) -> DataFrame:
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumns({
+        rn_name: F.row_number().over(w).cast("bigint"),
+        **{f"{prior_prefix}{c}": F.lag(c).over(w) for c in lag_columns},
+    })
+
+
+def _ranged_sequence(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
+                     rn_name: str, prior_prefix: str, ranges: int | None) -> DataFrame:
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group).asc_nulls_last(), *order]
@@ -42,8 +78,9 @@ def sequence_with_prior(df: DataFrame, group: str, order: Sequence[Column], lag_
                    F.lit(0)).alias("_seq_offset"),
         F.lag("_seq_last").over(across).alias("_seq_carry"),
     )
+    # Plain equality keeps the (range, group) partitioning of ``numbered``.
     j = numbered.join(chunks, (F.col("_seq_range") == F.col("_c_range"))
-                      & F.col(group).eqNullSafe(F.col("_c_group")), "left")
+                      & (F.col(group) == F.col("_c_group")), "left")
     first = F.col("_seq_local") == 1
     out = j.withColumns({
         rn_name: (F.col("_seq_local") + F.col("_seq_offset")).cast("bigint"),

@@ -129,12 +129,15 @@ def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFra
         return F.broadcast(df) if name in broadcast else df
 
     tg, aq, sm, af = side(tg, "target"), side(aq, "acquirer"), side(sm, "multiples"), side(af, "financials")
+    # Order: target, then the benchmark keyed by the target's sector, then the
+    # two acquirer-keyed sides back to back so the second can reuse the
+    # first's partitioning by acquirer_id when neither is broadcast.
     j = (
         t.join(tg, F.col("_tg_id") == F.col("target_id"), "left")
-        .join(aq, F.col("_aq_id") == F.col("acquirer_id"), "left")
         .join(sm, (F.col("_sm_sector") == F.col("target_sector"))
               & (F.col("_sm_year") == F.col("deal_year"))
               & (F.col("_sm_quarter") == F.col("deal_quarter")), "left")
+        .join(aq, F.col("_aq_id") == F.col("acquirer_id"), "left")
         .join(af, (F.col("_af_id") == F.col("acquirer_id"))
               & (F.col("_af_year") == F.year("announce_date")), "left")
     )
@@ -262,7 +265,7 @@ SEQUENCE_TIEBREAK = ["acquirer_id", "close_date", "outcome", "deal_size_mm", "ev
 
 
 def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt.date,
-                             hot_group_safe: bool = True) -> DataFrame:
+                             hot_rows: int | None = None) -> DataFrame:
     ordered = tx.filter(F.col("target_id").isNotNull()).select(
         "transaction_id", "target_id", "acquirer_id", "announce_date", "close_date", "deal_year",
         "deal_quarter", "deal_type", "financing_type", "deal_size_mm", "ev_ebitda_multiple",
@@ -272,15 +275,9 @@ def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt
                           F.col("sector").alias("target_sector")),
         F.col("_tg_id") == F.col("target_id"), "left",
     )
-    if hot_group_safe:
-        order = [F.col(c).asc_nulls_last() for c in ["announce_date", "transaction_id", *SEQUENCE_TIEBREAK]]
-        lagged = sequence_with_prior(ordered, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number")
-    else:
-        w = sequence_window(SEQUENCE_TIEBREAK)
-        lagged = ordered.withColumns({
-            "deal_sequence_number": F.row_number().over(w).cast("bigint"),
-            **{f"prior_{c}": F.lag(c).over(w) for c in LAGGED_COLUMNS},
-        })
+    order = [F.col(c).asc_nulls_last() for c in ["announce_date", "transaction_id", *SEQUENCE_TIEBREAK]]
+    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
+    lagged = sequence_with_prior(ordered, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number", **extra)
     both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
     out = lagged.withColumns({
         "days_since_prior_announce": F.when(

@@ -82,7 +82,7 @@ def test_hot_group_sequence_equals_plain_window(spark):
             for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, d int, id string, v int")
     order = [F.col("d").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    fast = sequence_with_prior(df, "g", order, ["id", "v"], "rn", ranges=8)
+    fast = sequence_with_prior(df, "g", order, ["id", "v"], "rn", ranges=8, hot_rows=500)
     w = Window.partitionBy("g").orderBy(*order)
     plain = df.withColumns({"rn": F.row_number().over(w).cast("bigint"),
                             "prior_id": F.lag("id").over(w), "prior_v": F.lag("v").over(w)})
