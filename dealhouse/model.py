@@ -10,17 +10,34 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dealhouse.operators import staging as stg
 from dealhouse.plans import marts
 from dealhouse.sources.entities import RAW_BUILDERS
 from dealhouse.sources.tables import DriverTables
 
+# Views whose staging filter would otherwise be rewritten into the view.
+OBSERVED_RAW = frozenset({"transactions"})
 # Pinned run timestamp for reproducible stamps in queries and tests.
 RUN_TS = dt.datetime(2025, 1, 1, 0, 0, 0)
 
 
 class Model:
+    _shared: dict[tuple, "Model"] = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Model":
+        """One plan graph per (live session, input folder, run stamp).
+
+        Only DataFrame definitions are reused (driver-side plan objects over
+        read-only inputs); nothing is cached in memory or on disk."""
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"), RUN_TS)
+        m = cls._shared.get(key)
+        if m is None or m.spark is not spark:
+            m = cls._shared[key] = cls(spark, sf_dir)
+        return m
+
     def __init__(self, spark: SparkSession, sf_dir: str, run_ts: dt.datetime = RUN_TS):
         self.spark = spark
         self.tables = DriverTables(spark, sf_dir)
@@ -28,11 +45,19 @@ class Model:
         self.data_date = run_ts.date()
 
         self._raw: dict[str, DataFrame] = {}
+        self.query_cache: dict[str, DataFrame] = {}
         self._staged: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = RAW_BUILDERS[name](self.tables)
+            df = RAW_BUILDERS[name](self.tables)
+            if name in OBSERVED_RAW:
+                # Landing boundary, as a written raw table is in the pipeline:
+                # filters cannot move below ``observe`` (that would change the
+                # observed count), so the staging filter reads landed values
+                # instead of re-deriving the view's expressions inside it.
+                df = df.observe(f"landed_{name}_{id(self):x}", F.count(F.lit(1)).alias("rows"))
+            self._raw[name] = df
         return self._raw[name]
 
     def staged(self, name: str) -> DataFrame:
@@ -42,6 +67,10 @@ class Model:
 
     def check_tables(self) -> dict[str, DataFrame]:
         """Inputs of the check catalogue: staged entities, raw views, geography."""
+        return dict(self._check_tables)
+
+    @cached_property
+    def _check_tables(self) -> dict[str, DataFrame]:
         out = {n: self.staged(n) for n in stg.STAGERS}
         out.update({f"raw_{n}": self.raw(n) for n in RAW_BUILDERS})
         out["nation"] = self.tables.nation
@@ -51,26 +80,47 @@ class Model:
     def quarantine(self) -> DataFrame:
         return stg.transactions_quarantine(self.raw("transactions"))
 
-    @property
+    @cached_property
     def dim_acquirer(self) -> DataFrame:
         return marts.dimension_rows(self.staged("acquirers"), marts.DIM_ACQUIRER_COLUMNS, self.run_ts)
 
-    @property
+    @cached_property
     def dim_target(self) -> DataFrame:
         return marts.dimension_rows(self.staged("targets"), marts.DIM_TARGET_COLUMNS, self.run_ts)
 
     def fct_transactions(self, years: list[int] | None = None) -> DataFrame:
+        if years is None:
+            return self._fact_all
+        return self._fact(years)
+
+    def _fact(self, years: list[int] | None) -> DataFrame:
         return marts.fct_transactions(
             self.staged("transactions"), self.dim_target, self.dim_acquirer,
             self.staged("sector_multiples"), self.staged("acquirer_financials"), self.data_date, years,
         )
 
-    def dim_acquirer_activity(self) -> DataFrame:
+    @cached_property
+    def _fact_all(self) -> DataFrame:
+        return self._fact(None)
+
+    @cached_property
+    def _activity(self) -> DataFrame:
         return marts.dim_acquirer_activity(self.staged("transactions"), self.dim_target,
                                            self.dim_acquirer, self.run_ts)
 
-    def rpt_sector_trend_summary(self) -> DataFrame:
+    def dim_acquirer_activity(self) -> DataFrame:
+        return self._activity
+
+    @cached_property
+    def _report(self) -> DataFrame:
         return marts.rpt_sector_trend_summary(self.staged("transactions"), self.dim_target, self.data_date)
 
-    def fct_target_deal_sequence(self) -> DataFrame:
+    def rpt_sector_trend_summary(self) -> DataFrame:
+        return self._report
+
+    @cached_property
+    def _sequence(self) -> DataFrame:
         return marts.fct_target_deal_sequence(self.staged("transactions"), self.dim_target, self.data_date)
+
+    def fct_target_deal_sequence(self) -> DataFrame:
+        return self._sequence

@@ -54,7 +54,7 @@ raw_transactions AS (
            sum(CAST(l_quantity AS DECIMAL(18,2))) AS qty,
            max(l_discount) AS disc,
            count(DISTINCT l_suppkey) AS bidders,
-           min(l_returnflag) AS rf
+           chr(min(ascii(l_returnflag))) AS rf
     FROM lineitem GROUP BY l_orderkey
   ) l ON l.l_orderkey = o.o_orderkey
 )""",

@@ -17,11 +17,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str):
+def register(name: str, pure: bool = True):
+    """``pure`` queries only define a plan; their DataFrame is reused for the
+    same model. Queries that write (pipeline, files, streams) run every call."""
     def deco(fn: Callable[[Model], DataFrame]) -> Callable[[Model], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_conf(spark)
-            return fn(Model(spark, sf_dir))
+            m = Model.shared(spark, sf_dir)
+            if not pure:
+                return fn(m)
+            if name not in m.query_cache:
+                m.query_cache[name] = fn(m)
+            return m.query_cache[name]
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -117,7 +124,7 @@ def _loaded_warehouse(m: Model) -> Warehouse:
     return wh
 
 
-@register("backfill_partitions")
+@register("backfill_partitions", pure=False)
 def _backfill(m: Model) -> DataFrame:
     """Every fact year in one job, read back from the partitioned table."""
     wh = _loaded_warehouse(m)
@@ -125,7 +132,7 @@ def _backfill(m: Model) -> DataFrame:
     return _pl.read_fact(wh)
 
 
-@register("partition_replace")
+@register("partition_replace", pure=False)
 def _partition_replace(m: Model) -> DataFrame:
     """Backfill, then replace 1996 and 1999 with closed deals only and 1997 with nothing."""
     wh = _loaded_warehouse(m)
@@ -141,7 +148,7 @@ def _land_csv_sources(m: Model, src: str) -> None:
         _csv.write_csv(m.raw(n), f"{src}/{n}")
 
 
-@register("incremental_refresh")
+@register("incremental_refresh", pure=False)
 def _incremental(m: Model) -> DataFrame:
     """CSV sources -> refresh; targets file rewritten with renames -> second
     refresh picks up only that change; returns dim_target."""
@@ -155,7 +162,7 @@ def _incremental(m: Model) -> DataFrame:
     return wh.read("analytics", "dim_target").drop("dw_updated_at")
 
 
-@register("stream_ingest")
+@register("stream_ingest", pure=False)
 def _stream(m: Model) -> DataFrame:
     """Transactions arrive as CSV files, drained by a Structured Streaming query
     in several micro-batches; returns the fact it maintained."""
@@ -166,7 +173,7 @@ def _stream(m: Model) -> DataFrame:
     return _pl.read_fact(wh)
 
 
-@register("scan_csv_strings")
+@register("scan_csv_strings", pure=False)
 def _scan(m: Model) -> DataFrame:
     """Landed acquirers written as CSV and scanned back as all-string rows."""
     path = scratch_dir(m.spark, "csv")
@@ -174,7 +181,7 @@ def _scan(m: Model) -> DataFrame:
     return _csv.scan_csv_strings(m.spark, path)
 
 
-@register("export_csv_with_manifest")
+@register("export_csv_with_manifest", pure=False)
 def _export(m: Model) -> DataFrame:
     out = scratch_dir(m.spark, "export")
     _csv.export_csv_with_manifest(m.spark, {
@@ -206,7 +213,7 @@ def _row_counts(m: Model) -> DataFrame:
     return out
 
 
-@register("changed_files")
+@register("changed_files", pure=False)
 def _changed(m: Model) -> DataFrame:
     """Snapshot, rewrite one source, add one, remove one: the diff names them."""
     wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
@@ -221,7 +228,7 @@ def _changed(m: Model) -> DataFrame:
     return changed_files(file_snapshot(m.spark, src), before).select("source", "status").distinct()
 
 
-@register("ensure_column")
+@register("ensure_column", pure=False)
 def _ensure(m: Model) -> DataFrame:
     """A dimension version written before ``data_date`` existed, read back with
     the column added (NULL), as the merge path does before upserting."""
@@ -231,7 +238,7 @@ def _ensure(m: Model) -> DataFrame:
     return ensure_column(old, "data_date", "date")
 
 
-@register("reset_layers")
+@register("reset_layers", pure=False)
 def _reset(m: Model) -> DataFrame:
     """Load all layers, drop them, report which layers were dropped and what is left."""
     wh = _loaded_warehouse(m)
@@ -352,7 +359,7 @@ def _preview(m: Model) -> DataFrame:
     return q.orderBy(*[F.col(c).asc_nulls_last() for c in ["quarantine_reason", *q.columns[:-1]]]).limit(20)
 
 
-@register("chk_csv_width")
+@register("chk_csv_width", pure=False)
 def _csv_width(m: Model) -> DataFrame:
     """Field-count check over the landed acquirers file."""
     path = scratch_dir(m.spark, "csv")

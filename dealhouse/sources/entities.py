@@ -31,7 +31,9 @@ def raw_transactions(t: DriverTables) -> DataFrame:
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty"),
         F.max("l_discount").alias("disc"),
         F.countDistinct("l_suppkey").alias("bidders"),
-        F.min("l_returnflag").alias("rf"),
+        # Lowest character code among the lines' return flags (one-character
+        # codes): an integer min keeps the aggregation hash-based.
+        F.min(F.ascii("l_returnflag")).alias("rf_code"),
     )
     o = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     k = F.col("o_orderkey")
@@ -59,7 +61,7 @@ def raw_transactions(t: DriverTables) -> DataFrame:
         _s(F.year("o_orderdate")).alias("deal_year"),
         F.concat(F.lit("Q"), _s(F.quarter("o_orderdate"))).alias("deal_quarter"),
         F.col("o_orderpriority").alias("deal_type"),
-        F.col("rf").alias("financing_type"),
+        F.when(F.col("rf_code").isNotNull(), F.chr(F.col("rf_code"))).alias("financing_type"),
         F.when(k % 97 == 0, F.lit("-5.5"))
         .when(k % 101 == 0, F.lit("n/a"))
         .otherwise(_dec_text(F.col("o_totalprice") / 100, "18,1"))
