@@ -57,3 +57,23 @@ def test_stream_ingest_matches_batch_fact(spark):
     streamed = pl.read_fact(wh)
     batch = m.fct_transactions().filter(F.col("deal_year").isNotNull())
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_incremental_refresh_only_on_change(spark):
+    from dealhouse.sources.csv import write_csv
+
+    m = Model(spark, SF)
+    wh = Warehouse(spark, scratch_dir(spark, "wh"))
+    src = scratch_dir(spark, "src")
+    for n in stg.STAGERS:
+        write_csv(m.raw(n), f"{src}/{n}")
+    first = pl.incremental_refresh(wh, src, RUN_TS)
+    assert first["raw.transactions"] == m.raw("transactions").count()
+    assert pl.incremental_refresh(wh, src, RUN_TS) == {}          # nothing changed
+    renamed = m.raw("targets").withColumn("target_name", F.concat(F.col("target_name"), F.lit(" X")))
+    write_csv(renamed, f"{src}/targets")
+    second = pl.incremental_refresh(wh, src, RUN_TS + dt.timedelta(days=1))
+    assert "raw.targets" in second and "raw.transactions" not in second
+    stamps = {r[0] for r in wh.read("analytics", "dim_target").select("data_date").distinct().collect()}
+    assert stamps == {(RUN_TS + dt.timedelta(days=1)).date()}    # every target renamed -> every row updated
+    assert wh.read("analytics", "dim_acquirer").select("data_date").distinct().count() == 1
