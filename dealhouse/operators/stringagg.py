@@ -1,0 +1,49 @@
+"""Ordered string aggregation per group, with hot groups pre-concatenated.
+
+``listagg(v) WITHIN GROUP (ORDER BY ...)`` gathers every value of a group in
+one task, then sorts and joins them. For groups with at least ``hot_rows``
+rows, rows are instead range-partitioned on (group, order keys), so one group
+spans many tasks; each task joins its run of the group in order, and the
+final step joins at most one partial string per range, in range order. The
+result is the same string; only the final value itself, whose size is the
+group's by definition, is built in one task.
+"""
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_GROUP_ROWS = 2_000_000
+
+
+def _listagg(value: str, order_sql: str, sep: str) -> Column:
+    return F.expr(f"listagg({value}, '{sep}') WITHIN GROUP (ORDER BY {order_sql})")
+
+
+def ordered_string_aggs(df: DataFrame, group: str, values: Sequence[str], order: Sequence[str],
+                        sep: str, names: Sequence[str], hot_rows: int = HOT_GROUP_ROWS,
+                        ranges: int | None = None) -> DataFrame:
+    """One row per group: ``names[i]`` = values[i] joined by ``sep`` in
+    ``order`` (all keys ascending, NULLs last). NULL values are skipped."""
+    order_sql = ", ".join(f"{c} ASC NULLS LAST" for c in order)
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_sa_rows"))
+    hot_keys = F.broadcast(counts.filter(F.col("_sa_rows") >= hot_rows)
+                           .select(F.col(group).alias("_sa_hot")))
+    flagged = df.join(hot_keys, F.col(group).eqNullSafe(F.col("_sa_hot")), "left")
+    is_hot = F.col("_sa_hot").isNotNull()
+
+    cold = flagged.filter(~is_hot).groupBy(group).agg(
+        *[_listagg(v, order_sql, sep).alias(n) for v, n in zip(values, names)])
+
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(group).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order]]
+    hot = (flagged.filter(is_hot).drop("_sa_hot").repartitionByRange(n, *keys)
+           .withColumn("_sa_range", F.spark_partition_id()))
+    partial = hot.groupBy(group, "_sa_range").agg(
+        *[_listagg(v, order_sql, sep).alias(n) for v, n in zip(values, names)])
+    hot_out = partial.groupBy(group).agg(
+        *[_listagg(n, "_sa_range ASC", sep).alias(n) for n in names])
+    return cold.unionByName(hot_out)

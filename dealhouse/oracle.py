@@ -336,9 +336,9 @@ ACTIVITY_SQL = with_ctes(["stg_transactions", "dim_target", "dim_acquirer"], f""
     sum(CAST(ev_revenue_multiple AS DECIMAL(38,6))) AS r_sum, count(ev_revenue_multiple) AS r_n,
     count(DISTINCT target_sector) AS distinct_target_sectors,
     string_agg(deal_type, ' | ' ORDER BY announce_date ASC NULLS LAST, transaction_id ASC NULLS LAST,
-               deal_type ASC NULLS LAST) AS deal_types_observed,
+               deal_type ASC NULLS LAST, sector_label ASC NULLS LAST) AS deal_types_observed,
     string_agg(sector_label, ' | ' ORDER BY announce_date ASC NULLS LAST, transaction_id ASC NULLS LAST,
-               sector_label ASC NULLS LAST) AS sectors_touched,
+               deal_type ASC NULLS LAST, sector_label ASC NULLS LAST) AS sectors_touched,
     min(announce_date) AS first_transaction_date,
     max(announce_date) AS most_recent_transaction_date,
     CASE WHEN acquirer_id IS NOT NULL THEN max(deal_year) - min(deal_year) + 1 END AS span

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealhouse.operators.sequence import sequence_with_prior
+from dealhouse.operators.stringagg import ordered_string_aggs
 from dealhouse.functions.measures import (
     avg_from_parts,
     deal_size_tier,
@@ -150,12 +151,7 @@ def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFra
     return out.select(*FACT_COLUMNS)
 
 
-def _ordered_listagg(value: str, order: list[str]) -> F.Column:
-    keys = ", ".join(f"{c} ASC NULLS LAST" for c in order)
-    return F.expr(f"listagg({value}, '{STRING_AGG_SEPARATOR}') WITHIN GROUP (ORDER BY {keys})")
-
-
-def activity_measures(tx: DataFrame, dim_target: DataFrame) -> DataFrame:
+def activity_measures(tx: DataFrame, dim_target: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Per-acquirer measures (no names, no stamps), one aggregation."""
     enriched = tx.select(
         "acquirer_id", "transaction_id", "deal_year", "deal_type", "deal_size_mm",
@@ -164,7 +160,11 @@ def activity_measures(tx: DataFrame, dim_target: DataFrame) -> DataFrame:
         dim_target.select(F.col("target_id").alias("_tg_id"), F.col("sector").alias("target_sector")),
         F.col("_tg_id") == F.col("target_id"), "left",
     ).withColumn("sector_label", F.coalesce(F.col("target_sector"), F.lit(UNKNOWN_SECTOR)))
-    order = ["announce_date", "transaction_id"]
+    # Total order for both lists: date, id, then the two listed values.
+    order = ["announce_date", "transaction_id", "deal_type", "sector_label"]
+    lists = ordered_string_aggs(enriched, "acquirer_id", ["deal_type", "sector_label"], order,
+                                STRING_AGG_SEPARATOR, ["deal_types_observed", "sectors_touched"],
+                                **({} if hot_rows is None else {"hot_rows": hot_rows}))
     g = enriched.groupBy("acquirer_id").agg(
         F.count(F.lit(1)).alias("deal_count"),
         fixed_sum_exact("deal_size_mm").alias("_vol"),
@@ -173,12 +173,12 @@ def activity_measures(tx: DataFrame, dim_target: DataFrame) -> DataFrame:
         fixed_sum_exact("ev_revenue_multiple").alias("_r_sum"),
         F.count("ev_revenue_multiple").alias("_r_n"),
         F.countDistinct("target_sector").alias("distinct_target_sectors"),
-        _ordered_listagg("deal_type", order + ["deal_type"]).alias("deal_types_observed"),
-        _ordered_listagg("sector_label", order + ["sector_label"]).alias("sectors_touched"),
         F.min("announce_date").alias("first_transaction_date"),
         F.max("announce_date").alias("most_recent_transaction_date"),
         (F.max("deal_year") - F.min("deal_year") + 1).alias("_span"),
     )
+    g = g.join(lists.withColumnRenamed("acquirer_id", "_l_id"),
+               F.col("acquirer_id").eqNullSafe(F.col("_l_id")), "left").drop("_l_id")
     # A NULL acquirer never matches its own span row in the SQL this mirrors.
     span = F.when(F.col("acquirer_id").isNotNull(), F.col("_span"))
     return g.select(

@@ -90,3 +90,25 @@ def test_hot_group_sequence_equals_plain_window(spark):
     a, b = fast.select(cols), plain.select(cols)
     assert a.count() == 3000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_group_string_agg_equals_direct(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from dealhouse.operators.stringagg import ordered_string_aggs
+
+    rng = random.Random(5)
+    rows = [("HOT" if i % 3 else f"A{i % 11}", rng.randrange(50) if i % 13 else None, f"t{i:04d}",
+             rng.choice(["x", "y", None, ""]), rng.choice(["s1", "s2"])) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g string, d int, id string, v string, w string")
+    order = ["d", "id", "v", "w"]
+    fast = ordered_string_aggs(df, "g", ["v", "w"], order, " | ", ["vs", "ws"], hot_rows=300, ranges=8)
+    keys = ", ".join(f"{c} ASC NULLS LAST" for c in order)
+    direct = df.groupBy("g").agg(
+        F.expr(f"listagg(v, ' | ') WITHIN GROUP (ORDER BY {keys})").alias("vs"),
+        F.expr(f"listagg(w, ' | ') WITHIN GROUP (ORDER BY {keys})").alias("ws"))
+    a = sorted(map(tuple, fast.select("g", "vs", "ws").collect()), key=str)
+    b = sorted(map(tuple, direct.select("g", "vs", "ws").collect()), key=str)
+    assert a == b and len(a) == 12
