@@ -186,7 +186,7 @@ def incremental_refresh(wh: Warehouse, source_dir: str, run_ts: dt.datetime,
     Changed sources are re-landed and re-staged; dimensions, rollups and the
     fact are rebuilt from staging. The file snapshot advances only after the
     whole refresh succeeded, so a failed run is retried next time."""
-    from dealhouse.sources.csv import scan_csv_strings
+    from dealhouse.sources.csv import scan_csv_strings, source_path
     from dealhouse.sources.files import changed_files, file_snapshot
 
     spark = wh.spark
@@ -196,7 +196,7 @@ def incremental_refresh(wh: Warehouse, source_dir: str, run_ts: dt.datetime,
     sources = sorted({r["source"] for r in changed_files(snap, prev).select("source").distinct().collect()})
     if not sources:
         return {}
-    landed = {n: scan_csv_strings(spark, f"{source_dir}/{n}") for n in sources if n in stg.STAGERS}
+    landed = {n: scan_csv_strings(spark, source_path(spark, source_dir, n)) for n in sources if n in stg.STAGERS}
     out = land_raw(wh, landed)
     out.update(refresh_core(wh, run_ts, names=[n for n in ENTITIES if n in landed]))
     out.update(refresh_fact(wh, run_ts, years))
