@@ -30,11 +30,14 @@ HOT_GROUP_ROWS = 2_000_000
 
 def sequence_with_prior(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
                         rn_name: str, prior_prefix: str = "prior_", ranges: int | None = None,
-                        hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                        hot_rows: int = HOT_GROUP_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
     """Add ``rn_name`` (1-based order within ``group``) and ``prior_<c>`` for
     each of ``lag_columns`` (value on the previous row of the same group).
-    ``group`` must not be NULL (filter such rows first)."""
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_seq_rows"))
+    ``group`` must not be NULL (filter such rows first). ``sizes_from``: a
+    cheaper frame with the same rows per group (e.g. before a dimension join)
+    to count group sizes on; only the choice of path depends on it."""
+    counts = (sizes_from if sizes_from is not None else df).groupBy(group).agg(
+        F.count(F.lit(1)).alias("_seq_rows"))
     hot_keys = F.broadcast(counts.filter(F.col("_seq_rows") >= hot_rows)
                            .select(F.col(group).alias("_seq_hot_key")))
     flagged = df.join(hot_keys, F.col(group) == F.col("_seq_hot_key"), "left")

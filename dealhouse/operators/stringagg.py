@@ -24,11 +24,13 @@ def _listagg(value: str, order_sql: str, sep: str) -> Column:
 
 def ordered_string_aggs(df: DataFrame, group: str, values: Sequence[str], order: Sequence[str],
                         sep: str, names: Sequence[str], hot_rows: int = HOT_GROUP_ROWS,
-                        ranges: int | None = None) -> DataFrame:
+                        ranges: int | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
     """One row per group: ``names[i]`` = values[i] joined by ``sep`` in
-    ``order`` (all keys ascending, NULLs last). NULL values are skipped."""
+    ``order`` (all keys ascending, NULLs last). NULL values are skipped.
+    ``sizes_from``: a cheaper frame with the same rows per group to count on."""
     order_sql = ", ".join(f"{c} ASC NULLS LAST" for c in order)
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_sa_rows"))
+    counts = (sizes_from if sizes_from is not None else df).groupBy(group).agg(
+        F.count(F.lit(1)).alias("_sa_rows"))
     hot_keys = F.broadcast(counts.filter(F.col("_sa_rows") >= hot_rows)
                            .select(F.col(group).alias("_sa_hot")))
     flagged = df.join(hot_keys, F.col(group).eqNullSafe(F.col("_sa_hot")), "left")

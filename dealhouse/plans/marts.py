@@ -164,6 +164,7 @@ def activity_measures(tx: DataFrame, dim_target: DataFrame, hot_rows: int | None
     order = ["announce_date", "transaction_id", "deal_type", "sector_label"]
     lists = ordered_string_aggs(enriched, "acquirer_id", ["deal_type", "sector_label"], order,
                                 STRING_AGG_SEPARATOR, ["deal_types_observed", "sectors_touched"],
+                                sizes_from=tx.select("acquirer_id"),
                                 **({} if hot_rows is None else {"hot_rows": hot_rows}))
     g = enriched.groupBy("acquirer_id").agg(
         F.count(F.lit(1)).alias("deal_count"),
@@ -277,7 +278,8 @@ def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt
     )
     order = [F.col(c).asc_nulls_last() for c in ["announce_date", "transaction_id", *SEQUENCE_TIEBREAK]]
     extra = {} if hot_rows is None else {"hot_rows": hot_rows}
-    lagged = sequence_with_prior(ordered, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number", **extra)
+    lagged = sequence_with_prior(ordered, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number",
+                                 sizes_from=tx.filter(F.col("target_id").isNotNull()).select("target_id"), **extra)
     both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
     out = lagged.withColumns({
         "days_since_prior_announce": F.when(
