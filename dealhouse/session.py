@@ -55,19 +55,20 @@ def apply_conf(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Read from the session's ``spark.checkpoint.dir``; only when the session has
-    none (local tests) a private folder is created and registered.
+    Read from the session's ``spark.checkpoint.dir``. A session that runs in one
+    process (``local[n]``, as in tests) and has none gets a private folder; on a
+    cluster executors could not see such a folder, so that raises instead.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    sc = spark.sparkContext
+    jdir = sc._jsc.sc().getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or (jdir.get() if jdir.isDefined() else None)
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                "no shared folder: set spark.checkpoint.dir to a path that the driver and all executors can reach")
         root = tempfile.mkdtemp(prefix="dealhouse-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    elif spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    if jdir.isEmpty():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
