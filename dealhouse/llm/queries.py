@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import simhash
+from dealhouse.llm import lz_fingerprint, simhash
 from dealhouse.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op1_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.edited_neighbours(table(spark, sf_dir, "documents"))
