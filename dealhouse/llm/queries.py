@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, quality, simhash
+from dealhouse.llm import lz_fingerprint, quality, simhash, url_filter
 from dealhouse.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLE["op8_quality_rules"] = quality.oracle_sql()
+
+
+@query
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+LLM_ORACLE["op9_url_filters"] = url_filter.oracle_sql()
