@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, quality, simhash, url_filter
+from dealhouse.llm import lz_fingerprint, quality, simhash, toxicity, url_filter
 from dealhouse.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,13 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLE["op9_url_filters"] = url_filter.oracle_sql()
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    spans = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), spans.alias("toxic_spans"))

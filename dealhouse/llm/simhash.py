@@ -100,14 +100,15 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, max_posting: int
     """Pairs ``(a, b)``, a < b, of distinct fingerprints (``fp``) within ``max_bits`` (two at most) bits."""
     if max_bits > 2:
         raise ValueError("the posting families guarantee a meeting for at most two differing bytes")
-    spark = fps.sparkSession
     families = posting_families()
     open_members = fps.select("fp").withColumn("parent", F.lit(0))
     found = None
     for level, family in enumerate(families):
-        table = F.broadcast(spark.createDataFrame(family, "parent int, family int, mask long"))  # 1296 rows at most
-        posts = (open_members.join(table, "parent")
-                 .select("family", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"))
+        children = [[F.struct(F.lit(f).alias("family"), F.lit(m).cast("long").alias("mask")) for p, f, m in family if p == parent]
+                    for parent in range(family[-1][0] + 1)]  # fixed: six per family of the level before
+        posts = (open_members
+                 .select("fp", F.explode(F.get(F.array(*[F.array(*c) for c in children]), F.col("parent"))).alias("at"))
+                 .select("at.family", F.col("fp").bitwiseAND(F.col("at.mask")).alias("key"), "fp"))
         sizes = posts.groupBy("family", "key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         posts = materialize(posts.join(sizes, ["family", "key"]), f"postings-{level}")
         last = level + 1 == len(families)  # four free bits: at most sixteen members
