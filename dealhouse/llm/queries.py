@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, quality, simhash, toxicity, url_filter
-from dealhouse.llm.common import table
+from dealhouse.llm import lz_fingerprint, pii, quality, simhash, toxicity, url_filter
+from dealhouse.llm.common import materialize, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -53,3 +53,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), spans.alias("toxic_spans"))
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = materialize(pii.find_candidates(table(spark, sf_dir, "documents")), "pii")
+    return pii.report(found, pii.fit(found))
