@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, pii, quality, simhash, toxicity, url_filter
+from dealhouse.llm import lz_fingerprint, mixing, pieces, pii, quality, simhash, toxicity, url_filter
 from dealhouse.llm.common import materialize, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = materialize(pii.find_candidates(table(spark, sf_dir, "documents")), "pii")
     return pii.report(found, pii.fit(found))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
