@@ -6,8 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, mixing, pieces, pii, quality, simhash, toxicity, url_filter
+from dealhouse.llm import lz_fingerprint, mixing, pieces, pii, quality, simhash, toxicity, url_filter, warc
 from dealhouse.llm.common import materialize, table
+from dealhouse.session import scratch_dir
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -69,3 +70,8 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
