@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, mixing, pieces, pii, quality, simhash, toxicity, url_filter, warc
+from dealhouse.llm import lz_fingerprint, mixing, pieces, pii, quality, simhash, tool_calls, toxicity, url_filter, warc
 from dealhouse.llm.common import materialize, table
 from dealhouse.session import scratch_dir
 
@@ -75,3 +75,12 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+
+
+@query
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.calls_and_results(table(spark, sf_dir, "conversations"))
+    return tool_calls.link_tool_calls(calls, results, tool_calls.SCHEMAS)
+
+
+LLM_ORACLE["op5_tool_calls"] = tool_calls.oracle_sql()
