@@ -36,7 +36,7 @@ class Threshold:
     high: float | None = None
 
     def fails(self) -> Column:
-        ratio = F.col(self.part) / F.col(self.whole)
+        ratio = F.try_divide(F.col(self.part), F.col(self.whole))
         tests = [ratio < self.low] if self.low is not None else []
         tests += [ratio > self.high] if self.high is not None else []
         return F.coalesce(tests[0] if len(tests) == 1 else tests[0] | tests[1], F.lit(False))
