@@ -22,7 +22,7 @@ from dealhouse.operators.rules import ALL_CHECKS
 from dealhouse.plans import pipeline
 from dealhouse.plans.config import open_warehouse
 from dealhouse.session import apply_conf
-from dealhouse.sources.csv import export_csv_with_manifest, scan_csv_strings, source_path
+from dealhouse.sources.csv import export_csv_with_manifest
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -38,8 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     wh, cfg = open_warehouse(spark)
     run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if args.command == "refresh":
-        sources = {n: scan_csv_strings(spark, source_path(spark, cfg.data_dir, n)) for n in stg.STAGERS}
-        out = pipeline.refresh(wh, sources, run_ts, args.years)
+        out = pipeline.land_csv_sources(wh, cfg.data_dir, list(stg.STAGERS))
+        out.update(pipeline.refresh(wh, None, run_ts, args.years))
     elif args.command == "incremental":
         out = pipeline.incremental_refresh(wh, cfg.data_dir, run_ts, args.years)
     elif args.command == "fact":

@@ -26,16 +26,6 @@ def fixed_sum_exact(c) -> Column:
     return F.sum(_col(c).cast(FIXED_POINT))
 
 
-def fixed_sum(c) -> Column:
-    return fixed_sum_exact(c).cast("double")
-
-
-def avg_fixed(c) -> Column:
-    x = _col(c)
-    n = F.count(x)
-    return F.when(n > 0, fixed_sum_exact(x).cast("double") / n)
-
-
 def avg_from_parts(sum_dec: Column, n: Column) -> Column:
     """AVG from an exact decimal sum and a non-null count."""
     return F.when(n > 0, sum_dec.cast("double") / n)

@@ -42,11 +42,16 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
 def scd1_merge(current: DataFrame | None, source: DataFrame, keys: Sequence[str],
                columns: Sequence[str], hash_column: str | None = "row_content_hash",
                check_unique: bool = True) -> DataFrame:
+    """The next version of ``current`` after upserting ``source``.
+
+    A first load (no ``current``) takes the source as it is, repeated keys included, so that
+    downstream checks can report them; an upsert from a source that repeats a key raises.
+    ``source`` is read twice (uniqueness, merge): hand in a written table."""
     src = source.select(*columns)
-    if check_unique:
-        assert_unique_keys(src, keys)
     if current is None:
         return src
+    if check_unique:
+        assert_unique_keys(src, keys)
     cur = ensure_columns(current, src.schema).select(*columns)
     t = cur.select(*[F.col(c).alias(f"t__{c}") for c in columns], F.lit(True).alias("t__present"))
     s = src.select(*[F.col(c).alias(f"s__{c}") for c in columns], F.lit(True).alias("s__present"))

@@ -1,20 +1,15 @@
-"""Ordered numbering and previous-row values per group, tolerant of hot groups.
-
-``Window.partitionBy(g).orderBy(...)`` sends every row of a group to one task,
-so a group holding a third of the data becomes one straggler task. Here the
-rows are range-partitioned on (group, order keys) instead: Spark samples the
-composite key and cuts a hot group into several contiguous ranges. Each range
-is numbered locally, and a per-(range, group) summary, at most one row per
-range and group, supplies the offset to add and the last row of the previous
-range (the carry-in for the first row's previous values). The result equals
-``row_number()`` / ``lag(1)`` over the plain window.
-
-The range path costs two extra shuffles, so only hot groups take it:
-``sequence_with_prior`` counts rows per group (partial aggregation), marks
-groups with at least ``hot_rows`` rows through a broadcast of their keys (at
-most total_rows / hot_rows keys, a bound fixed by construction), numbers cold
-groups with the plain window (whose shuffle by group the upstream plan often
-already provides) and hot groups with the range path, and unions both.
+"""Ordered numbering and previous-row values per group, without a group in one task.
+
+``Window.partitionBy(g).orderBy(...)`` sends every row of a group to one task. Here rows
+are dealt by (group, first order key) instead: each such slice is numbered by itself, and a
+summary per slice (its rows and its last row, combined before the shuffle) gives the offset
+to add and the values to carry over from the slice before. Slices are a function of the
+row's own values, nothing is sampled, so both reads of the input agree whatever columns
+they keep. The result equals ``row_number()`` / ``lag(1)`` over the plain window, at every
+group size, by one path.
+
+Only rows that agree in both group and first order key meet in one task; the windows over
+summaries see a row per distinct first key.
 """
 from __future__ import annotations
 
@@ -24,70 +19,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Groups with at least this many rows are numbered on the range path.
-HOT_GROUP_ROWS = 2_000_000
-
-
-def sequence_with_prior(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
-                        rn_name: str, prior_prefix: str = "prior_", ranges: int | None = None,
-                        hot_rows: int = HOT_GROUP_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
-    """Add ``rn_name`` (1-based order within ``group``) and ``prior_<c>`` for
-    each of ``lag_columns`` (value on the previous row of the same group).
-    ``group`` must not be NULL (filter such rows first). ``sizes_from``: a
-    cheaper frame with the same rows per group (e.g. before a dimension join)
-    to count group sizes on; only the choice of path depends on it."""
-    counts = (sizes_from if sizes_from is not None else df).groupBy(group).agg(
-        F.count(F.lit(1)).alias("_seq_rows"))
-    hot_keys = F.broadcast(counts.filter(F.col("_seq_rows") >= hot_rows)
-                           .select(F.col(group).alias("_seq_hot_key")))
-    flagged = df.join(hot_keys, F.col(group) == F.col("_seq_hot_key"), "left")
-    is_hot = F.col("_seq_hot_key").isNotNull()
-    cold = _plain_sequence(flagged.filter(~is_hot).drop("_seq_hot_key"), group, order, lag_columns,
-                           rn_name, prior_prefix)
-    hot = _ranged_sequence(flagged.filter(is_hot).drop("_seq_hot_key"), group, order, lag_columns,
-                           rn_name, prior_prefix, ranges)
-    return cold.unionByName(hot)
-
-
-def _plain_sequence(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
-                    rn_name: str, prior_prefix: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumns({
-        rn_name: F.row_number().over(w).cast("bigint"),
-        **{f"{prior_prefix}{c}": F.lag(c).over(w) for c in lag_columns},
-    })
-
-
-def _ranged_sequence(df: DataFrame, group: str, order: Sequence[Column], lag_columns: Sequence[str],
-                     rn_name: str, prior_prefix: str, ranges: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(group).asc_nulls_last(), *order]
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_seq_range", F.spark_partition_id())
-              .withColumn("_seq_pos", F.monotonically_increasing_id()))
-    local = Window.partitionBy("_seq_range", group).orderBy("_seq_pos")
-    numbered = ranged.withColumns({
-        "_seq_local": F.row_number().over(local),
-        **{f"_seq_lag_{c}": F.lag(c).over(local) for c in lag_columns},
-    })
-    last = F.max_by(F.struct(*[F.col(c) for c in lag_columns]), F.col("_seq_pos"))
-    chunks = numbered.groupBy("_seq_range", group).agg(F.count(F.lit(1)).alias("_seq_n"),
-                                                       last.alias("_seq_last"))
-    across = Window.partitionBy(group).orderBy("_seq_range")
-    chunks = chunks.select(
-        F.col("_seq_range").alias("_c_range"), F.col(group).alias("_c_group"),
-        F.coalesce(F.sum("_seq_n").over(across.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_seq_offset"),
-        F.lag("_seq_last").over(across).alias("_seq_carry"),
-    )
-    # Plain equality keeps the (range, group) partitioning of ``numbered``.
-    j = numbered.join(chunks, (F.col("_seq_range") == F.col("_c_range"))
-                      & (F.col(group) == F.col("_c_group")), "left")
-    first = F.col("_seq_local") == 1
-    out = j.withColumns({
-        rn_name: (F.col("_seq_local") + F.col("_seq_offset")).cast("bigint"),
-        **{f"{prior_prefix}{c}": F.when(first, F.col("_seq_carry")[c]).otherwise(F.col(f"_seq_lag_{c}"))
-           for c in lag_columns},
-    })
-    return out.drop(*[c for c in out.columns if c.startswith("_seq_") or c.startswith("_c_")])
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
+def sequence_with_prior(df: DataFrame, group: str, order: Sequence[str], lag_columns: Sequence[str],
+                        rn_name: str, prior_prefix: str = "prior_") -> DataFrame:
+    """Add ``rn_name`` (1-based order within ``group``) and ``prior_<c>`` for each of
+    ``lag_columns`` (value on the previous row of the same group).
+
+    ``order``: columns, all ascending with NULLs last; together they should tell rows apart.
+    ``group`` must not be NULL (filter such rows first)."""
+    slice_key, rest = order[0], order[1:]
+    # NULLs last in a struct comparison: the flag goes before the value.
+    rank = F.struct(*[x for c in rest for x in (F.col(c).isNull(), F.col(c))]) if rest else F.lit(0)
+    slices = df.groupBy(F.col(group).alias("_s_group"), F.col(slice_key).alias("_s_key")).agg(
+        F.count(F.lit(1)).alias("_s_rows"),
+        F.max_by(F.struct(*lag_columns), rank).alias("_s_last"))
+    across = Window.partitionBy("_s_group").orderBy(F.col("_s_key").asc_nulls_last())
+    before = slices.select(
+        "_s_group", "_s_key",
+        F.coalesce(F.sum("_s_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s_offset"),
+        F.lag("_s_last").over(across).alias("_s_carry"))
+    within = Window.partitionBy(group, slice_key).orderBy(*(_ascending(rest) or [F.lit(0)]))
+    numbered = df.withColumns({
+        "_s_local": F.row_number().over(within),
+        **{f"_s_lag_{c}": F.lag(c).over(within) for c in lag_columns}})
+    joined = numbered.join(
+        before, (F.col(group) == F.col("_s_group")) & F.col(slice_key).eqNullSafe(F.col("_s_key")), "left")
+    first = F.col("_s_local") == 1
+    return joined.select(
+        *df.columns,
+        (F.col("_s_local") + F.col("_s_offset")).cast("bigint").alias(rn_name),
+        *[F.when(first, F.col("_s_carry")[c]).otherwise(F.col(f"_s_lag_{c}")).alias(f"{prior_prefix}{c}")
+          for c in lag_columns])

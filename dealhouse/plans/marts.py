@@ -2,30 +2,29 @@
 
 Scale notes (each plan was checked with ``explain('formatted')``):
 
-* ``fct_transactions``: four left joins from the deal grain. Dimension sides
-  are broadcast only when their measured size is under the session's
-  broadcast threshold; otherwise sort-merge with AQE skew splitting of the
-  deal side (a hot target or acquirer key is split across tasks).
+* ``fct_transactions``: four left joins from the deal grain. Sides are broadcast only
+  where AQE measures them under the session's bound; otherwise sort-merge, and the skew
+  rule may split a hot target or acquirer even where that costs another shuffle
+  (``forceOptimizeSkewedJoin``).
 * ``rpt_sector_trend_summary``: deals are pre-aggregated to
   (target_id, deal_year) *before* the join to ``dim_target``, so the join and
   its shuffle see one row per pair instead of one per deal, and a hot target
   collapses to a handful of rows. Sums are exact decimals, so re-aggregating
   partials is exact.
-* ``dim_acquirer_activity``: one aggregation per acquirer (the year span is a
-  column of the same aggregation, not a self-join); names are joined after
-  aggregation, on the small side.
-* ``fct_target_deal_sequence``: ``row_number`` and all ``lag``s share one
-  window spec, so the plan has one exchange and one sort.
+* ``dim_acquirer_activity``: deals are aggregated by (acquirer, announce date) first,
+  measures and ordered lists alike, then those partials by acquirer: one scan, and no task
+  sorts more than one day of an acquirer's deals. Names are joined after aggregation.
+* ``fct_target_deal_sequence``: numbered by ``sequence_with_prior`` before the join to
+  ``dim_target``, so the join adds columns to finished rows.
 """
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealhouse.operators.sequence import sequence_with_prior
-from dealhouse.operators.stringagg import ordered_string_aggs
 from dealhouse.functions.measures import (
     avg_from_parts,
     deal_size_tier,
@@ -95,10 +94,8 @@ def dimension_rows(staged: DataFrame, columns: list[str], run_ts: dt.datetime) -
 
 def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFrame,
                      multiples: DataFrame, financials: DataFrame, data_date: dt.date,
-                     years: list[int] | None = None, broadcast: frozenset[str] = frozenset()) -> DataFrame:
-    """``broadcast`` names the sides ('target', 'acquirer', 'multiples',
-    'financials') whose size the caller has checked; others are left to AQE,
-    which broadcasts only what it measures under the session threshold."""
+                     years: list[int] | None = None) -> DataFrame:
+    """One row per deal (years: only those), with its target, benchmark and buyer."""
     t = tx if years is None else tx.filter(F.col("deal_year").isin(list(years)))
     tg = dim_target.select(
         F.col("target_id").alias("_tg_id"), "target_name",
@@ -126,13 +123,6 @@ def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFra
         F.col("cash_on_hand_mm").alias("acquirer_cash_mm"),
         F.col("total_assets_mm").alias("acquirer_total_assets_mm"),
     )
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return F.broadcast(df) if name in broadcast else df
-
-    tg, aq, sm, af = side(tg, "target"), side(aq, "acquirer"), side(sm, "multiples"), side(af, "financials")
-    # Order: target, then the benchmark keyed by the target's sector, then the
-    # two acquirer-keyed sides back to back so the second can reuse the
-    # first's partitioning by acquirer_id when neither is broadcast.
     j = (
         t.join(tg, F.col("_tg_id") == F.col("target_id"), "left")
         .join(sm, (F.col("_sm_sector") == F.col("target_sector"))
@@ -151,8 +141,15 @@ def fct_transactions(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFra
     return out.select(*FACT_COLUMNS)
 
 
-def activity_measures(tx: DataFrame, dim_target: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """Per-acquirer measures (no names, no stamps), one aggregation."""
+def _joined(value: str, order: list[str]) -> F.Column:
+    by = ", ".join(f"{c} ASC NULLS LAST" for c in order)
+    return F.expr(f"listagg({value}, '{STRING_AGG_SEPARATOR}') WITHIN GROUP (ORDER BY {by})")
+
+
+def activity_measures(tx: DataFrame, dim_target: DataFrame) -> DataFrame:
+    """Per-acquirer measures (no names, no stamps): by day first, then the days of an acquirer.
+
+    Lists are in the order of date, id, and the two listed values."""
     enriched = tx.select(
         "acquirer_id", "transaction_id", "deal_year", "deal_type", "deal_size_mm",
         "ev_ebitda_multiple", "ev_revenue_multiple", "announce_date", "target_id",
@@ -160,26 +157,29 @@ def activity_measures(tx: DataFrame, dim_target: DataFrame, hot_rows: int | None
         dim_target.select(F.col("target_id").alias("_tg_id"), F.col("sector").alias("target_sector")),
         F.col("_tg_id") == F.col("target_id"), "left",
     ).withColumn("sector_label", F.coalesce(F.col("target_sector"), F.lit(UNKNOWN_SECTOR)))
-    # Total order for both lists: date, id, then the two listed values.
-    order = ["announce_date", "transaction_id", "deal_type", "sector_label"]
-    lists = ordered_string_aggs(enriched, "acquirer_id", ["deal_type", "sector_label"], order,
-                                STRING_AGG_SEPARATOR, ["deal_types_observed", "sectors_touched"],
-                                sizes_from=tx.select("acquirer_id"),
-                                **({} if hot_rows is None else {"hot_rows": hot_rows}))
-    g = enriched.groupBy("acquirer_id").agg(
-        F.count(F.lit(1)).alias("deal_count"),
-        fixed_sum_exact("deal_size_mm").alias("_vol"),
-        fixed_sum_exact("ev_ebitda_multiple").alias("_e_sum"),
-        F.count("ev_ebitda_multiple").alias("_e_n"),
-        fixed_sum_exact("ev_revenue_multiple").alias("_r_sum"),
-        F.count("ev_revenue_multiple").alias("_r_n"),
-        F.countDistinct("target_sector").alias("distinct_target_sectors"),
+    in_day = ["transaction_id", "deal_type", "sector_label"]
+    days = enriched.groupBy("acquirer_id", "announce_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        fixed_sum_exact("deal_size_mm").alias("vol"),
+        fixed_sum_exact("ev_ebitda_multiple").alias("e_sum"), F.count("ev_ebitda_multiple").alias("e_n"),
+        fixed_sum_exact("ev_revenue_multiple").alias("r_sum"), F.count("ev_revenue_multiple").alias("r_n"),
+        F.sort_array(F.collect_set("target_sector")).alias("sectors"),
+        _joined("deal_type", in_day).alias("types"), _joined("sector_label", in_day).alias("labels"),
+        F.min("deal_year").alias("from_year"), F.max("deal_year").alias("to_year"),
+    )
+    g = days.groupBy("acquirer_id").agg(
+        F.sum("n").alias("deal_count"),
+        F.sum("vol").cast("decimal(38,6)").alias("_vol"),
+        F.sum("e_sum").cast("decimal(38,6)").alias("_e_sum"), F.sum("e_n").alias("_e_n"),
+        F.sum("r_sum").cast("decimal(38,6)").alias("_r_sum"), F.sum("r_n").alias("_r_n"),
+        # sets of sector names, a short list whatever the number of deals
+        F.size(F.array_distinct(F.flatten(F.collect_set("sectors")))).cast("bigint").alias("distinct_target_sectors"),
+        _joined("types", ["announce_date"]).alias("deal_types_observed"),
+        _joined("labels", ["announce_date"]).alias("sectors_touched"),
         F.min("announce_date").alias("first_transaction_date"),
         F.max("announce_date").alias("most_recent_transaction_date"),
-        (F.max("deal_year") - F.min("deal_year") + 1).alias("_span"),
+        (F.max("to_year") - F.min("from_year") + 1).alias("_span"),
     )
-    g = g.join(lists.withColumnRenamed("acquirer_id", "_l_id"),
-               F.col("acquirer_id").eqNullSafe(F.col("_l_id")), "left").drop("_l_id")
     # A NULL acquirer never matches its own span row in the SQL this mirrors.
     span = F.when(F.col("acquirer_id").isNotNull(), F.col("_span"))
     return g.select(
@@ -252,34 +252,25 @@ def rpt_sector_trend_summary(tx: DataFrame, dim_target: DataFrame, data_date: dt
             .orderBy(F.col("sector").asc_nulls_last(), F.col("deal_year").asc_nulls_last()))
 
 
-def sequence_window(extra_order: list[str]) -> Window:
-    order = [F.col("announce_date").asc_nulls_last(), F.col("transaction_id").asc_nulls_last()]
-    order += [F.col(c).asc_nulls_last() for c in extra_order]
-    return Window.partitionBy("target_id").orderBy(*order)
-
-
 # Tie-breakers after (announce_date, transaction_id) so that repeated ids
 # still get a reproducible sequence on every engine and every retry.
 SEQUENCE_TIEBREAK = ["acquirer_id", "close_date", "outcome", "deal_size_mm", "ev_ebitda_multiple",
                      "ev_revenue_multiple", "deal_year", "deal_quarter", "deal_type", "financing_type",
-                     "num_bidders", "days_to_close", "target_name", "target_sector"]
+                     "num_bidders", "days_to_close"]
 
 
-def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt.date,
-                             hot_rows: int | None = None) -> DataFrame:
-    ordered = tx.filter(F.col("target_id").isNotNull()).select(
+def fct_target_deal_sequence(tx: DataFrame, dim_target: DataFrame, data_date: dt.date) -> DataFrame:
+    deals = tx.filter(F.col("target_id").isNotNull()).select(
         "transaction_id", "target_id", "acquirer_id", "announce_date", "close_date", "deal_year",
         "deal_quarter", "deal_type", "financing_type", "deal_size_mm", "ev_ebitda_multiple",
         "ev_revenue_multiple", "outcome", "num_bidders", "days_to_close",
-    ).join(
+    )
+    order = ["announce_date", "transaction_id", *SEQUENCE_TIEBREAK]
+    lagged = sequence_with_prior(deals, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number").join(
         dim_target.select(F.col("target_id").alias("_tg_id"), "target_name",
                           F.col("sector").alias("target_sector")),
         F.col("_tg_id") == F.col("target_id"), "left",
     )
-    order = [F.col(c).asc_nulls_last() for c in ["announce_date", "transaction_id", *SEQUENCE_TIEBREAK]]
-    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
-    lagged = sequence_with_prior(ordered, "target_id", order, LAGGED_COLUMNS, "deal_sequence_number",
-                                 sizes_from=tx.filter(F.col("target_id").isNotNull()).select("target_id"), **extra)
     both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
     out = lagged.withColumns({
         "days_since_prior_announce": F.when(

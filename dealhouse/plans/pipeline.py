@@ -6,8 +6,9 @@ recomputes from the last written table, never from the sources.
 
 * ``refresh_core``: staging (+ quarantine), SCD1 dimensions, the acquirer
   rollup (SCD1 too), the sector report and the target timeline.
-* ``refresh_fact``: the year-partitioned fact; one job for every requested
-  year (dynamic partition overwrite), years without rows cleared.
+* ``refresh_fact``: the year-partitioned fact; one job for the requested years,
+  or for the whole year domain (dynamic partition overwrite). A requested year
+  without rows is cleared; over the whole domain, so is any other partition.
 * ``refresh``: both, returning row counts observed during the writes.
 """
 from __future__ import annotations
@@ -25,6 +26,8 @@ from dealhouse.plans import marts
 from dealhouse.plans.warehouse import Warehouse
 
 ENTITIES = list(stg.STAGERS)
+# Stream landing in the staging layer: a folder per micro-batch, and their compacted table.
+STREAM_TABLE, STREAM_BASE = "transactions_stream", "transactions_stream_base"
 
 
 def land_raw(wh: Warehouse, sources: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -45,6 +48,9 @@ def refresh_staging(wh: Warehouse, names: Sequence[str] = ENTITIES) -> dict[str,
 def _merge_table(wh: Warehouse, name: str, source: DataFrame, keys: list[str], columns: list[str]) -> int:
     current = wh.read("analytics", name) if wh.exists("analytics", name) else None
     if current is not None:
+        # The merge reads its source twice: land it once.
+        wh.write("staging", f"merge_{name}", source.select(*columns))
+        source = wh.read("staging", f"merge_{name}")
         current = ensure_columns(current, T.StructType([
             T.StructField("data_date", T.DateType()), T.StructField("row_content_hash", T.StringType())]))
     return wh.write("analytics", name, scd1_merge(current, source, keys, columns))
@@ -60,8 +66,45 @@ def refresh_dimensions(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
     }
 
 
+def staged_transactions(wh: Warehouse) -> DataFrame:
+    """Every clean transaction, landed by batch or by stream: the one source of fact and marts."""
+    batch = wh.read("staging", "transactions")
+    return batch.unionByName(staged_stream(wh, batch.schema))
+
+
+def _stream_batches(wh: Warehouse) -> list[int]:
+    folders = wh.list_dir(wh.table_path("staging", STREAM_TABLE))
+    return sorted(int(f.removeprefix("batch=")) for f in folders if f.startswith("batch="))
+
+
+def staged_stream(wh: Warehouse, schema: T.StructType) -> DataFrame:
+    """Clean transactions landed by the stream: the compacted table and the batches after it."""
+    through, base = -1, wh.spark.createDataFrame([], schema)
+    if wh.exists("staging", STREAM_BASE):
+        compacted = wh.read("staging", STREAM_BASE)
+        through = compacted.agg(F.max("through_batch")).first()[0]
+        through, base = -1 if through is None else through, compacted.select(*schema.names)
+    root = wh.table_path("staging", STREAM_TABLE)
+    paths = [f"{root}/batch={b:09d}" for b in _stream_batches(wh) if b > through]
+    return base.unionByName(wh.spark.read.schema(schema).parquet(*paths)) if paths else base
+
+
+def compact_stream(wh: Warehouse, max_batches: int = 32) -> None:
+    """Merge the stream's batch folders into one table once there are more than ``max_batches``.
+
+    The table names the last batch it holds, so a crash before the folders are deleted
+    counts no row twice."""
+    batches = _stream_batches(wh)
+    if len(batches) <= max_batches:
+        return
+    schema = wh.read("staging", "transactions").schema
+    wh.write("staging", STREAM_BASE, staged_stream(wh, schema).withColumn("through_batch", F.lit(batches[-1])))
+    for b in batches:
+        wh.delete_path(f"{wh.table_path('staging', STREAM_TABLE)}/batch={b:09d}")
+
+
 def refresh_marts(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
-    tx = wh.read("staging", "transactions")
+    tx = staged_transactions(wh)
     dim_target = wh.read("analytics", "dim_target")
     dim_acquirer = wh.read("analytics", "dim_acquirer")
     activity = marts.dim_acquirer_activity(tx, dim_target, dim_acquirer, run_ts)
@@ -85,44 +128,30 @@ def refresh_core(wh: Warehouse, run_ts: dt.datetime, names: Sequence[str] = ENTI
 
 
 FACT_TABLE = "fct_transactions"
-
-
-# A dimension side is broadcast only when its recorded row count is at most
-# this; the joined columns are narrow (ids, names, a few measures), so the
-# bound keeps each broadcast in the tens of megabytes.
-BROADCAST_MAX_ROWS = 500_000
-
-_FACT_SIDES = {
-    "target": ("analytics", "dim_target"),
-    "acquirer": ("analytics", "dim_acquirer"),
-    "multiples": ("staging", "sector_multiples"),
-    "financials": ("staging", "acquirer_financials"),
-}
-
-
-def broadcastable(wh: Warehouse, max_rows: int = BROADCAST_MAX_ROWS) -> frozenset[str]:
-    out = set()
-    for side, (layer, name) in _FACT_SIDES.items():
-        n = wh.row_count(layer, name)
-        if n is not None and n <= max_rows:
-            out.add(side)
-    return frozenset(out)
+# Years that the fact may hold; others, and deals without a year, stay in staging.
+YEAR_DOMAIN = range(1990, 2036)
 
 
 def fact_source(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,
                 transactions: DataFrame | None = None) -> DataFrame:
-    tx = transactions if transactions is not None else wh.read("staging", "transactions")
+    tx = transactions if transactions is not None else staged_transactions(wh)
     return marts.fct_transactions(
         tx, wh.read("analytics", "dim_target"), wh.read("analytics", "dim_acquirer"),
         wh.read("staging", "sector_multiples"), wh.read("staging", "acquirer_financials"),
-        run_ts.date(), list(years) if years else None, broadcast=broadcastable(wh))
+        run_ts.date(), list(years) if years else None)
 
 
 def refresh_fact(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,
-                 transactions: DataFrame | None = None) -> dict[str, int]:
-    src = fact_source(wh, run_ts, years, transactions)
-    counts = wh.replace_partitions("analytics", FACT_TABLE, src, "deal_year", years)
-    out = {f"analytics.{FACT_TABLE}[{y}]": n for y, n in counts.items()}
+                 transactions: DataFrame | None = None, domain: Sequence[int] = YEAR_DOMAIN) -> dict[str, int]:
+    """Replace the fact's ``years``, or, without any, all of ``domain`` and nothing beside it.
+
+    Years outside the domain are an error: no such partition may exist."""
+    if outside := sorted(set(years or ()) - set(domain)):
+        raise ValueError(f"years outside the fact's domain: {outside}")
+    wanted = list(years) if years else list(domain)
+    src = fact_source(wh, run_ts, wanted, transactions)
+    counts = wh.replace_partitions("analytics", FACT_TABLE, src, "deal_year", wanted, only=not years)
+    out = {f"analytics.{FACT_TABLE}[{y}]": n for y, n in counts.items() if n or years}
     out[f"analytics.{FACT_TABLE}"] = wh.last_written_rows
     return out
 
@@ -168,37 +197,42 @@ def refresh(wh: Warehouse, sources: Mapping[str, DataFrame] | None, run_ts: dt.d
     return out
 
 
-def row_counts_frame(spark, metrics: Mapping[str, int]) -> DataFrame:
-    rows = [(k, int(v)) for k, v in sorted(metrics.items())]
-    return spark.createDataFrame(rows, "table_name string, row_count bigint")
-
+def land_csv_sources(wh: Warehouse, source_dir: str, names: Sequence[str]) -> dict[str, int]:
+    """Land CSV sources: rows of the header's width as raw tables, others as ``<name>_rejected``."""
+    from dealhouse.sources.csv import scan_csv_checked, source_path
 
-def years_in(df: DataFrame) -> list[int]:
-    """Distinct partition years of a (small, already filtered) frame."""
-    return sorted(r[0] for r in df.select("deal_year").where(F.col("deal_year").isNotNull())
-                  .distinct().collect())
+    out: dict[str, int] = {}
+    for n in names:
+        good, bad = scan_csv_checked(wh.spark, source_path(wh.spark, source_dir, n))
+        out[f"raw.{n}"] = wh.write("raw", n, good)
+        out[f"raw.{n}_rejected"] = wh.write("raw", f"{n}_rejected", bad)
+    return out
 
 
 def incremental_refresh(wh: Warehouse, source_dir: str, run_ts: dt.datetime,
                         years: Sequence[int] | None = None) -> dict[str, int]:
     """Refresh only when source files changed since the last successful run.
 
-    Changed sources are re-landed and re-staged; dimensions, rollups and the
-    fact are rebuilt from staging. The file snapshot advances only after the
-    whole refresh succeeded, so a failed run is retried next time."""
-    from dealhouse.sources.csv import scan_csv_strings, source_path
+    Changed sources are re-landed and re-staged; dimensions, rollups and the fact are
+    rebuilt from staging. The file snapshot is written when the change is detected, before
+    any source is read, and takes effect only after the whole refresh succeeded: a failed
+    run is retried, and a file rewritten during a run is picked up by the next one. Files
+    that belong to no source (such as a stream's landing folder) are no change.
+
+    A source whose files are gone raises ``MissingSourceError`` on this and every later run
+    until it is back; a file with the header alone empties it on purpose."""
     from dealhouse.sources.files import changed_files, file_snapshot
 
-    spark = wh.spark
-    snap = file_snapshot(spark, source_dir)
+    wh.write("_meta", "file_snapshot_pending", file_snapshot(wh.spark, source_dir))
+    snap = wh.read("_meta", "file_snapshot_pending")
     prev = wh.read("_meta", "file_snapshot") if wh.exists("_meta", "file_snapshot") else None
     # One row per changed source table (a handful), not per data row.
-    sources = sorted({r["source"] for r in changed_files(snap, prev).select("source").distinct().collect()})
-    if not sources:
+    changed = changed_files(snap, prev).filter(F.col("source").isin(ENTITIES)).select("source").distinct().collect()
+    names = [n for n in ENTITIES if n in {r["source"] for r in changed}]
+    if not names:
         return {}
-    landed = {n: scan_csv_strings(spark, source_path(spark, source_dir, n)) for n in sources if n in stg.STAGERS}
-    out = land_raw(wh, landed)
-    out.update(refresh_core(wh, run_ts, names=[n for n in ENTITIES if n in landed]))
+    out = land_csv_sources(wh, source_dir, names)
+    out.update(refresh_core(wh, run_ts, names=names))
     out.update(refresh_fact(wh, run_ts, years))
     wh.write("_meta", "file_snapshot", snap)
     return out

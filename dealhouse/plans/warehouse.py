@@ -3,7 +3,9 @@
 ``<root>/<layer>/<table>/v=<n>/`` holds full versions of replace-style and
 merged tables; a version counts once Spark's job commit has written its
 ``_SUCCESS`` marker, so a crashed write is never read. Readers take the
-newest complete version; older ones are kept for rollback (``keep``).
+newest complete version; older ones are kept for rollback (``keep``), and no
+version goes before it is ``retain_s`` seconds old, so that readers which
+resolved an older one can finish.
 ``<root>/analytics/fct_transactions/deal_year=<y>/`` holds the partitioned
 fact, replaced per year through Spark's dynamic partition overwrite.
 
@@ -12,6 +14,7 @@ HDFS, object stores and local disk.
 """
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,11 +31,13 @@ class ReadOnlyWarehouse(PermissionError):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, read_only: bool = False, keep: int = 2):
+    def __init__(self, spark: SparkSession, root: str, read_only: bool = False, keep: int = 2,
+                 retain_s: int = 3600):
         self.spark = spark
         self.root = root.rstrip("/")
         self.read_only = read_only
         self.keep = keep
+        self.retain_s = retain_s
         self.last_written_rows = 0
 
     # -- file system ---------------------------------------------------------
@@ -68,6 +73,10 @@ class Warehouse:
         finally:
             stream.close()
 
+    def age_s(self, p: str) -> float:
+        fs, jp = self._path(p)
+        return time.time() - fs.getFileStatus(jp).getModificationTime() / 1000
+
     def delete_path(self, p: str) -> None:
         self._guard()
         fs, jp = self._path(p)
@@ -120,7 +129,8 @@ class Warehouse:
         rows = int(obs.get["rows"])
         self._write_text(f"{base}/v={nxt:06d}/{ROWS_FILE}", str(rows))
         for old in self.versions(layer, name)[:-self.keep]:
-            self.delete_path(f"{base}/v={old:06d}")
+            if self.age_s(f"{base}/v={old:06d}") >= self.retain_s:
+                self.delete_path(f"{base}/v={old:06d}")
         return rows
 
     # -- partitioned table ---------------------------------------------------
@@ -134,14 +144,14 @@ class Warehouse:
         return self.spark.read.schema(schema).parquet(path).select(*columns)
 
     def replace_partitions(self, layer: str, name: str, df: DataFrame, part_col: str,
-                           values: Sequence[int] | None = None) -> dict[int, int]:
+                           values: Sequence[int] | None = None, only: bool = False) -> dict[int, int]:
         """Replace whole partitions of ``part_col``.
 
         With ``values``: rows outside them are ignored, and every listed value
         ends up holding exactly the rows ``df`` has for it; a value with no
         rows is cleared (static semantics). Without: every partition present
-        in ``df`` is replaced, others are untouched. Returns rows per listed
-        value."""
+        in ``df`` is replaced, others are untouched. With ``only``, partitions
+        that are not listed go. Returns rows per listed value."""
         self._guard()
         path = self.table_path(layer, name)
         src = df.filter(F.col(part_col).isNotNull())
@@ -162,6 +172,11 @@ class Warehouse:
         for v, n in counts.items():
             if n == 0:
                 self.delete_path(f"{path}/{part_col}={v}")
+        if only:
+            kept = {f"{part_col}={v}" for v in vals}
+            for folder in self.list_dir(path):
+                if folder.startswith(f"{part_col}=") and folder not in kept:
+                    self.delete_path(f"{path}/{folder}")
         self.last_written_rows = int(got["rows"])
         return counts
 

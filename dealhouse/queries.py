@@ -81,6 +81,12 @@ import datetime as _dt  # noqa: E402
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from dealhouse.functions.measures import (  # noqa: E402
+    avg_from_parts,
+    deal_size_tier,
+    fixed_sum_exact,
+    pct_vs_benchmark,
+)
 from dealhouse.model import RUN_TS  # noqa: E402
 from dealhouse.operators import staging as _stg  # noqa: E402
 from dealhouse.operators.merge import ensure_column, scd1_merge  # noqa: E402
@@ -96,7 +102,8 @@ DAY2_TS = RUN_TS + _dt.timedelta(days=1)
 
 
 def _key_number(col: str) -> F.Column:
-    return F.regexp_extract(F.col(col), r"([0-9]+)$", 1).cast("long")
+    """The number that a key ends with; NULL without one."""
+    return F.regexp_extract(F.trim(F.col(col)), r"([0-9]+)$", 1).try_cast("long")
 
 
 def _renamed(raw, id_col: str, name_col: str, suffix: str = " Holdings"):
@@ -117,17 +124,22 @@ def _scd1(m: Model) -> DataFrame:
     return scd1_merge(day1, day2, ["acquirer_id"], cols).drop("dw_updated_at")
 
 
-def _loaded_warehouse(m: Model) -> Warehouse:
+def _landed_warehouse(m: Model, transactions=None) -> Warehouse:
+    """Raw and staging layers and the dimensions: what the fact needs."""
     wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
-    _pl.land_raw(wh, {n: m.raw(n) for n in _stg.STAGERS})
-    _pl.refresh_core(wh, RUN_TS)
+    raw = {n: m.raw(n) for n in _stg.STAGERS}
+    if transactions is not None:
+        raw["transactions"] = transactions
+    _pl.land_raw(wh, raw)
+    _pl.refresh_staging(wh)
+    _pl.refresh_dimensions(wh, RUN_TS)
     return wh
 
 
 @register("backfill_partitions", pure=False)
 def _backfill(m: Model) -> DataFrame:
     """Every fact year in one job, read back from the partitioned table."""
-    wh = _loaded_warehouse(m)
+    wh = _landed_warehouse(m)
     _pl.refresh_fact(wh, RUN_TS)
     return _pl.read_fact(wh)
 
@@ -135,7 +147,7 @@ def _backfill(m: Model) -> DataFrame:
 @register("partition_replace", pure=False)
 def _partition_replace(m: Model) -> DataFrame:
     """Backfill, then replace 1996 and 1999 with closed deals only and 1997 with nothing."""
-    wh = _loaded_warehouse(m)
+    wh = _landed_warehouse(m)
     _pl.refresh_fact(wh, RUN_TS)
     tx = wh.read("staging", "transactions")
     _pl.refresh_fact(wh, RUN_TS, [1996, 1999], transactions=tx.filter(F.col("outcome").ilike("Closed%")))
@@ -162,23 +174,61 @@ def _incremental(m: Model) -> DataFrame:
     return wh.read("analytics", "dim_target").drop("dw_updated_at")
 
 
+@register("incremental_refresh_fact", pure=False)
+def _incremental_fact(m: Model) -> DataFrame:
+    """Refresh; the deals of 1995 leave the source, some move out of the year domain or lose
+    their year -> the next refresh clears the year and keeps the others out; returns the fact."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    src = scratch_dir(m.spark, "src")
+    _land_csv_sources(m, src)
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    n = _key_number("transaction_id")
+    moved = m.raw("transactions").filter("deal_year <> '1995'").withColumn(
+        "deal_year", F.when(n % 10 == 3, "2525").when(n % 10 == 7, "").otherwise(F.col("deal_year")))
+    _csv.write_csv(moved, f"{src}/transactions")
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    return _pl.read_fact(wh)
+
+
 @register("stream_ingest", pure=False)
 def _stream(m: Model) -> DataFrame:
-    """Transactions arrive as CSV files, drained by a Structured Streaming query
-    in several micro-batches; returns the fact it maintained."""
-    wh = _loaded_warehouse(m)
+    """Most deals arrive by batch, every fifth by stream in several micro-batches, one of them
+    with quarantined rows only; returns the fact that both maintained."""
+    raw = m.raw("transactions")
+    bad = F.coalesce(F.trim("transaction_id"), F.lit("")) == ""
+    streamed = F.coalesce(_key_number("transaction_id") % 5 == 0, F.lit(False))
+    wh = _landed_warehouse(m, raw.filter(~bad & ~streamed))
+    _pl.refresh_fact(wh, RUN_TS)
     src = scratch_dir(m.spark, "stream-src")
-    _csv.write_csv(m.raw("transactions").repartition(4), src)
-    stream_ingest(wh, src, scratch_dir(m.spark, "stream-ckpt"), RUN_TS, max_files_per_trigger=2)
+    _csv.write_csv(raw.filter(bad).coalesce(1), f"{src}/bad")
+    _csv.write_csv(raw.filter(~bad & streamed).repartition(4), f"{src}/good")
+    stream_ingest(wh, f"{src}/*", scratch_dir(m.spark, "stream-ckpt"), RUN_TS, max_files_per_trigger=1)
     return _pl.read_fact(wh)
 
 
+def _odd_text(raw, name: str):
+    """A raw source with quotes, commas and line ends in the second column of some rows."""
+    key, text = raw.columns[0], raw.columns[1]
+    odd = F.concat(F.lit('say "hi",\n'), F.col(text))
+    return raw.withColumn(text, F.when(F.coalesce(_key_number(key) % 19 == 0, F.lit(False)), odd).otherwise(F.col(text)))
+
+
 @register("scan_csv_strings", pure=False)
 def _scan(m: Model) -> DataFrame:
-    """Landed acquirers written as CSV and scanned back as all-string rows."""
-    path = scratch_dir(m.spark, "csv")
-    _csv.write_csv(m.raw("acquirers"), path)
-    return _csv.scan_csv_strings(m.spark, path)
+    """All five sources written as CSV, some fields with quotes and line ends, and scanned back
+    as text: a row per source row with its key and a hash of all its fields."""
+    parts = []
+    for n in _stg.STAGERS:
+        path = scratch_dir(m.spark, f"csv-{n}")
+        _csv.write_csv(_odd_text(m.raw(n), n), path)
+        back = _csv.scan_csv_strings(m.spark, path)
+        fields = [F.coalesce(F.col(c), F.lit("<null>")) for c in back.columns]
+        parts.append(back.select(F.lit(n).alias("source"), F.col(back.columns[0]).alias("key"),
+                                 F.md5(F.concat_ws("|", *fields)).alias("fields_md5")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("export_csv_with_manifest", pure=False)
@@ -215,17 +265,25 @@ def _row_counts(m: Model) -> DataFrame:
 
 @register("changed_files", pure=False)
 def _changed(m: Model) -> DataFrame:
-    """Snapshot, rewrite one source, add one, remove one: the diff names them."""
+    """Snapshot, rewrite one source, add one, remove one: the diff names them, with the rows
+    that each now has."""
     wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
     src = scratch_dir(m.spark, "src")
     _land_csv_sources(m, src)
-    before = file_snapshot(m.spark, src)
-    wh.write("_meta", "file_snapshot", before)
+    wh.write("_meta", "file_snapshot", file_snapshot(m.spark, src))
     before = wh.read("_meta", "file_snapshot")
     _csv.write_csv(_renamed(m.raw("targets"), "target_id", "target_name"), f"{src}/targets")
     _csv.write_csv(m.raw("acquirers"), f"{src}/acquirers_extra")
     wh.delete_path(f"{src}/sector_multiples")
-    return changed_files(file_snapshot(m.spark, src), before).select("source", "status").distinct()
+    wh.write("_meta", "file_snapshot", file_snapshot(m.spark, src))
+    changed = changed_files(wh.read("_meta", "file_snapshot"), before).select("source", "status")
+    # A rewritten folder has new part files and lacks its old ones: the source is modified.
+    status = F.when(F.count_distinct("status") > 1, "modified").otherwise(F.min("status"))
+    rows = [_csv.scan_csv_strings(m.spark, f"{src}/{n}").agg(F.lit(n).alias("n"), F.count(F.lit(1)).alias("row_count"))
+            for n in ("targets", "acquirers_extra")]
+    return (changed.groupBy("source").agg(status.alias("status"))
+            .join(rows[0].unionByName(rows[1]), F.col("source") == F.col("n"), "left")
+            .select("source", "status", F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count")))
 
 
 @register("ensure_column", pure=False)
@@ -240,31 +298,54 @@ def _ensure(m: Model) -> DataFrame:
 
 @register("reset_layers", pure=False)
 def _reset(m: Model) -> DataFrame:
-    """Load all layers, drop them, report which layers were dropped and what is left."""
-    wh = _loaded_warehouse(m)
+    """Load all layers, drop them: rows that each layer held, and tables that are left."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    _pl.land_raw(wh, {n: m.raw(n) for n in _stg.STAGERS})
+    _pl.refresh_core(wh, RUN_TS)
+    layers = ("raw", "staging", "analytics")
+    held = {x: sum(wh.row_count(x, t) for t in wh.list_dir(f"{wh.root}/{x}")) for x in layers}
     dropped = wh.reset_layers()
-    left = [(layer, wh.exists_path(f"{wh.root}/{layer}")) for layer in ("raw", "staging", "analytics")]
-    rows = [(layer, layer in dropped, present) for layer, present in left]
-    return m.spark.createDataFrame(rows, "layer string, dropped boolean, still_present boolean")
+    rows = [(x, held[x], x in dropped, len(wh.list_dir(f"{wh.root}/{x}"))) for x in layers]
+    return m.spark.createDataFrame(rows, "layer string, rows_dropped bigint, dropped boolean, tables_left int")
+
+# --- operator-level views (joins, aggregates, windows, scalar rules): each its own small plan ------
+
 
-# --- operator-level views (joins, aggregates, windows, scalar rules) -----------
+def _with_target(m: Model, *columns: str):
+    tg = m.dim_target.select(F.col("target_id").alias("_tg"), *columns)
+    return m.staged("transactions").join(tg, F.col("_tg") == F.col("target_id"), "left")
+
+
+def _with_benchmark(m: Model):
+    sm = m.staged("sector_multiples").select(
+        F.col("sector").alias("_sector"), F.col("fiscal_year").alias("_year"), F.col("fiscal_quarter").alias("_quarter"),
+        F.col("median_ev_ebitda").alias("sector_median_ev_ebitda"),
+        F.col("median_ev_revenue").alias("sector_median_ev_revenue"))
+    return _with_target(m, F.col("sector").alias("target_sector")).join(
+        sm, (F.col("_sector") == F.col("target_sector")) & (F.col("_year") == F.col("deal_year"))
+        & (F.col("_quarter") == F.col("deal_quarter")), "left")
 
 
 @register("join_left_single")
 def _j_single(m: Model) -> DataFrame:
-    return m.fct_transactions().select("transaction_id", "target_id", "target_name", "target_sector")
+    return _with_target(m, "target_name", F.col("sector").alias("target_sector")).select(
+        "transaction_id", "target_id", "target_name", "target_sector")
 
 
 @register("join_left_composite")
 def _j_composite(m: Model) -> DataFrame:
-    return m.fct_transactions().select("transaction_id", "target_sector", "deal_year", "deal_quarter",
-                                       "sector_median_ev_ebitda", "sector_median_ev_revenue")
+    return _with_benchmark(m).select("transaction_id", "target_sector", "deal_year", "deal_quarter",
+                                     "sector_median_ev_ebitda", "sector_median_ev_revenue")
 
 
 @register("join_left_expr_key")
 def _j_expr(m: Model) -> DataFrame:
-    return m.fct_transactions().select("transaction_id", "acquirer_id", "announce_date",
-                                       "acquirer_fiscal_revenue_mm", "acquirer_net_debt_mm")
+    af = m.staged("acquirer_financials").select(
+        F.col("acquirer_id").alias("_af"), "fiscal_year", F.col("revenue_mm").alias("acquirer_fiscal_revenue_mm"),
+        F.col("net_debt_mm").alias("acquirer_net_debt_mm"))
+    return m.staged("transactions").join(
+        af, (F.col("_af") == F.col("acquirer_id")) & (F.col("fiscal_year") == F.year("announce_date")), "left").select(
+        "transaction_id", "acquirer_id", "announce_date", "acquirer_fiscal_revenue_mm", "acquirer_net_debt_mm")
 
 
 @register("join_inner")
@@ -284,14 +365,18 @@ def _anti(m: Model) -> DataFrame:
 
 @register("agg_count_sum_avg_min_max")
 def _agg_basic(m: Model) -> DataFrame:
-    return m.dim_acquirer_activity().select(
-        "acquirer_id", "deal_count", "total_deal_volume_mm", "avg_ev_ebitda_multiple",
-        "first_transaction_date", "most_recent_transaction_date")
+    return m.staged("transactions").groupBy("acquirer_id").agg(
+        F.count(F.lit(1)).alias("deal_count"),
+        fixed_sum_exact("deal_size_mm").cast("double").alias("total_deal_volume_mm"),
+        avg_from_parts(fixed_sum_exact("ev_ebitda_multiple"), F.count("ev_ebitda_multiple")).alias("avg_ev_ebitda_multiple"),
+        F.min("announce_date").alias("first_transaction_date"),
+        F.max("announce_date").alias("most_recent_transaction_date"))
 
 
 @register("agg_count_distinct")
 def _agg_distinct(m: Model) -> DataFrame:
-    return m.dim_acquirer_activity().select("acquirer_id", "distinct_target_sectors")
+    return _with_target(m, F.col("sector").alias("target_sector")).groupBy("acquirer_id").agg(
+        F.count_distinct("target_sector").alias("distinct_target_sectors"))
 
 
 @register("agg_string_concat")
@@ -301,7 +386,10 @@ def _agg_concat(m: Model) -> DataFrame:
 
 @register("agg_span_ratio")
 def _agg_span(m: Model) -> DataFrame:
-    return m.dim_acquirer_activity().select("acquirer_id", "deal_count", "avg_deals_per_active_year")
+    g = m.staged("transactions").groupBy("acquirer_id").agg(
+        F.count(F.lit(1)).alias("deal_count"), (F.max("deal_year") - F.min("deal_year") + 1).alias("span"))
+    span = F.when(F.col("acquirer_id").isNotNull(), F.nullif("span", F.lit(0)))
+    return g.select("acquirer_id", "deal_count", (F.col("deal_count").cast("double") / span).alias("avg_deals_per_active_year"))
 
 
 @register("agg_conditional_sum")
@@ -338,18 +426,22 @@ def _w_delta(m: Model) -> DataFrame:
 
 @register("deal_size_tier")
 def _tier(m: Model) -> DataFrame:
-    return m.fct_transactions().select("transaction_id", "deal_size_mm", "deal_size_tier")
+    return m.staged("transactions").select("transaction_id", "deal_size_mm", deal_size_tier("deal_size_mm").alias("deal_size_tier"))
 
 
 @register("pct_vs_benchmark")
 def _pct(m: Model) -> DataFrame:
-    return m.fct_transactions().select("transaction_id", "ev_ebitda_pct_vs_sector_median",
-                                       "ev_revenue_pct_vs_sector_median")
+    return _with_benchmark(m).select(
+        "transaction_id",
+        pct_vs_benchmark("ev_ebitda_multiple", "sector_median_ev_ebitda").alias("ev_ebitda_pct_vs_sector_median"),
+        pct_vs_benchmark("ev_revenue_multiple", "sector_median_ev_revenue").alias("ev_revenue_pct_vs_sector_median"))
 
 
 @register("row_content_hash")
 def _hash(m: Model) -> DataFrame:
-    return m.staged("targets").select("target_id", "row_content_hash")
+    """Content hashes of both hashed entities."""
+    acq = m.staged("acquirers").select(F.col("acquirer_id").alias("entity_id"), "row_content_hash")
+    return acq.unionByName(m.staged("targets").select(F.col("target_id").alias("entity_id"), "row_content_hash"))
 
 
 @register("quarantine_preview")
@@ -361,12 +453,22 @@ def _preview(m: Model) -> DataFrame:
 
 @register("chk_csv_width", pure=False)
 def _csv_width(m: Model) -> DataFrame:
-    """Field-count check over the landed acquirers file."""
-    path = scratch_dir(m.spark, "csv")
-    _csv.write_csv(m.raw("acquirers"), path)
-    bad = _csv.csv_width_violations(m.spark, path, m.raw("acquirers").columns)
-    # Spark rejects CSV queries that read only the corrupt-record column, so the
-    # counted expression also reads a data column (and cannot be folded away).
-    n = F.count(F.coalesce(F.col(_csv.CORRUPT_COLUMN), F.col(bad.columns[0])))
-    return bad.agg(F.lit("chk_csv_width").alias("check_name"), F.lit("raw_acquirers").alias("table_name"),
-                   F.lit("ERROR").alias("severity"), n.alias("violations"), (n == 0).alias("passed"))
+    """Field-count check over all five landed sources, some of whose files have rows with a field
+    too many and some with one too few."""
+    parts = []
+    for n in _stg.STAGERS:
+        path, raw = scratch_dir(m.spark, f"csv-{n}"), m.raw(n)
+        k = F.coalesce(_key_number(raw.columns[0]), F.lit(1))
+        _csv.write_csv(raw.filter((k % 23 != 0) & (k % 29 != 0)), path)
+        _csv.write_csv(raw.filter(k % 23 == 0).withColumn("one_more", F.lit("x")), path, mode="append")
+        _csv.write_csv(raw.filter((k % 23 != 0) & (k % 29 == 0)).drop(raw.columns[-1]), path, mode="append")
+        bad = _csv.csv_width_violations(m.spark, path, raw.columns)
+        # Spark rejects CSV queries that read only the corrupt-record column, so the
+        # counted expression also reads a data column (and cannot be folded away).
+        count = F.count(F.coalesce(F.col(_csv.CORRUPT_COLUMN), F.col(bad.columns[0])))
+        parts.append(bad.agg(F.lit("chk_csv_width").alias("check_name"), F.lit(f"raw_{n}").alias("table_name"),
+                             F.lit("ERROR").alias("severity"), count.alias("violations"), (count == 0).alias("passed")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -22,9 +22,8 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Let a join on (k, x) reuse an existing partitioning on k instead of
-    # re-shuffling the large side (fact: financials after the acquirer join).
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A hot target or acquirer is split even where the split costs a shuffle more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

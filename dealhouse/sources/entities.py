@@ -191,7 +191,3 @@ RAW_BUILDERS = {
     "acquirer_financials": raw_acquirer_financials,
     "sector_multiples": raw_sector_multiples,
 }
-
-
-def raw_entities(t: DriverTables) -> dict[str, DataFrame]:
-    return {name: build(t) for name, build in RAW_BUILDERS.items()}

@@ -69,46 +69,49 @@ def test_report_drops_unknown_targets_and_counts_prefixes(spark):
     assert r["avg_ev_ebitda_multiple"] == 4.0 and r["total_deal_size_mm"] is None
 
 
-def test_hot_group_sequence_equals_plain_window(spark):
-    import random
-
+def test_sequence_equals_plain_window(spark):
+    """Enough rows that range sampling would not see them all, a hot group, payload beside the keys."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
     from dealhouse.operators.sequence import sequence_with_prior
 
-    rng = random.Random(3)
-    rows = [("HOT" if i % 4 else f"T{i % 37}", rng.randrange(300) if i % 11 else None, f"id{i:05d}", i % 7)
-            for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, d int, id string, v int")
-    order = [F.col("d").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    fast = sequence_with_prior(df, "g", order, ["id", "v"], "rn", ranges=8, hot_rows=500)
-    w = Window.partitionBy("g").orderBy(*order)
+    n = 400_000
+    i = F.col("id")
+    df = spark.range(0, n, numPartitions=8).select(
+        F.when(i % 3 != 0, "HOT").otherwise(F.concat(F.lit("T"), i % 37)).alias("g"),
+        F.when(i % 11 != 0, F.xxhash64(i) % 700).alias("d"), F.xxhash64(i, F.lit(1)).alias("k"),
+        (i % 7).alias("v"), F.concat(F.lit("payload-"), i).alias("payload"))
+    cols = ["g", "d", "k", "v", "payload", "rn", "prior_k", "prior_v"]
+    ours = sequence_with_prior(df, "g", ["d", "k"], ["k", "v"], "rn").select(cols)
+    w = Window.partitionBy("g").orderBy(F.col("d").asc_nulls_last(), F.col("k").asc_nulls_last())
     plain = df.withColumns({"rn": F.row_number().over(w).cast("bigint"),
-                            "prior_id": F.lag("id").over(w), "prior_v": F.lag("v").over(w)})
-    cols = ["g", "d", "id", "v", "rn", "prior_id", "prior_v"]
-    a, b = fast.select(cols), plain.select(cols)
-    assert a.count() == 3000
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+                            "prior_k": F.lag("k").over(w), "prior_v": F.lag("v").over(w)}).select(cols)
+    both = ours.withColumn("side", F.lit(1)).unionByName(plain.withColumn("side", F.lit(-1)))
+    assert both.groupBy(cols).agg(F.sum("side").alias("s"), F.count("*").alias("n")).filter("s <> 0 or n <> 2").count() == 0
+    assert ours.count() == n
 
 
-def test_hot_group_string_agg_equals_direct(spark):
+def test_activity_lists_and_sums_by_day_equal_direct(spark):
     import random
 
     from pyspark.sql import functions as F
 
-    from dealhouse.operators.stringagg import ordered_string_aggs
-
     rng = random.Random(5)
-    rows = [("HOT" if i % 3 else f"A{i % 11}", rng.randrange(50) if i % 13 else None, f"t{i:04d}",
-             rng.choice(["x", "y", None, ""]), rng.choice(["s1", "s2"])) for i in range(2500)]
-    df = spark.createDataFrame(rows, "g string, d int, id string, v string, w string")
-    order = ["d", "id", "v", "w"]
-    fast = ordered_string_aggs(df, "g", ["v", "w"], order, " | ", ["vs", "ws"], hot_rows=300, ranges=8)
-    keys = ", ".join(f"{c} ASC NULLS LAST" for c in order)
-    direct = df.groupBy("g").agg(
-        F.expr(f"listagg(v, ' | ') WITHIN GROUP (ORDER BY {keys})").alias("vs"),
-        F.expr(f"listagg(w, ' | ') WITHIN GROUP (ORDER BY {keys})").alias("ws"))
-    a = sorted(map(tuple, fast.select("g", "vs", "ws").collect()), key=str)
-    b = sorted(map(tuple, direct.select("g", "vs", "ws").collect()), key=str)
-    assert a == b and len(a) == 12
+    tg, _ = dims(spark)
+    t = tx(spark, [dict(
+        transaction_id=f"X{i:04d}", target_id=rng.choice(["T1", "T2", "T9", None]), acquirer_id="HOT" if i % 3 else f"A{i % 11}",
+        announce_date=D(2020, 1, 1 + i % 9) if i % 13 else None, deal_year=2015 + i % 8, deal_size_mm=i / 7 if i % 5 else None,
+        ev_ebitda_multiple=rng.choice([None, 4.25]), deal_type=rng.choice(["LBO", "Merger", None, ""])) for i in range(1500)])
+    out = {r["acquirer_id"]: r for r in marts.activity_measures(t, tg).collect()}
+    labelled = t.join(tg, "target_id", "left").withColumn("label", F.coalesce("sector", F.lit("Unknown")))
+    by = "announce_date ASC NULLS LAST, transaction_id ASC NULLS LAST"
+    direct = labelled.groupBy("acquirer_id").agg(
+        F.expr(f"listagg(deal_type, ' | ') WITHIN GROUP (ORDER BY {by})").alias("types"),
+        F.expr(f"listagg(label, ' | ') WITHIN GROUP (ORDER BY {by})").alias("labels"),
+        F.countDistinct("sector").alias("sectors"), F.sum(F.col("deal_size_mm").cast("decimal(38,6)")).cast("double").alias("vol"))
+    for r in direct.collect():
+        got = out[r["acquirer_id"]]
+        assert (got["deal_types_observed"], got["sectors_touched"]) == (r["types"], r["labels"])
+        assert (got["distinct_target_sectors"], got["total_deal_volume_mm"]) == (r["sectors"], r["vol"])
+    assert len(out) == direct.count() == 12

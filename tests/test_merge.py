@@ -44,7 +44,8 @@ def test_scd1_without_hash_updates_unconditionally(spark):
 def test_scd1_rejects_duplicate_source_keys(spark):
     src = frame(spark, [("a", "x", "h", D1), ("a", "y", "g", D1)])
     with pytest.raises(DuplicateKeyError):
-        scd1_merge(None, src, ["k"], COLS)
+        scd1_merge(frame(spark, [("b", "x", "h", D1)]), src, ["k"], COLS)
+    assert scd1_merge(None, src, ["k"], COLS).count() == 2  # a first load keeps them for the checks to report
 
 
 def test_scd1_adds_missing_columns(spark):
@@ -72,11 +73,15 @@ def test_partition_replace_static_semantics(spark, tmp_root):
 
 
 def test_versioned_tables_and_read_only(spark, tmp_root):
-    wh = Warehouse(spark, tmp_root, keep=2)
+    wh = Warehouse(spark, tmp_root, keep=2, retain_s=0)
     for i in range(3):
         assert wh.write("staging", "t", spark.range(i + 1).withColumn("v", F.lit(i))) == i + 1
     assert wh.versions("staging", "t") == [2, 3]
     assert wh.read("staging", "t").count() == 3
+    slow_reader = Warehouse(spark, f"{tmp_root}/young", keep=1)
+    for i in range(3):
+        slow_reader.write("staging", "t", spark.range(i + 1))
+    assert slow_reader.versions("staging", "t") == [1, 2, 3]  # too young to go
     ro = Warehouse(spark, tmp_root, read_only=True)
     with pytest.raises(ReadOnlyWarehouse):
         ro.write("staging", "t", spark.range(1))
@@ -88,5 +93,3 @@ def test_row_counts_recorded_without_a_job(spark, tmp_root):
     wh = Warehouse(spark, tmp_root)
     wh.write("staging", "t", spark.range(7))
     assert wh.row_count("staging", "t") == 7 and wh.row_count("staging", "missing") is None
-    from dealhouse.plans.pipeline import broadcastable
-    assert broadcastable(wh) == frozenset()
