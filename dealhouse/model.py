@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealhouse.operators import staging as stg
+from dealhouse.operators.rules import FINANCING_BY_DEAL_TYPE
 from dealhouse.plans import marts
 from dealhouse.sources.entities import RAW_BUILDERS
 from dealhouse.sources.tables import DriverTables
@@ -66,14 +67,22 @@ class Model:
         return self._staged[name]
 
     def check_tables(self) -> dict[str, DataFrame]:
-        """Inputs of the check catalogue: staged entities, raw views, geography."""
+        """Inputs of the check catalogue: staged entities, raw views, reference tables."""
         return dict(self._check_tables)
 
+    def reference_tables(self) -> dict[str, DataFrame]:
+        """Geography, pairs that the rules allow, and the sector tree of the smaller parts."""
+        pairs = [(k, f) for k, kinds in FINANCING_BY_DEAL_TYPE.items() for f in kinds]
+        tree = self.tables.part.filter("p_size <= 45").select(
+            F.trim("p_brand").alias("sector"), F.trim("p_type").alias("sub_sector")).distinct()
+        return {"nation": self.tables.nation, "ref_sector_tree": tree,
+                "ref_deal_financing": self.spark.createDataFrame(pairs, "deal_type string, financing_type string")}
+
     @cached_property
     def _check_tables(self) -> dict[str, DataFrame]:
         out = {n: self.staged(n) for n in stg.STAGERS}
         out.update({f"raw_{n}": self.raw(n) for n in RAW_BUILDERS})
-        out["nation"] = self.tables.nation
+        out.update(self.reference_tables())
         return out
 
     @cached_property

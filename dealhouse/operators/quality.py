@@ -45,7 +45,7 @@ class UniqueCheck:
 
 @dataclass(frozen=True)
 class ForeignKeyCheck:
-    """Counts rows whose key has no partner in ``ref_table`` (optionally filtered)."""
+    """Counts rows (optionally filtered) whose key has no partner in ``ref_table`` (optionally filtered)."""
     name: str
     table: str
     key: tuple[str, ...]
@@ -53,6 +53,7 @@ class ForeignKeyCheck:
     ref_key: tuple[str, ...]
     severity: str = ERROR
     ref_filter: Violation | None = None
+    row_filter: Violation | None = None
 
 
 @dataclass(frozen=True)
@@ -107,6 +108,8 @@ def _join_cond(key: Sequence[str]) -> Column:
 
 
 def _fk_result(df: DataFrame, ref: DataFrame, c: ForeignKeyCheck) -> DataFrame:
+    if c.row_filter is not None:
+        df = df.filter(c.row_filter())
     orphans = _keyed_counts(df, c.key).join(
         _ref_keys(ref, c.ref_key, c.key, c.ref_filter), _join_cond(c.key), "left_anti")
     return orphans.agg(*_verdict(c.name, c.table, c.severity, F.coalesce(F.sum("_rows"), F.lit(0))))

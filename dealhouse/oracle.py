@@ -452,6 +452,25 @@ CHECK_SQL: dict[str, tuple[list[str], str]] = {
     "chk_unique_fiscal_grain": (["stg_acquirer_financials"], _verdict_sql(
         "chk_unique_fiscal_grain", "acquirer_financials",
         _dupes("stg_acquirer_financials", "acquirer_id, fiscal_year"))),
+    "chk_unique_benchmark_grain": (["stg_sector_multiples"], _verdict_sql(
+        "chk_unique_benchmark_grain", "sector_multiples",
+        _dupes("stg_sector_multiples", "sector, fiscal_year, fiscal_quarter"))),
+    "chk_financing_by_deal_type": (["stg_transactions"], _verdict_sql(
+        "chk_financing_by_deal_type", "transactions",
+        "stg_transactions WHERE (deal_type = '1-URGENT' AND financing_type NOT IN ('A', 'N')) "
+        "OR (deal_type = '5-LOW' AND financing_type NOT IN ('N', 'R')) "
+        "OR (deal_type IN ('2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED') AND financing_type NOT IN ('A', 'N', 'R')) "
+        "OR (deal_type NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') AND financing_type IS NOT NULL)",
+        "WARN")),
+    "chk_sub_sector_of_sector": (["stg_targets"], _verdict_sql(
+        "chk_sub_sector_of_sector", "targets",
+        "stg_targets t WHERE sector IS NOT NULL AND sub_sector IS NOT NULL AND (sector, sub_sector) NOT IN "
+        "(SELECT (trim(p_brand), trim(p_type)) FROM part WHERE p_size <= 45)", "WARN")),
+    "chk_multiple_by_deal_type": (["stg_transactions"], _verdict_sql(
+        "chk_multiple_by_deal_type", "transactions",
+        "stg_transactions WHERE (deal_type = '1-URGENT' AND ev_ebitda_multiple NOT BETWEEN 0 AND 7) "
+        "OR (deal_type = '2-HIGH' AND ev_ebitda_multiple NOT BETWEEN 0 AND 7.5) "
+        "OR (deal_type = '5-LOW' AND ev_ebitda_multiple NOT BETWEEN 4 AND 100)", "WARN")),
     "chk_id_format": (["stg_transactions"], _verdict_sql(
         "chk_id_format", "transactions",
         "stg_transactions WHERE NOT regexp_matches(transaction_id, '^TXN-[0-9]+$') "

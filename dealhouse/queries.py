@@ -62,7 +62,6 @@ from dealhouse.sources.entities import RAW_BUILDERS  # noqa: E402
 for _check in ALL_CHECKS.checks:
     register(_check.name)(lambda m, c=_check: run_check(m.check_tables(), c))
 
-register("run_checks")(lambda m: run_checks(m.check_tables(), ALL_CHECKS.checks))
 
 
 @register("chk_null_sentinels")
@@ -136,6 +135,16 @@ def _landed_warehouse(m: Model, transactions=None) -> Warehouse:
     return wh
 
 
+@register("run_checks", pure=False)
+def _run_checks(m: Model) -> DataFrame:
+    """The whole catalogue over landed staging tables."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    _pl.land_raw(wh, {n: m.raw(n) for n in _stg.STAGERS})
+    _pl.refresh_staging(wh)
+    tables = {n: wh.read("staging", n) for n in _stg.STAGERS}
+    return run_checks({**tables, **m.reference_tables()}, ALL_CHECKS.checks)
+
+
 @register("backfill_partitions", pure=False)
 def _backfill(m: Model) -> DataFrame:
     """Every fact year in one job, read back from the partitioned table."""

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dealhouse.operators.quality import ForeignKeyCheck, MatchCheck, RuleCheck, UniqueCheck, run_checks
 from dealhouse.operators.rules import ALL_CHECKS, CODED, business_days_between
@@ -65,3 +66,35 @@ def test_coded_checks_on_driver_data(spark):
     assert got[("chk_transactions_fk_target", "transactions")][0] > 0
     assert got[("chk_nonneg_acquirers", "acquirers")][0] > 0
     assert got[("chk_nonneg_sector_multiples", "sector_multiples")] == (0, True)
+
+
+def test_every_check_finds_its_violation(spark):
+    """One small warehouse in which each check of the catalogue has something to find."""
+    from dealhouse.model import Model
+
+    m = Model(spark, "/root/testdata/sf0.001")
+    d = dt.date
+    rows = {
+        "transactions": [
+            dict(transaction_id="TXN-1", target_id="TGT-1", acquirer_id="ACQ-1", announce_date=d(2020, 1, 6),
+                 close_date=d(2020, 1, 1), deal_year=2019, deal_quarter="Q3", deal_type="1-URGENT", financing_type="R",
+                 deal_size_mm=-1.0, ev_ebitda_multiple=500.0, synergy_pct_of_deal=120.0, days_to_close=3),
+            dict(transaction_id="TXN-1", target_id="nope", acquirer_id="nope", outcome=" closed "),
+            dict(transaction_id="TXN-2", announce_date=d(2020, 1, 6), close_date=d(2020, 2, 6)),
+            dict(transaction_id="TXN-3", announce_date=d(2020, 1, 6), close_date=d(2020, 2, 6), days_to_close=400)],
+        "targets": [dict(target_id="TGT-1", sector="S", sub_sector="of another", employee_count=1, ltm_revenue_mm=900.0),
+                    dict(target_id="TGT-1", employee_count=-1)],
+        "acquirers": [dict(acquirer_id="ACQ-1", acquirer_type="Financial Sponsor", headquarters="Nowhere",
+                           ticker_or_status="Private"), dict(acquirer_id="ACQ-1", annual_revenue_mm=-1.0)],
+        "acquirer_financials": [dict(acquirer_id="ACQ-1", fiscal_year=1900, market_cap_mm=1.0),
+                                dict(acquirer_id="ACQ-1", fiscal_year=1900, revenue_mm=-1.0)],
+        "sector_multiples": [dict(sector="S", fiscal_year=2020, fiscal_quarter="Q1", p25_ev_ebitda=3.0, median_ev_ebitda=2.0),
+                             dict(sector="S", fiscal_year=2020, fiscal_quarter="Q1", deal_count=-1)],
+    }
+    tables = m.reference_tables()
+    for name, given in rows.items():
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in m.staged(name).schema])
+        tables[name] = spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in given], schema)
+    got = verdicts(run_checks(tables, ALL_CHECKS.checks))
+    assert {k for k, (n, passed) in got.items() if not n or passed} == set()
+    assert len(got) == len(ALL_CHECKS.checks) == 30
