@@ -84,3 +84,6 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLE["op5_tool_calls"] = tool_calls.oracle_sql()
+
+
+LLM_ORACLE["op7_warc"] = warc.oracle_sql()

@@ -258,3 +258,20 @@ def archived_pages(pages: DataFrame, path: str) -> DataFrame:
     return responses.unionByName(revisits.select(responses.columns)).select(
         "page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
         F.col("kind").alias("record_type"), "refers_to")
+
+
+def oracle_sql() -> str:
+    """The registered query's rows in DuckDB SQL: what the pages say, without archives."""
+    nibbles = ", ".join(f"'{i:04b}'" for i in range(16))
+    five = " + ".join(f"{16 >> k} * CAST(substr(bits, 5 * i + {k + 1}, 1) AS INTEGER)" for k in range(5))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first,
+        array_to_string(list_transform(range(40), lambda i: [{nibbles}][strpos('0123456789abcdef', substr(hex, i + 1, 1))]),
+                        '') AS bits FROM p),
+r AS (SELECT *, page_id IS NOT NULL AND page_id <> first AS again FROM b)
+SELECT page_id, strlen(body) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {five}, 1)), '')
+    AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+FROM r"""
