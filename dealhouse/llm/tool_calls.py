@@ -154,7 +154,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     placed = once.join(depths(once).withColumnsRenamed({"conv_id": "d_conv", "call_id": "d_call"}),
                        F.col("conv_id").eqNullSafe(F.col("d_conv")) & (F.col("call_id") == F.col("d_call")))
     got = answers.filter("call_id is not null").groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("n"))
-    got = got.select(F.col("conv_id").alias("g_conv"), F.col("call_id").alias("g_call"), "n")
+    # Both hashed sides are unique by id and narrow; the probing side may hold one id many times.
+    got = got.select(F.col("conv_id").alias("g_conv"), F.col("call_id").alias("g_call"), "n").hint("shuffle_hash")
     status = F.when(F.col("depth").isNull(), "cyclic").when(F.col("n").isNull(), "unanswered").otherwise("answered")
     call_rows = placed.join(got, F.col("conv_id").eqNullSafe(F.col("g_conv")) & (F.col("call_id") == F.col("g_call")), "left").select(
         "conv_id", "call_id", F.lit("call").alias("kind"), "at", "name", "depth", status.alias("status"),
@@ -162,7 +163,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     no_id = named.filter("call_id is null").select(
         "conv_id", "call_id", F.lit("call").alias("kind"), "at", "name", F.lit(0).cast("long").alias("depth"),
         F.lit("unidentified").alias("status"), F.col("arguments").alias("body"))
-    known = placed.select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"), "name", "depth")
+    known = placed.select(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_call"), "name", "depth").hint("shuffle_hash")
     result_rows = answers.join(
         known, F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col("call_id") == F.col("k_call")), "left").select(
         "conv_id", "call_id", F.lit("result").alias("kind"), "at", "name", "depth",
