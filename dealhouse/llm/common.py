@@ -11,6 +11,15 @@ from dealhouse.session import scratch_dir
 
 # Rows handed to Python at once: long documents must not meet in one large batch.
 SLICE_ROWS = 256
+ARROW_ROWS = "512"
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session now hands rows to Python in batches of ``ARROW_ROWS`` at most.
+
+    Batches lie outside the JVM's heap, on top of it; Spark's default is 10,000 rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +60,7 @@ def map_rows(df: DataFrame, columns: list[str], rows: Callable[[Iterator[tuple]]
         if held:
             yield _batch(held, arrow)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return bound_batches(df).select(*columns).mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

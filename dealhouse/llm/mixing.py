@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,15 +92,19 @@ def train(labelled: DataFrame, label: str, train_rows: int = TRAIN_ROWS, vocabul
     return Classifier(tuple(domains), tuple(base), tuple(words))
 
 
-def _dot(member: Column, vector: tuple[float, ...]) -> Column:
-    return F.aggregate(F.zip_with(member, F.array(*[F.lit(float(x)) for x in vector]), lambda a, b: a * b),
-                       F.lit(0.0), lambda a, b: a + b)
+def rate_of(member: Column, steps: list[tuple[float, ...]], at_least: float = 0.0) -> Column:
+    """A document's rate after ``steps``: from 1, down each gradient, back onto rates of ``at_least`` or more.
 
+    One expression whatever the number of steps, so that Spark compiles it once."""
+    first = F.greatest(F.lit(float(at_least)), F.lit(1.0))
+    if not steps:
+        return first
+    vectors = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
 
-def rate_of(member: Column, steps: list[tuple[float, ...]], at_least: float = 0.0) -> Column:
-    """A document's rate after ``steps``: from 1, down each gradient, back onto rates of ``at_least`` or more."""
-    return reduce(lambda rate, g: F.greatest(F.lit(float(at_least)), rate - _dot(member, g)), steps,
-                  F.greatest(F.lit(float(at_least)), F.lit(1.0)))
+    def along(g: Column) -> Column:
+        return F.aggregate(F.zip_with(member, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
+    return F.aggregate(vectors, first, lambda rate, g: F.greatest(F.lit(float(at_least)), rate - along(g)))
 
 
 def targets(totals: list[float], weights: list[float], at_least: float) -> list[float]:

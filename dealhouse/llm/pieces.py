@@ -26,7 +26,7 @@ SPACE = "▁"
 WORD = re.compile(r" +[^ ]*|[^ ]+")
 LITERAL = "\ud800"  # stands for a SPACE sign of the text itself; no valid text and no piece holds it
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 CACHED_LENGTH = 64
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealhouse.llm.common import map_rows
+from dealhouse.llm.common import bound_batches, map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = 5
@@ -312,4 +312,4 @@ def redact(docs: DataFrame, model: SpanModel) -> DataFrame:
                         type=sizes.type)
                 yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
 
-    return docs.mapInArrow(run, schema)
+    return bound_batches(docs).mapInArrow(run, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealhouse.llm.common import map_rows, materialize
+from dealhouse.llm.common import bound_batches, map_rows, materialize
 
 TRAIN_ROWS = 20_000   # labelled documents that the model is fitted on, at most
 MAX_CUES = 4096       # cues in a model, at most: the strongest
@@ -37,8 +37,10 @@ MIN_TOXIC_DOCS = 3
 PREFIXES = range(4, 9)
 EDGES = (1.5, 2.5, 4.0, 6.0)  # log odds that part the cue classes
 CLASSES = 2 * (len(EDGES) + 1)
+KNOWN_WORDS = 100_000  # words whose class a task remembers
+CELLS = 100_000        # cells of the tables of cues that are worked on at once
 THRESHOLD = 0.3
-FLUSH = 200_000       # features counted in a task before they are passed on
+FLUSH = 100_000       # features counted in a task before they are passed on
 STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 TOKEN = re.compile(r"\S+")
 
@@ -141,7 +143,7 @@ def tagger(cues: dict[str, float]) -> Callable[[list[str]], list[tuple[int, int]
     known: dict[str, int] = {}
 
     def tag(words: list[str]) -> list[tuple[int, int]]:
-        if len(known) > 500_000:
+        if len(known) >= KNOWN_WORDS:
             known.clear()
         out = []
         for at, word in enumerate(words):
@@ -256,7 +258,7 @@ def fit_chain(sequences: DataFrame, steps: int = 24, ridge: float = 1.0) -> np.n
                     sums += fn(rows)
             yield pa.RecordBatch.from_pydict({"sums": [sums.tolist()]})
 
-        parts = sequences.mapInArrow(run, "sums array<double>")
+        parts = bound_batches(sequences).mapInArrow(run, "sums array<double>")
         row = parts.agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(width)]).first()
         return np.array([x or 0.0 for x in row])
 
@@ -265,9 +267,8 @@ def fit_chain(sequences: DataFrame, steps: int = 24, ridge: float = 1.0) -> np.n
     def partitions(thetas: list[np.ndarray]) -> Callable[[list], np.ndarray]:
         def fn(rows: list) -> np.ndarray:
             out = np.zeros(len(thetas))
-            rows.sort(key=lambda r: len(r[1]))
-            for at in range(0, len(rows), 512):
-                n, gaps, classes = _padded(rows[at:at + 512])
+            for part in _alike(rows):
+                n, gaps, classes = _padded(part)
                 out += [log_partition(theta, n, gaps, classes) for theta in thetas]
             return out
         return fn
@@ -286,6 +287,18 @@ def fit_chain(sequences: DataFrame, steps: int = 24, ridge: float = 1.0) -> np.n
     return theta
 
 
+def _alike(rows: list) -> Iterator[list]:
+    """Rows in groups of like numbers of cues, none of which pads to more than ``CELLS`` cells."""
+    part: list = []
+    for row in sorted(rows, key=lambda r: len(r[1])):
+        if part and (len(part) + 1) * len(row[1]) > CELLS:
+            yield part
+            part = []
+        part.append(row)
+    if part:
+        yield part
+
+
 def _padded(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     width = max(len(r[1]) for r in rows)
     gaps, classes = np.zeros((len(rows), width)), np.zeros((len(rows), width), dtype=np.int64)
@@ -406,4 +419,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
                     mask.append(model.score(sum(chances), n) < threshold)
                 yield part.filter(pa.array(mask, type=pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return bound_batches(docs).mapInArrow(keep, docs.schema)
