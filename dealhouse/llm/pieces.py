@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,10 +24,10 @@ from pyspark.sql import types as T
 from dealhouse.llm.common import map_rows
 
 SPACE = "▁"
-WORD = re.compile(r" +[^ ]*|[^ ]+")
+WORD = re.compile(r" +[^ ]*")
 LITERAL = "\ud800"  # stands for a SPACE sign of the text itself; no valid text and no piece holds it
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
 
 
@@ -74,31 +75,45 @@ class Encoder:
             self.automaton.add_word(v.pieces[i], (i, len(v.pieces[i]), v.scores[i]))
         self.automaton.make_automaton()
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", v.pieces[i]) for i in plain)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids of words, packed; a key goes without its first space
+        self.shown = [bytes([b]) if b >= 0 else p.replace(SPACE, " ").encode() for p, b in
+                      zip(v.pieces, v.bytes_, strict=True)]
 
-    def _best(self, text: str) -> list[int]:
-        """The best path's pieces for ``text``, spaces already replaced; longer pieces win ties."""
+    def _best(self, keys: list[str]) -> list[bytes]:
+        """The best path's packed ids for each of ``keys``, in one pass over them all.
+
+        No piece may reach from one key into the next. Pieces come in the order of their ends,
+        so a score is final before it is built on; longer pieces win ties."""
+        words = [f" {k}".replace(SPACE, LITERAL).replace(" ", SPACE) for k in keys]
+        text = "".join(words)
         n = len(text)
-        score, back = [0.0] * (n + 1), [(0, -1)] * (n + 1)
+        score, back = [0.0] + [float("-inf")] * n, [None] * (n + 1)
         ends = self.automaton.iter(text) if self.automaton.kind else iter(())
-        at, found = next(ends, (n, None))
-        for end in range(1, n + 1):
-            best, step = float("-inf"), (1, -1)
-            while at == end - 1 and found is not None:
-                piece, length, worth = found
-                total = score[end - length] + worth
-                if total > best:
-                    best, step = total, (length, piece)
-                at, found = next(ends, (n, None))
-            if text[end - 1] not in self.singles and score[end - 1] + self.unknown_score > best:
-                best, step = score[end - 1] + self.unknown_score, (1, -1)
-            score[end], back[end] = best, step
-        path, end = [], n
-        while end:
-            length, piece = back[end]
-            path += [piece] if piece >= 0 else self._spelled(text[end - 1])
-            end -= length
-        return path[::-1]
+        if self.singles.issuperset(text):  # every position can be reached by pieces alone
+            for at, found in ends:
+                total = score[at + 1 - found[1]] + found[2]
+                if total > score[at + 1]:
+                    score[at + 1], back[at + 1] = total, found
+        else:
+            at, found = next(ends, (n, None))
+            for end in range(1, n + 1):
+                while at == end - 1 and found is not None:
+                    total = score[end - found[1]] + found[2]
+                    if total > score[end]:
+                        score[end], back[end] = total, found
+                    at, found = next(ends, (n, None))
+                if text[end - 1] not in self.singles and score[end - 1] + self.unknown_score > score[end]:
+                    score[end], back[end] = score[end - 1] + self.unknown_score, None
+        packed, path, end = [], [], n
+        for word in reversed(words):
+            start = end - len(word)
+            while end > start:
+                found = back[end]
+                path += self._spelled(text[end - 1]) if found is None else found[:1]
+                end -= 1 if found is None else found[1]
+            packed.append(array("i", path[::-1]).tobytes())
+            path = []
+        return packed[::-1]
 
     def _spelled(self, char: str) -> list[int]:
         """A character's byte pieces, last byte first; the unknown piece if there are none."""
@@ -107,46 +122,35 @@ class Encoder:
             return [self.byte_ids[b] for b in reversed(raw)]
         return [self.unknown]
 
-    def encode(self, text: str | None) -> list[int]:
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Packed ids of keys that are not known yet; short ones are remembered."""
+        together = [k for k in keys if k and k[-1] != " "]  # others could merge with the space that follows
+        found = dict(zip(together, self._best(together), strict=True)) if together else {}
+        for k in keys:
+            if k not in found:
+                found[k] = self._best([k])[0]
+        if len(self.known) + len(found) > CACHED_WORDS:
+            self.known.clear()
+        self.known.update((k, p) for k, p in found.items() if len(k) <= CACHED_LENGTH)
+        return found
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """The ids of the best path for ``text``; none for null or empty."""
         if not text:
-            return []
-        text = " " + text
-        ids: list[int] = []
-        known = self.known
-        for word in WORD.findall(text) if self.by_words else [text]:
-            path = known.get(word)
-            if path is None:
-                path = self._best(word.replace(SPACE, LITERAL).replace(" ", SPACE))
-                if len(word) <= CACHED_LENGTH:
-                    if len(known) >= CACHED_WORDS:
-                        known.clear()
-                    known[word] = path
-            ids += path
-        return ids
-
-    def decode(self, ids: list[int]) -> str:
+            return np.zeros(0, dtype=np.int32)
+        keys = text.split(" ") if self.by_words else [text]
+        if self.by_words and "" in keys:  # spaces in a row belong to the word after them
+            keys = [w[1:] for w in WORD.findall(" " + text)]
+        paths = list(map(self.known.get, keys))
+        if None in paths:
+            found = self._learn(list(dict.fromkeys(k for k, p in zip(keys, paths, strict=True) if p is None)))
+            paths = [found[k] if p is None else p for k, p in zip(keys, paths, strict=True)]
+        return np.frombuffer(b"".join(paths), dtype=np.int32)
+
+    def decode(self, ids) -> str:
         """The text of ``ids``; bytes that are no valid text become replacement signs."""
-        out: list[str] = []
-        pieces, bytes_ = self.shown, self.bytes_
-        raw = bytearray()
-        for i in ids:
-            if bytes_[i] >= 0:
-                raw.append(bytes_[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(pieces[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        return "".join(out)[1:]
-
-    @property
-    def shown(self) -> list[str]:
-        """Pieces as decoding writes them."""
-        if not hasattr(self, "_shown"):
-            self._shown = [p.replace(SPACE, " ") for p in self.pieces]
-        return self._shown
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        return b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 ENCODED_FIELDS = [
@@ -170,7 +174,7 @@ def encode_documents(docs: DataFrame, model_file: str | None = None, keep: tuple
             text = text or ""
             ids = encoder.encode(text)
             decoded = encoder.decode(ids)
-            yield (*kept, len(text), len(ids), np.array(ids, dtype=np.int32),
+            yield (*kept, len(text), len(ids), ids,
                    hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), decoded == text)
 
     return map_rows(docs, [*keep, "text"], rows, T.StructType([*(docs.schema[c] for c in keep), *ENCODED_FIELDS]))
