@@ -1,8 +1,9 @@
 """Personal data spans: fixed patterns, and a weakly supervised classifier that adds to them.
 
 Base spans (email, ip, card, phone) come from exact patterns and always stay. Looser
-candidates (digit groups, spelled-out addresses) are put to five labelers: the strict
-pattern, a validity check, a gazetteer, the words before the span, and its borders.
+candidates (spelled-out addresses, digit groups and joins of neighbouring ones) are put to
+five labelers: the strict pattern, a validity check, a gazetteer, the words before the
+span, and its borders.
 Expectation-maximisation over all candidates of the corpus estimates how reliable each
 labeler is for each kind; its posteriors train a logistic classifier of the span's shape
 and votes, and candidates that it accepts are added.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,6 +45,12 @@ AT_SIGN = re.compile(r" ?[\[(] ?(?:at|AT|@) ?[\])] ?")
 DOT_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?(?:dot|DOT|\.) ?[\])] ?)[A-Za-z0-9-]+)+")
 LOCAL_TAIL = re.compile(r"[A-Za-z0-9._%+-]+$")
 GROUPS = re.compile(r"[0-9](?:[ ().-]{0,2}[0-9])++")
+GROUP = re.compile(r"[0-9]+")
+LOOSE_IP = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
+INSIDE = re.compile(r"(?<=[0-9])[ ().-]{1,2}(?=[0-9])")
+TO_LEFT = re.compile(r"[0-9]([ ().-]{1,2})$")
+TO_RIGHT = re.compile(r"([ ().-]{1,2})[0-9]")
+LOOSE_DIGITS = 19  # of the longest loose candidate
 LOCAL_PART = 64  # longest local part of an address
 
 # Gazetteers and context words; fixed values.
@@ -57,18 +65,15 @@ CONTEXT = {
 }
 AGAINST = ("version", "license", "isbn", "issn", "order", "invoice", "token", "key", "id", "doi", "page")
 BEFORE = 32  # characters read for context
+DOUBLED = str.maketrans("0123456789", "0246813579")  # each digit doubled, less nine from ten on
 
 
 def luhn(digits: str) -> bool:
-    total = 0
-    for i, c in enumerate(reversed(digits)):
-        d = ord(c) - 48
-        total += d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d)
-    return total % 10 == 0
+    return sum(map(int, digits[-1::-2] + digits[-2::-2].translate(DOUBLED))) % 10 == 0
 
 
 def _digits(s: str) -> str:
-    return "".join(c for c in s if "0" <= c <= "9")
+    return "".join(GROUP.findall(s))
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -101,7 +106,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def loose_spans(text: str) -> Iterator[tuple[int, int, int]]:
-    """Candidates beside the fixed patterns: spelled-out addresses and digit groups."""
+    """Candidates beside the fixed patterns: spelled-out addresses, and digit groups.
+
+    Of a run of digit groups, each group and each join of neighbouring ones is offered, up to
+    ``LOOSE_DIGITS`` digits from each start; candidates may overlap.
+    """
     if "(" in text or "[" in text:
         for m in AT_SIGN.finditer(text):
             left = max(0, m.start() - LOCAL_PART)
@@ -110,13 +119,37 @@ def loose_spans(text: str) -> Iterator[tuple[int, int, int]]:
                 yield 0, left + name.start(), host.end()
     if DIGITS.search(text):
         for m in GROUPS.finditer(text):
-            n = len(_digits(m[0]))
-            if re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", m[0]):
-                yield 1, m.start(), m.end()
-            elif 13 <= n <= 19:
-                yield 2, m.start(), m.end()
-            elif 7 <= n <= 12:
-                yield 3, m.start(), m.end()
+            groups = [g.span() for g in GROUP.finditer(text, m.start(), m.end())]
+            for first, (start, _) in enumerate(groups):
+                n = 0
+                for at, end in groups[first:]:
+                    n += end - at
+                    if n > LOOSE_DIGITS:
+                        break
+                    if 8 <= n <= 15 and start and text[start - 1] == "+":
+                        yield 3, start - 1, end
+                    elif n >= 4 and LOOSE_IP.fullmatch(text, start, end):
+                        yield 1, start, end
+                    elif n >= 13:
+                        yield 2, start, end
+                    elif n >= 7:
+                        yield 3, start, end
+
+
+def _strict(kind: int, span: str, digits: str) -> bool:
+    """Whether a card or phone, cut from its run, fits its fixed pattern."""
+    if kind == 2:
+        return 16 <= len(digits) <= 19 and CARD.fullmatch(span) is not None and luhn(digits)
+    return kind == 3 and 8 <= len(digits) <= 15 and PHONE.fullmatch(span) is not None
+
+
+def _cut_like_inside(text: str, start: int, end: int) -> bool:
+    """Whether digits go on beyond an end of the span behind a separator that also stands inside it."""
+    left, right = TO_LEFT.search(text[max(0, start - 3):start]), TO_RIGHT.match(text, end)
+    if not left and not right:
+        return False
+    inside = set(INSIDE.findall(text[start:end]))
+    return bool(left and left[1] in inside or right and right[1] in inside)
 
 
 def describe(text: str, kind: int, start: int, end: int, base: bool) -> int:
@@ -124,6 +157,7 @@ def describe(text: str, kind: int, start: int, end: int, base: bool) -> int:
     span = text[start:end]
     digits = _digits(span)
     before = text[max(0, start - BEFORE):start].lower()
+    strict = base or _strict(kind, span, digits)
     alone = not (start and text[start - 1].isalnum()) and not (end < len(text) and text[end].isalnum())
     if kind == 0:
         valid = "." in span or "dot" in span.lower()
@@ -135,9 +169,11 @@ def describe(text: str, kind: int, start: int, end: int, base: bool) -> int:
         valid, known = luhn(digits), digits[0] in "3456"
     else:
         valid = 10 <= len(digits) <= 15 and len(set(digits)) > 2
-        known = digits.startswith(CALLING_CODES) and base
+        known = digits.startswith(CALLING_CODES) and strict
     context = 2 if any(w in before for w in CONTEXT[KINDS[kind]]) else 0 if any(w in before for w in AGAINST) else 1
-    votes = (2 if base else 1, 2 if valid else 0, 2 if known else 1, context, 2 if alone else 0)
+    # Where only an equal separator tells the span from the digits beside it, its borders are open.
+    borders = 0 if not alone else 1 if kind > 0 and not base and _cut_like_inside(text, start, end) else 2
+    votes = (2 if strict else 1, 2 if valid else 0, 2 if known else 1, context, borders)
     shape = (len(digits) >= 10, len(digits) >= 13, len(digits) in (15, 16), " " in span, "-" in span or "." in span,
              "(" in span or "[" in span, span[:1] == "+")
     number = 0
@@ -152,11 +188,11 @@ def candidates(text: str | None) -> list[tuple[int, int, int, bool, int]]:
     base = base_spans(text)
     out = [(k, s, e, True, describe(text, k, s, e, True)) for k, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
-    at = end = 0
-    for k, s, e in sorted(loose_spans(text), key=lambda x: (x[1], x[0])):
-        while at < len(taken) and taken[at][0] < e:  # base spans that begin before this one ends
-            end, at = max(end, taken[at][1]), at + 1
-        if s >= end:
+    starts, reach = [s for s, _ in taken], [0]
+    for _, e in taken:
+        reach.append(max(reach[-1], e))
+    for k, s, e in sorted(loose_spans(text), key=lambda x: (x[1], x[0], x[2])):
+        if reach[bisect_left(starts, e)] <= s:  # no base span that begins before this one's end goes beyond its start
             out.append((k, s, e, False, describe(text, k, s, e, False)))
     return out
 
@@ -180,12 +216,19 @@ class SpanModel:
 
     reliability: np.ndarray = field(default_factory=lambda: np.zeros((len(KINDS), LABELERS, 2, 3)))
     weights: np.ndarray | None = None  # None: there was nothing to learn from; nothing is added
+    known: dict[tuple[int, int], float] = field(default_factory=dict, repr=False, compare=False)
 
-    def accepts(self, kind: int, pattern: int) -> bool:
+    def chance(self, kind: int, pattern: int) -> float:
         if self.weights is None:
-            return False
-        x = _features(np.array([kind]), np.array([pattern]))[0] @ self.weights
-        return 1 / (1 + np.exp(-x)) >= ACCEPT
+            return 0.0
+        got = self.known.get((kind, pattern))
+        if got is None:  # patterns are few
+            x = _features(np.array([kind]), np.array([pattern]))[0] @ self.weights
+            got = self.known[kind, pattern] = float(1 / (1 + np.exp(-x)))
+        return got
+
+    def accepts(self, kind: int, pattern: int) -> bool:
+        return self.chance(kind, pattern) >= ACCEPT
 
 
 def expectation_maximisation(kinds, patterns, rows, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
@@ -252,8 +295,25 @@ def fit(found: DataFrame) -> SpanModel:
 
 
 def decide(found: list[tuple[int, int, int, bool, int]], model: SpanModel) -> list[tuple[int, int, int]]:
-    """Base spans and accepted candidates, by kind, then start."""
-    return sorted((k, s, e) for k, s, e, base, pattern in found if base or model.accepts(k, pattern))
+    """Base spans and accepted candidates, by kind, then start.
+
+    An accepted candidate that lies wholly within likelier ones, or longer ones as likely,
+    adds nothing and goes; whatever any accepted candidate covers stays covered.
+    """
+    out = [(k, s, e) for k, s, e, base, _ in found if base]
+    added = [(k, s, e, model.chance(k, p)) for k, s, e, base, p in found if not base and model.accepts(k, p)]
+    covered: list[tuple[int, int]] = []  # disjoint, in order; touches no base span
+    for k, s, e, _ in sorted(added, key=lambda x: (-x[3], x[1] - x[2], x[1], x[0])):
+        at = bisect_left(covered, (s + 1,)) - 1
+        if at >= 0 and covered[at][1] >= e:
+            continue
+        out.append((k, s, e))
+        first = at if at >= 0 and covered[at][1] >= s else at + 1
+        last = first
+        while last < len(covered) and covered[last][0] <= e:
+            s, e, last = min(s, covered[last][0]), max(e, covered[last][1]), last + 1
+        covered[first:last] = [(s, e)]
+    return sorted(out)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -109,3 +110,62 @@ def test_empty_table(make_docs):
     found = pii.find_candidates(make_docs([]))
     assert pii.report(found, pii.fit(found)).count() == 0
     assert pii.redact(make_docs([]), pii.SpanModel()).count() == 0
+
+
+CARDS = "7536784127813050 4845168114407329"
+
+
+def learned(rows):
+    """The model of ``rows``, fitted without Spark."""
+    counts = Counter((c[0], c[4]) for _, text in rows for c in pii.candidates(text))
+    return pii.fit_patterns([(k, p, n) for (k, p), n in counts.items()])
+
+
+def with_cards():
+    """``corpus()``, and cards, international numbers and 16-digit order numbers that fail Luhn."""
+    rng = random.Random(5)
+    rows = corpus()
+    for i in range(400, 700):
+        d = "".join(rng.choice("0123456789") for _ in range(15))
+        last = next(x for x in range(10) if pii.luhn(d + str(x)))
+        rows.append((i, rng.choice([f"paid with {d}{last} today", f"number {d}{(last + 3) % 10} shipped",
+                                    f"call +1 (212) 555-{rng.randrange(1000, 9999)} now"])))
+    return rows
+
+
+def test_neighbouring_numbers_are_candidates_of_their_own():
+    for text, want in [(f"two {CARDS} here", [CARDS[:16], CARDS[17:]]),
+                       ("2353820953013749 4550997810720808", ["4550997810720808"]),
+                       ("4111 1111 1111 1111 2024", ["4111 1111 1111 1111"]),
+                       ("call 212-555-0143 2024 or", ["212-555-0143"]),
+                       ("+1 (202) 555-0143 1999 2024", ["+1 (202) 555-0143"]),
+                       ("2125550143 2125550199 2125550123", ["2125550143", "2125550199", "2125550123"])]:
+        got = [text[s:e] for _, s, e, _, _ in pii.candidates(text)]
+        assert set(want) <= set(got), (text, got)
+        assert all(sum(c.isdigit() for c in g) <= 19 for g in got)
+
+
+def test_cards_side_by_side_are_masked():
+    model = learned(with_cards())
+    for text, want in [(f"two {CARDS} here", "two [CARD] [CARD] here"),
+                       ("a 2353820953013749 4550997810720808 b", "a 2353820953013749 [CARD] b"),
+                       ("a 4111 1111 1111 1111 / 7 b", "a [CARD] / 7 b"),
+                       ("a +1 (202) 555-0143 199 2024 b", None)]:
+        got = pii.mask(text, pii.decide(pii.candidates(text), model))
+        assert got == want if want else "555-0143" not in got, got
+
+
+def test_accepted_candidates_stay_covered():
+    rng = random.Random(6)
+    model = learned(with_cards())
+    for _ in range(300):
+        text = "".join(rng.choice([CARDS[:16], "4111 1111 1111 1111", "212-555-0143", "+1 (202) 555-0143", "2024", "x", "a@b.co"])
+                       + rng.choice([" ", " ", "-", ", "]) for _ in range(rng.randrange(1, 8)))
+        found = pii.candidates(text)
+        spans = pii.decide(found, model)
+        got = {i for _, s, e in spans for i in range(s, e)}
+        assert got == {i for k, s, e, base, p in found if base or model.accepts(k, p) for i in range(s, e)}, text
+        assert len(spans) == len(set(spans))
+        starts = {(k, s, e) for k, s, e, base, _ in found if not base}
+        taken = [(s, e) for _, s, e in pii.base_spans(text)]
+        assert all(e <= a or s >= b for _, s, e in starts for a, b in taken), text
