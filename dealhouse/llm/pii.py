@@ -260,13 +260,23 @@ def fit_patterns(counts: list[tuple[int, int, int]]) -> SpanModel:
         return SpanModel()
     kinds, patterns, rows = (np.array(x) for x in zip(*sorted(counts), strict=True))
     posterior, reliability = expectation_maximisation(kinds, patterns, rows.astype(float))
-    x, w = _features(kinds, patterns), np.minimum(rows, 1000.0)
+    x, w = _features(kinds, patterns), rows.astype(float)
+
+    def loss(beta: np.ndarray) -> float:
+        return float(w @ (np.logaddexp(0, x @ beta) - posterior * (x @ beta)) + beta @ beta / 2)
+
     beta = np.zeros(x.shape[1])
-    for _ in range(50):  # Newton steps of a ridge logistic regression on soft labels
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+    for _ in range(100):  # Newton steps, halved until they gain, of a ridge logistic regression on soft labels
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
         slope = x.T @ (w * (p - posterior)) + beta
         curve = (x * (w * p * (1 - p))[:, None]).T @ x + np.eye(len(beta))
-        beta = beta - np.linalg.solve(curve, slope)
+        move, now = np.linalg.solve(curve, slope), loss(beta)
+        if slope @ move <= 1e-12 * now:
+            break
+        size = 1.0
+        while loss(beta - size * move) > now and size > 1e-9:
+            size /= 2
+        beta = beta - size * move
     return SpanModel(reliability, beta)
 
 

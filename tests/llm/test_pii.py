@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from dealhouse.llm import pii
@@ -169,3 +170,16 @@ def test_accepted_candidates_stay_covered():
         starts = {(k, s, e) for k, s, e, base, _ in found if not base}
         taken = [(s, e) for _, s, e in pii.base_spans(text)]
         assert all(e <= a or s >= b for _, s, e in starts for a, b in taken), text
+
+
+def test_classifier_weighs_patterns_by_all_their_rows():
+    """The weights solve the regression on the corpus counts, however common a pattern is."""
+    counts = Counter((c[0], c[4]) for _, text in with_cards() for c in pii.candidates(text))
+    for times in (1, 1000, 10**6):
+        kinds, patterns, rows = (np.array(x) for x in zip(*sorted((k, p, n * times) for (k, p), n in counts.items()), strict=True))
+        model = pii.fit_patterns(list(zip(kinds.tolist(), patterns.tolist(), rows.tolist(), strict=True)))
+        posterior, _ = pii.expectation_maximisation(kinds, patterns, rows.astype(float))
+        x = pii._features(kinds, patterns)
+        p = 1 / (1 + np.exp(-np.clip(x @ model.weights, -500, 500)))
+        slope = x.T @ (rows * (p - posterior)) + model.weights
+        assert np.abs(slope).max() < 1e-4 * rows.sum(), times
