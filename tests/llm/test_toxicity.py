@@ -121,3 +121,15 @@ def test_empty_tables(spark, make_docs):
     empty = spark.createDataFrame([], LABELS)
     assert tx.score_documents(make_docs([]), tx.fit(make_docs([]), empty)).count() == 0
     assert tx.drop_toxic(make_docs([]), tx.ToxicityModel()).count() == 0
+
+
+def test_only_exact_copies_leave_the_sample(spark):
+    rng = random.Random(8)
+    passage = "a passage that a third of all documents hold word by word "
+    docs = [(i, passage + " ".join(f"u{rng.randrange(10**6)}" for _ in range(60))) for i in range(120)]
+    docs += [(200 + i, "The  same text, twice!" if i % 2 else "the same text twice") for i in range(12)]
+    labels = [(i, 1, 0) for i, _ in docs if crc32(str(i).encode()) % 4 != 2]
+    got = tx.training_sample(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, LABELS))
+    ids = [r["sample_id"] for r in got.collect()]
+    assert sorted(i for i in ids if i < 200) == sorted(i for i, _, _ in labels if i < 200)
+    assert [i for i in ids if i >= 200] == [min(i for i, _, _ in labels if i >= 200)]
