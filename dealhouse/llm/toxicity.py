@@ -203,8 +203,32 @@ def log_partition(theta: np.ndarray, n: np.ndarray, gaps: np.ndarray, classes: n
     return float((log_z + left * run.log_top + np.log(alpha.sum(axis=1))).sum())
 
 
-def marginals(theta: np.ndarray, n: int, hits: list[tuple[int, int]]) -> list[float]:
-    """The chance of state 1 at each token with a cue, by forward and backward passes."""
+def _run_marginals(run: _Run, alpha: np.ndarray, n: int, end: np.ndarray) -> tuple[float, list[tuple[int, float]]]:
+    """Sum of the chances of state 1 over ``n`` tokens without cue, and ``(place, chance)`` of those of a half or more.
+
+    ``alpha`` is the forward vector before the run, ``end`` the backward vector at its last token.
+    """
+    r = run.ratio
+    to_p, to_q, p_end, q_end = alpha @ run.p, alpha @ run.q, run.p @ end, run.q @ end
+    whole = r ** n
+    z = float(to_p @ end + whole * (to_q @ end))
+    # Token j of 1 to n: (to_p + r^j to_q)[1] (p_end + r^(n-j) q_end)[1] / z
+    flat = float(to_p[1] * p_end[1] + whole * to_q[1] * q_end[1]) / z
+    after, before = float(to_q[1] * p_end[1]) / z, float(to_p[1] * q_end[1]) / z
+    powers = (1 - whole) / (1 - r)  # r^0 to r^(n-1)
+    total = n * flat + (after * r + before) * powers
+    sure: list[tuple[int, float]] = []
+    if flat + abs(after * r) + abs(before) >= 0.5:  # no chance is above
+        j = np.arange(1, n + 1)
+        chances = flat + after * r ** j + before * r ** (n - j)
+        sure = [(int(k), float(chances[k])) for k in np.flatnonzero(chances >= 0.5)]
+    return min(max(total, 0.0), float(n)), sure
+
+
+def chain_marginals(theta: np.ndarray, n: int, hits: list[tuple[int, int]],
+                    runs: bool = True) -> tuple[list[float], float, list[tuple[int, float]]]:
+    """By forward and backward passes: the chance of state 1 at each token with a cue; with ``runs``, the sum of the
+    chances of the other tokens, and ``(position, chance)`` of those of a half or more."""
     start, _, each = _steps(theta)
     run = _Run(each[0])
     forward, alpha, last = [], start, -1
@@ -214,13 +238,32 @@ def marginals(theta: np.ndarray, n: int, hits: list[tuple[int, int]]) -> list[fl
         forward.append(alpha)
         last = at
     out, beta, after = [], np.ones(2), n
-    for (at, c), alpha in zip(reversed(hits), reversed(forward), strict=True):
+    rest, sure = 0.0, []
+    for (at, c), alpha in zip([*reversed(hits), (-1, 0)], [*reversed(forward), start], strict=True):
+        if runs and after - at > 1:
+            total, found = _run_marginals(run, alpha, after - at - 1, beta)
+            rest += total
+            sure += [(at + 1 + k, p) for k, p in found]
+        if at < 0:
+            break
         here = run.power(after - at - 1) @ beta
         both = alpha * here
         out.append(float(both[1] / both.sum()))
         beta = each[c] @ (here / here.sum())
         after = at
-    return out[::-1]
+    return out[::-1], rest, sure
+
+
+def marginals(theta: np.ndarray, n: int, hits: list[tuple[int, int]]) -> list[float]:
+    """The chance of state 1 at each token with a cue."""
+    return chain_marginals(theta, n, hits, runs=False)[0]
+
+
+def tagged(theta: np.ndarray, n: int, hits: list[tuple[int, int]]) -> tuple[float, dict[int, float]]:
+    """Expected number of tokens in state 1, of all ``n``, and the chances of those of a half or more by position."""
+    chances, rest, sure = chain_marginals(theta, n, hits)
+    sure += [(at, p) for (at, _), p in zip(hits, chances, strict=True) if p >= 0.5]
+    return sum(chances) + rest, dict(sure)
 
 
 def label_counts(n: int, hits: list[tuple[int, int]], toxic: int) -> np.ndarray:
@@ -319,10 +362,10 @@ class ToxicityModel:
     theta: np.ndarray = field(default_factory=lambda: np.zeros(4 + CLASSES))
     weights: tuple[float, ...] | None = None  # None: nothing was learned, every score is 0
 
-    def hits(self, tag: Callable, text: str | None) -> tuple[int, list[tuple[int, int]], list[float]]:
+    def tag(self, tag: Callable, text: str | None) -> tuple[int, float, dict[int, float]]:
+        """Number of tokens, expected number of toxic ones, and the likely ones by position."""
         words = tokens(text)
-        found = tag(words)
-        return len(words), found, marginals(self.theta, len(words), found) if found else []
+        return len(words), *(tagged(self.theta, len(words), tag(words)) if self.cues else (0.0, {}))
 
     def score(self, expected: float, n: int) -> float:
         if self.weights is None:
@@ -356,7 +399,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
 
     def expect(source: Iterator[tuple]) -> Iterator[tuple]:
         for n, at, classes, toxic in source:
-            total = sum(marginals(theta, n, list(zip(at, classes, strict=True))))
+            total, _ = tagged(theta, n, list(zip(at, classes, strict=True)))
             yield min(int(8 * math.log2(1 + total)), 127), int(2 * math.log2(1 + n)), toxic, total, n
 
     binned = map_rows(sequences, ["n", "at", "classes", "toxic"], expect, T.StructType([
@@ -391,10 +434,9 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         tag = tagger(model.cues)
         for doc_id, text in source:
-            n, hits, chances = model.hits(tag, text)
-            sure = {at: p for (at, _), p in zip(hits, chances, strict=True) if p >= 0.5}
+            n, expected, sure = model.tag(tag, text)
             spans = [(m.start(), m.end(), sure[i]) for i, m in enumerate(TOKEN.finditer(text)) if i in sure] if sure else []
-            yield doc_id, model.score(sum(chances), n), [{"start": s, "end": e, "chance": p} for s, e, p in spans]
+            yield doc_id, model.score(expected, n), [{"start": s, "end": e, "chance": p} for s, e, p in spans]
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                          T.StructField("chance", T.DoubleType())])
@@ -413,8 +455,8 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
                 part = batch.slice(at, 256)
                 mask = []
                 for text in part.column(text_at).to_pylist():
-                    n, _, chances = model.hits(tag, text)
-                    mask.append(model.score(sum(chances), n) < threshold)
+                    n, expected, _ = model.tag(tag, text)
+                    mask.append(model.score(expected, n) < threshold)
                 yield part.filter(pa.array(mask, type=pa.bool_()))
 
     return bound_batches(docs).mapInArrow(keep, docs.schema)

@@ -133,3 +133,24 @@ def test_only_exact_copies_leave_the_sample(spark):
     ids = [r["sample_id"] for r in got.collect()]
     assert sorted(i for i in ids if i < 200) == sorted(i for i, _, _ in labels if i < 200)
     assert [i for i in ids if i >= 200] == [min(i for i, _, _ in labels if i >= 200)]
+
+
+@pytest.mark.parametrize("sequence", [[0], [0, 0, 0, 0], [0, 0, 1], [2, 0, 0, 5, 5, 0, 0], [0, 0, 0, 0, 7, 0, 0, 1, 0]])
+def test_tokens_without_cue_have_marginals(sequence):
+    for seed in range(8):
+        theta = np.random.default_rng(seed).normal(size=4 + tx.CLASSES) * 2
+        weights = list(paths(theta, sequence))
+        z = sum(w for _, w in weights)
+        want = [sum(w for s, w in weights if s[i]) / z for i in range(len(sequence))]
+        expected, sure = tx.tagged(theta, len(sequence), [(i, c) for i, c in enumerate(sequence) if c])
+        assert expected == pytest.approx(sum(want))
+        assert sure == pytest.approx({i: p for i, p in enumerate(want) if p >= 0.5})
+
+
+def test_a_span_has_no_hole_where_the_context_is_toxic(make_docs):
+    theta = np.zeros(4 + tx.CLASSES)
+    theta[:4], theta[4:] = (-3.0, -3.0, -3.0, 2.0), 6.0
+    model = tx.ToxicityModel({"=idiot": 5.0}, theta, (0.0, 1.0, 0.0, 0.0))
+    text = "idiot unseen idiot and then a long way home on the road"
+    got = tx.score_documents(make_docs([(1, text)]), model).first()
+    assert [text[s["start"]:s["end"]] for s in got["spans"]][:3] == ["idiot", "unseen", "idiot"]
