@@ -22,6 +22,9 @@ CANONICAL_TAG = r"""(?is)<link\s[^>]*rel\s*=\s*["']?canonical["'\s>][^>]*>?"""
 HREF = r"""(?is)href\s*=\s*["']([^"']*)["']"""
 REFRESH_TAG = r"""(?is)<meta\s[^>]*http-equiv\s*=\s*["']?refresh["'\s][^>]*>"""
 REFRESH_URL = r"""(?is)url\s*=\s*([^"'\s>]+)"""
+# The oracle's expressions above pass over unquoted href values and a quoted URL in a refresh.
+BARE_HREF = r"""(?is)\shref\s*=\s*([^"'\s>]+)"""
+ANY_REFRESH_URL = r"""(?is)url\s*=\s*["']?([^"'\s>]+)"""
 TRACKING = "&(utm_[a-z]*|ref|fbclid|gclid)=[^&]*"
 
 
@@ -104,8 +107,10 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Colum
 def alias_links(pages: DataFrame) -> DataFrame:
     """``(a, b, other)``: address ``a`` of a page is an alias of ``b``, the address of URL ``other``."""
     url, html = F.col("url"), F.col("html")
-    canonical = F.regexp_extract(F.regexp_extract(html, CANONICAL_TAG, 0), HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), REFRESH_URL, 1)
+    tag = F.regexp_extract(html, CANONICAL_TAG, 0)
+    quoted = F.regexp_extract(tag, HREF, 1)
+    canonical = F.when(quoted != "", quoted).otherwise(F.regexp_extract(tag, BARE_HREF, 1))
+    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), ANY_REFRESH_URL, 1)
     others = F.array(
         F.concat(F.lit("http://"), canonical_of(url)),
         F.when(F.instr(F.lower(html), "canonical") > 0, resolve(url, canonical)),

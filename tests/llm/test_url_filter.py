@@ -84,3 +84,16 @@ def test_components_of_a_hub_a_chain_and_loops(spark):
         spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     want = {i: 0 for i in range(60)} | {i: 100 for i in range(100, 141)} | {200: 200, 201: 200}
     assert got == want
+
+
+def test_bare_canonical_and_quoted_refresh_are_links(spark):
+    tags = ["<link rel=canonical href=http://b.com/x>", "<link href=http://b.com/x rel=canonical>",
+            "<link rel='canonical' href='http://b.com/x'>",
+            """<meta http-equiv="refresh" content="0; url='http://b.com/x'">""",
+            """<meta http-equiv=refresh content='0;URL="http://b.com/x"'>""",
+            """<meta http-equiv="refresh" content="0; url=http://b.com/x">"""]
+    pages = spark.createDataFrame([(i, f"http://a{i}.net/p", f"<html>{t}</html>") for i, t in enumerate(tags)]
+                                  + [(99, "http://a99.net/p", None)], "page_id long, url string, html string")
+    rules = (uf.Rule("block", "b.com", "/x"),)
+    got = {r["page_id"]: r["verdict"] for r in uf.judge_urls(pages, rules).collect()}
+    assert got == {**{i: "block" for i in range(len(tags))}, 99: "allow"}
