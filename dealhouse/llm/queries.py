@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealhouse.llm import lz_fingerprint, mixing, pieces, pii, quality, simhash, tool_calls, toxicity, url_filter, warc
+from dealhouse.llm import (
+    byte_bpe, lz_fingerprint, merkle, mixing, pieces, pii, quality, simhash, spelling, tool_calls, toxicity, url_filter,
+    warc)
 from dealhouse.llm.common import materialize, table
 from dealhouse.session import scratch_dir
 
@@ -87,3 +89,18 @@ LLM_ORACLE["op5_tool_calls"] = tool_calls.oracle_sql()
 
 
 LLM_ORACLE["op7_warc"] = warc.oracle_sql()
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
