@@ -1,30 +1,37 @@
 """Soft-membership mixing: document rates whose expected domain totals match target weights.
 
 A labelled table trains a naive Bayes classifier on the presence of telling words; its
-posteriors say how far each document belongs to each domain. Rates r >= 0 (how often a
-document is to be used) then minimise the squared gap between the expected tokens of each
-domain, sum of r * tokens * posterior, and its target, relative to what the domain has, by
-projected gradient descent. The gradient of all documents is one vector with a number per
-domain, so a step is one distributed aggregate, and a rate is a short expression over the
-document's own posteriors and the vectors so far: no join, nothing per document is kept.
+posteriors say how far each document belongs to each domain. Rates r (how often a document is
+to be used) are fitted by projected-gradient least squares: among rates of ``at_least`` or
+more, those least changed from 1, in squares weighted by tokens, whose expected tokens of each
+domain, sum of r * tokens * posterior, match the targets. Projection is lazy: gradients add up
+to one vector with a number per domain, and a rate is projected when it is looked at. So the
+rate is a short expression over the document's own posteriors: no join, nothing per document
+is kept. A step is one distributed aggregate of a few numbers; it is scaled by the curvature of
+the rates off their bound, which the same aggregate returns, so a handful of steps does, and
+steps go on until the targets are met or come no nearer.
 
 DataFrame and SQL functions only.
 """
 from __future__ import annotations
 
+import logging
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealhouse.llm.common import materialize
 
+LOG = logging.getLogger(__name__)
 TRAIN_ROWS = 20_000  # labelled documents that the classifier is trained on, about
 VOCABULARY = 96      # telling words
 TEMPER = 0.25        # naive Bayes counts kindred words as independent; this tempers its certainty
-STEPS = 20
-TOLERANCE = 1e-4     # greatest relative gap at which descent ends
+TOLERANCE = 1e-4     # greatest gap, as a share of a domain's target, at which descent ends
+RIDGE, SOFT_RIDGE = 1e-9, 1e-2  # what holds the gradient sum back, of the tokens; soft: targets out of reach
+STALLED = 12         # steps in a row without a tenth off the gap: the targets are out of reach
 WORD_BREAK, WORD_BREAK_CHARS = "[\\x20\\x09-\\x0D]+", " \t\n\u000b\u000c\r"
 # Target weights of the registered query and the pipeline.
 WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
@@ -92,56 +99,153 @@ def train(labelled: DataFrame, label: str, train_rows: int = TRAIN_ROWS, vocabul
     return Classifier(tuple(domains), tuple(base), tuple(words))
 
 
-def rate_of(member: Column, steps: list[tuple[float, ...]], at_least: float = 0.0) -> Column:
-    """A document's rate after ``steps``: from 1, down each gradient, back onto rates of ``at_least`` or more.
-
-    One expression whatever the number of steps, so that Spark compiles it once."""
-    first = F.greatest(F.lit(float(at_least)), F.lit(1.0))
-    if not steps:
-        return first
-    vectors = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
-
-    def along(g: Column) -> Column:
-        return F.aggregate(F.zip_with(member, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-
-    return F.aggregate(vectors, first, lambda rate, g: F.greatest(F.lit(float(at_least)), rate - along(g)))
-
-
-def targets(totals: list[float], weights: list[float], at_least: float) -> list[float]:
-    """Target tokens per domain: all tokens shared out by weight.
+@dataclass(frozen=True)
+class Rates:
+    """Rates as a function of posteriors, and what they come to in each domain.
 
-    With ``at_least`` 1 nothing may be left out, so the sum is the least at which no domain
-    has to shrink.
+    A rate is ``base`` less the posteriors along ``pull``, but no less than ``at_least``. ``gaps``
+    are expected tokens less target, as a share of the target; ``reached`` says whether all lie
+    within the tolerance asked for.
     """
-    share = [w / (sum(weights) or 1.0) for w in weights]
-    total = sum(totals) if at_least < 1 else max((t / s for t, s in zip(totals, share, strict=True) if s > 0), default=0.0)
-    return [s * total for s in share]
 
+    at_least: float = 0.0
+    base: float = 1.0
+    pull: tuple[float, ...] = ()
+    expected: tuple[float, ...] = ()
+    targets: tuple[float, ...] = ()
+    reached: bool = True
+
+    @property
+    def gaps(self) -> tuple[float, ...]:
+        return tuple((e - t) / t if t else float(e > 0) for e, t in zip(self.expected, self.targets, strict=True))
+
+    def of(self, member: Column) -> Column:
+        return F.greatest(F.lit(self.at_least), self.unbounded(member))
+
+    def unbounded(self, member: Column) -> Column:
+        pulls = [F.get(member, F.lit(i)) * F.lit(float(x)) for i, x in enumerate(self.pull) if x]
+        return reduce(lambda total, x: total - x, pulls, F.lit(float(self.base)))
+
+
+def _solve(a: list[list[float]], b: list[float]) -> list[float]:
+    """The solution of a small symmetric positive definite system."""
+    n = len(b)
+    rows = [[*row, x] for row, x in zip(a, b, strict=True)]
+    for i in range(n):
+        at = max(range(i, n), key=lambda r: abs(rows[r][i]))
+        rows[i], rows[at] = rows[at], rows[i]
+        for r in range(i + 1, n):
+            f = rows[r][i] / rows[i][i]
+            rows[r] = [x - f * y for x, y in zip(rows[r], rows[i], strict=True)]
+    out = [0.0] * n
+    for i in reversed(range(n)):
+        out[i] = (rows[i][n] - sum(rows[i][j] * out[j] for j in range(i + 1, n))) / rows[i][i]
+    return out
 
-def fit_rates(members: DataFrame, weights: list[float], at_least: float = 0.0, steps: int = STEPS,
-              tolerance: float = TOLERANCE) -> list[tuple[float, ...]]:
-    """Gradient vectors of the descent over ``members`` (tokens, member), one aggregate each.
 
-    The loss is the sum over domains of (expected - target)^2 / total. In the norm that
-    weighs a rate by its document's tokens its curvature is 1 at most, so steps of length 1
-    never overshoot.
+@dataclass(frozen=True)
+class _Point:
+    """What one aggregate says of a gradient sum: loss, expected tokens, curvature."""
+
+    loss: float
+    expected: list[float]
+    curvature: list[list[float]]
+
+
+def _look(members: DataFrame, rates: Rates, k: int) -> _Point:
+    """Half the squared rates beyond the bound (linear below it), weighted by tokens, and its derivatives."""
+    free, rate, low = F.col("free"), F.col("rate"), F.lit(rates.at_least)
+    member = [F.get("member", F.lit(i)) for i in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+    part = F.when(free > low, free * free).otherwise(2 * low * free - low * low) / 2
+    off = F.when(free > low, F.col("tokens")).otherwise(F.lit(0))
+    row = members.select("tokens", "member", rates.unbounded(F.col("member")).alias("free"),
+                         rates.of(F.col("member")).alias("rate")).agg(
+        F.sum(F.col("tokens") * part).alias("loss"),
+        *[F.sum(F.col("tokens") * rate * m).alias(f"e{i}") for i, m in enumerate(member)],
+        *[F.sum(off * member[i] * member[j]).alias(f"h{i}_{j}") for i, j in pairs],
+        *[F.sum(off * m).alias(f"m{i}") for i, m in enumerate(member)], F.sum(off).alias("off")).first()
+    def number(name: str) -> float:
+        return row[name] or 0.0
+
+    curvature = [[number(f"h{max(i, j)}_{min(i, j)}") for j in range(k)] + [number(f"m{i}")] for i in range(k)]
+    return _Point(number("loss"), [number(f"e{i}") for i in range(k)],
+                  [*curvature, [*(number(f"m{i}") for i in range(k)), number("off")]])
+
+
+def fit_rates(members: DataFrame, weights: list[float], at_least: float = 0.0,
+              tolerance: float = TOLERANCE) -> Rates:
+    """Rates over ``members`` (tokens, member) that meet ``weights``.
+
+    With ``at_least`` below 1 the token total stays what it is. From 1 on nothing may be left
+    out, so the total is free and the shares alone have to match. A domain without a token has no
+    target; its weight goes to the others. Targets that no rates reach are missed by
+    least squares, with rates held near 1 by ``SOFT_RIDGE``: ``reached`` is false, ``gaps`` tell by
+    how much, and a warning is logged.
     """
     k = len(weights)
-    out: list[tuple[float, ...]] = []
-    totals: list[float] = []
-    while len(out) < steps:
-        rate = rate_of(F.col("member"), out, at_least)
-        row = members.select((F.col("tokens") * rate).alias("mass"), "member").agg(
-            *[F.sum(F.col("mass") * F.get("member", F.lit(i))) for i in range(k)]).first()
-        expected = [x or 0.0 for x in row]
-        if not totals:
-            totals = expected
-            goal = targets(totals, weights, at_least)
-        gradient = tuple((e - g) / t if t > 0 else 0.0 for e, g, t in zip(expected, goal, totals, strict=True))
-        if all(abs(e - g) <= tolerance * max(g, 1.0) or t <= 0 for e, g, t in zip(expected, goal, totals, strict=True)):
-            break
-        out.append(gradient)
-    return out
+    start = Rates(at_least=float(at_least), base=1.0, pull=(0.0,) * k)
+    first = _look(members, replace(start, at_least=min(start.at_least, 1.0)), k)
+    total = sum(first.expected)
+    if not total:
+        return replace(start, expected=(0.0,) * k, targets=(0.0,) * k)
+    held = [w if e > 0 else 0.0 for w, e in zip(weights, first.expected, strict=True)]
+    share = [w / (sum(held) or 1.0) for w in held]
+    found = _descend(members, share, start, total, RIDGE * total, tolerance)
+    if not found.reached:
+        found = replace(_descend(members, share, start, total, SOFT_RIDGE * total, tolerance), reached=False)
+        LOG.warning("mixing targets are out of reach; gaps by domain: %s", [round(g, 4) for g in found.gaps])
+    return found
+
+
+def _descend(members: DataFrame, share: list[float], start: Rates, total: float, ridge: float,
+             tolerance: float) -> Rates:
+    k, fixed = len(share), start.at_least < 1
+    # With a free total, what counts of a posterior is what it has beyond the share.
+    less = [0.0] * k if fixed else share
+    goal = [s * total if fixed else 0.0 for s in share]
+
+    def at(pull: list[float]) -> Rates:
+        return replace(start, base=1.0 + sum(s * x for s, x in zip(less, pull, strict=True)), pull=tuple(pull))
+
+    def seen(pull: list[float]) -> tuple:
+        """Loss, gradient, curvature and rates at a gradient sum."""
+        p = _look(members, at(pull), k)
+        mass = sum(p.expected)
+        gap = [e - s * mass - g for e, s, g in zip(p.expected, less, goal, strict=True)]
+        slope = [ridge * x - d for x, d in zip(pull, gap, strict=True)]
+        m, n = p.curvature[k], p.curvature[k][k]
+        bend = [[p.curvature[i][j] - less[i] * m[j] - less[j] * m[i] + less[i] * less[j] * n + (ridge if i == j else 0.0)
+                 for j in range(k)] for i in range(k)]
+        loss = p.loss + sum(x * g for x, g in zip(pull, goal, strict=True)) + ridge / 2 * sum(x * x for x in pull)
+        aim = [s * total if fixed else s * mass for s in share]
+        rates = replace(at(pull), expected=tuple(p.expected), targets=tuple(aim))
+        rates = replace(rates, reached=all(abs(g) <= tolerance for g in rates.gaps))
+        return loss, slope, bend, rates
+
+    pull = [0.0] * k
+    loss, slope, bend, rates = seen(pull)
+    best, idle = rates, 0
+
+    def size(r: Rates) -> float:
+        return sum(abs(e - t) for e, t in zip(r.expected, r.targets, strict=True)) / total
+
+    while not rates.reached and idle < STALLED:
+        floor = max(RIDGE * total, max(bend[i][i] for i in range(k)) * RIDGE)
+        step = _solve([[x + (floor if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(bend)], slope)
+        descent, length = sum(s * d for s, d in zip(slope, step, strict=True)), 1.0
+        if descent <= abs(loss) * 1e-15:
+            break  # nowhere lower
+        while True:
+            ahead = [x - length * d for x, d in zip(pull, step, strict=True)]
+            there = seen(ahead)
+            if there[0] <= loss - 1e-4 * length * descent or length < 1e-6:
+                break
+            length /= 2
+        pull, (loss, slope, bend, rates) = ahead, there
+        idle = 0 if size(rates) < 0.9 * size(best) else idle + 1
+        best = min(best, rates, key=size) if ridge < SOFT_RIDGE * total else rates
+    return rates if rates.reached else best
 
 
 def copies_of(rate: Column, key: Column) -> Column:
@@ -153,11 +257,10 @@ def copies_of(rate: Column, key: Column) -> Column:
 @dataclass(frozen=True)
 class Mix:
     classifier: Classifier
-    steps: tuple[tuple[float, ...], ...]
-    at_least: float
+    rates: Rates
 
     def rate(self, member: Column) -> Column:
-        return rate_of(member, list(self.steps), self.at_least)
+        return self.rates.of(member)
 
 
 def memberships(docs: DataFrame, classifier: Classifier) -> DataFrame:
@@ -173,7 +276,7 @@ def fit(docs: DataFrame, label: str, weights: dict[str, float], at_least: float
     classifier = train(docs, label, train_rows)
     members = materialize(memberships(docs, classifier), "mixing")
     share = [weights.get(d, 0.0) for d in classifier.domains]
-    return Mix(classifier, tuple(fit_rates(members, share, at_least)) if share else (), at_least), members
+    return Mix(classifier, fit_rates(members, share, at_least) if share else Rates(float(at_least))), members
 
 
 def mix_documents(docs: DataFrame, label: str = "lang", weights: dict[str, float] | None = None,

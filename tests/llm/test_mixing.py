@@ -1,4 +1,4 @@
-"""Mixing: the distributed descent against numpy, classifier accuracy, and realised copies."""
+"""Mixing: targets met or told, optimality, classifier accuracy, and realised copies."""
 from __future__ import annotations
 
 import random
@@ -10,36 +10,61 @@ from pyspark.sql import functions as F
 from dealhouse.llm import mixing as mx
 
 
-def descend(p, t, weights, at_least, steps):
-    """Projected gradient descent with every rate in memory."""
-    rate = np.maximum(at_least, np.ones(len(t)))
-    totals = goal = None
-    for _ in range(steps):
-        expected = (t * rate) @ p
-        if totals is None:
-            totals = expected
-            goal = np.array(mx.targets(list(totals), weights, at_least))
-        if (np.abs(expected - goal) <= mx.TOLERANCE * np.maximum(goal, 1)).all():
-            break
-        rate = np.maximum(at_least, rate - p @ ((expected - goal) / totals))
-    return rate, goal
+def members_of(spark, p, t):
+    return spark.createDataFrame([(i, int(x), [float(v) for v in m]) for i, (x, m) in enumerate(zip(t, p, strict=True))],
+                                 "doc_id long, tokens long, member array<double>").repartition(4)
+
+
+def soft_corpus(spread, seed=3):
+    rng = np.random.default_rng(seed)
+    return rng.dirichlet([spread] * 3, size=500), rng.integers(0, 900, size=500)
+
+
+@pytest.mark.parametrize("at_least", [0.0, 1.0])
+@pytest.mark.parametrize("spread", [0.2, 1.0, 3.0])
+@pytest.mark.parametrize("weights", [[0.6, 0.3, 0.1], [0.2, 0.3, 0.5]])
+def test_reachable_targets_are_met(spark, spread, at_least, weights):
+    p, t = soft_corpus(spread)
+    members = members_of(spark, p, t)
+    rates = mx.fit_rates(members, weights, at_least)
+    assert rates.reached and max(map(abs, rates.gaps)) <= mx.TOLERANCE
+    got = dict(members.select("doc_id", rates.of(F.col("member"))).collect())
+    rate = np.array([got[i] for i in range(500)])
+    assert rate.min() >= at_least
+    expected = (t * rate) @ p
+    total = t.sum() if at_least < 1 else expected.sum()
+    assert np.allclose(expected, np.array(weights) * total, rtol=0.01)
+    assert np.allclose(expected, rates.expected)
+
+
+def test_rates_are_the_least_changed_ones(spark):
+    """No other rates meet the targets with less change: the multipliers of the bounds have the right sign."""
+    p, t = soft_corpus(1.0)
+    rates = mx.fit_rates(members_of(spark, p, t), [0.6, 0.3, 0.1], 0.0)
+    rate = np.maximum(0.0, rates.base - p @ np.array(rates.pull))
+    kept, out = rate > 0, rate == 0
+    assert kept.any() and out.any()
+    pull = np.linalg.lstsq(p[kept], 1 - rate[kept], rcond=None)[0]
+    assert np.allclose(p[kept] @ pull, 1 - rate[kept], atol=1e-6)  # one multiplier per domain explains all changes
+    assert (1 - p[out] @ pull <= 1e-6).all()                       # and would take the others below the bound
 
 
 @pytest.mark.parametrize("at_least", [0.0, 1.0])
-def test_rates_equal_numpy_and_meet_targets(spark, at_least):
-    rng = np.random.default_rng(3)
-    p = rng.dirichlet([0.2, 0.2, 0.2], size=500)
-    t = rng.integers(0, 900, size=500)
-    members = spark.createDataFrame([(i, int(x), [float(v) for v in m]) for i, (x, m) in enumerate(zip(t, p, strict=True))],
-                                    "doc_id long, tokens long, member array<double>").repartition(4)
-    weights = [0.6, 0.3, 0.1]
-    steps = mx.fit_rates(members, weights, at_least)
-    got = dict(members.select("doc_id", mx.rate_of(F.col("member"), steps, at_least)).collect())
-    want, goal = descend(p, t, weights, at_least, mx.STEPS)
-    assert np.allclose([got[i] for i in range(500)], want)
-    assert min(got.values()) >= at_least
-    if not at_least:
-        assert np.allclose((t * want) @ p, goal, rtol=0.02)
+def test_targets_out_of_reach_are_told(spark, caplog, at_least):
+    """No document belongs to the first domain by half, so no rates give it nine tenths."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([3.0, 3.0, 3.0], size=300)
+    p = p[p[:, 0] < 0.5]
+    rates = mx.fit_rates(members_of(spark, p, rng.integers(1, 900, size=len(p))), [0.9, 0.05, 0.05], at_least)
+    assert not rates.reached and min(rates.gaps) < -0.1 and "out of reach" in caplog.text
+    rate = np.maximum(at_least, rates.base - p @ np.array(rates.pull))
+    assert rate.max() < 100
+
+
+def test_a_domain_without_tokens_has_no_target(spark):
+    p = np.array([[0.0, 0.8, 0.2], [0.0, 0.1, 0.9], [1.0, 0.0, 0.0]])
+    rates = mx.fit_rates(members_of(spark, p, [100, 200, 0]), [0.5, 0.25, 0.25])
+    assert rates.reached and rates.targets == pytest.approx((0.0, 150.0, 150.0))
 
 
 def corpus():
