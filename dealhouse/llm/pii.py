@@ -43,7 +43,6 @@ DIGITS = re.compile(r"[0-9]")
 
 AT_SIGN = re.compile(r" ?[\[(] ?(?:at|AT|@) ?[\])] ?")
 DOT_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?(?:dot|DOT|\.) ?[\])] ?)[A-Za-z0-9-]+)+")
-LOCAL_TAIL = re.compile(r"[A-Za-z0-9._%+-]+$")
 GROUPS = re.compile(r"[0-9](?:[ ().-]{0,2}[0-9])++")
 GROUP = re.compile(r"[0-9]+")
 LOOSE_IP = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
@@ -51,7 +50,6 @@ INSIDE = re.compile(r"(?<=[0-9])[ ().-]{1,2}(?=[0-9])")
 TO_LEFT = re.compile(r"[0-9]([ ().-]{1,2})$")
 TO_RIGHT = re.compile(r"([ ().-]{1,2})[0-9]")
 LOOSE_DIGITS = 19  # of the longest loose candidate
-LOCAL_PART = 64  # longest local part of an address
 
 # Gazetteers and context words; fixed values.
 TOP_LEVEL = frozenset("com org net edu gov info io co de fr es uk eu us it nl ch at be ca au".split())
@@ -113,10 +111,11 @@ def loose_spans(text: str) -> Iterator[tuple[int, int, int]]:
     """
     if "(" in text or "[" in text:
         for m in AT_SIGN.finditer(text):
-            left = max(0, m.start() - LOCAL_PART)
-            name, host = LOCAL_TAIL.search(text[left:m.start()]), DOT_HOST.match(text, m.end())
-            if name and host:
-                yield 0, left + name.start(), host.end()
+            left, host = m.start(), DOT_HOST.match(text, m.end())
+            while left and text[left - 1] in LOCAL:
+                left -= 1
+            if left < m.start() and host:
+                yield 0, left, host.end()
     if DIGITS.search(text):
         for m in GROUPS.finditer(text):
             groups = [g.span() for g in GROUP.finditer(text, m.start(), m.end())]

@@ -183,3 +183,10 @@ def test_classifier_weighs_patterns_by_all_their_rows():
         p = 1 / (1 + np.exp(-np.clip(x @ model.weights, -500, 500)))
         slope = x.T @ (rows * (p - posterior)) + model.weights
         assert np.abs(slope).max() < 1e-4 * rows.sum(), times
+
+
+def test_a_spelled_out_address_is_found_whole():
+    for n in (1, 63, 64, 65, 80, 5000):
+        text = "é" + "x" * n + " [at] example [dot] com!"
+        assert (0, 1, len(text) - 1) in list(pii.loose_spans(text))
+    assert not [s for s in pii.loose_spans(" [at] example [dot] com") if s[0] == 0]
