@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dealhouse.llm import (
     byte_bpe, lz_fingerprint, merkle, mixing, pieces, pii, quality, simhash, spelling, tool_calls, toxicity, url_filter,
-    warc)
+    url_oracle, warc)
 from dealhouse.llm.common import materialize, table
 from dealhouse.session import scratch_dir
 
@@ -45,7 +45,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-LLM_ORACLE["op9_url_filters"] = url_filter.oracle_sql()
+LLM_ORACLE["op9_url_filters"] = url_oracle.oracle_sql(url_filter.RULES)
 
 
 @query

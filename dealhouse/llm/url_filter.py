@@ -8,6 +8,7 @@ allowed address: allow takes precedence.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,13 +19,12 @@ from dealhouse.llm.common import materialize
 from dealhouse.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CANONICAL_TAG = r"""(?is)<link\s[^>]*rel\s*=\s*["']?canonical["'\s>][^>]*>?"""
-HREF = r"""(?is)href\s*=\s*["']([^"']*)["']"""
-REFRESH_TAG = r"""(?is)<meta\s[^>]*http-equiv\s*=\s*["']?refresh["'\s][^>]*>"""
-REFRESH_URL = r"""(?is)url\s*=\s*([^"'\s>]+)"""
-# The oracle's expressions above pass over unquoted href values and a quoted URL in a refresh.
-BARE_HREF = r"""(?is)\shref\s*=\s*([^"'\s>]+)"""
-ANY_REFRESH_URL = r"""(?is)url\s*=\s*["']?([^"'\s>]+)"""
+# An attribute starts after white space, a quote or a slash, so that data-href is none.
+CANONICAL_TAG = r"""(?is)<link(?:[\s"'/][^>]*)?[\s"'/]rel\s*=\s*["']?canonical["'\s>/][^>]*>?"""
+HREF = r"""(?is)[\s"'/]href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+REFRESH_TAG = r"""(?is)<meta(?:[\s"'/][^>]*)?[\s"'/]http-equiv\s*=\s*["']?refresh["'\s>/][^>]*>?"""
+REFRESH_URL = r"""(?is)url\s*=\s*["']?([^"'\s>]+)"""
+SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
 TRACKING = "&(utm_[a-z]*|ref|fbclid|gclid)=[^&]*"
 
 
@@ -81,15 +81,49 @@ def canonical_of(url: Column) -> Column:
         F.regexp_replace(query, "^&", "")))
 
 
-def resolve(url: Column, href: Column) -> Column:
-    """``href`` as an absolute URL, seen from ``url``; null if it is empty or has nowhere to stand."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def without_dots(path: Column) -> Column:
+    """``path`` without ``.`` and ``..`` segments; what would climb above the root stays at it."""
+    def folded(parts: Column) -> Column:
+        last = F.element_at(parts, -1)
+        kept = F.aggregate(
+            F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+            lambda done, x: F.when(x == ".", done)
+            .when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+            .otherwise(F.concat(done, F.array(x))))
+        return _let(F.concat(F.lit("/"), F.array_join(kept, "/")), lambda whole: F.when(
+            last.isin(".", "..") & ~whole.endswith("/"), F.concat(whole, F.lit("/"))).otherwise(whole))
+
+    return F.when(path == "", path).otherwise(_let(F.split(path, "/"), folded))
+
+
+def _placed(url: Column, ref: Column) -> Column:
+    """``ref`` put onto ``url``, dot segments and all; null where it leads to no other page."""
+    scheme = F.lower(F.regexp_extract(ref, SCHEME, 1))
     base = F.concat(F.lit("http://"), host_of(url))
     folder = F.when(path_of(url) == "", F.lit("/")).otherwise(F.regexp_replace(path_of(url), "[^/]*$", ""))
-    return (F.when((href == "") | _rest(url).isNull(), F.lit(None).cast("string"))
-            .when(F.instr(href, "://") > 0, href)
-            .when(href.startswith("//"), F.concat(F.lit("http:"), href))
-            .when(href.startswith("/"), F.concat(base, href))
-            .otherwise(F.concat(base, folder, href)))
+    return (F.when((ref == "") | _rest(url).isNull(), F.lit(None).cast("string"))
+            .when(scheme.isin("http", "https"), F.when(F.regexp_like(ref, F.lit("^[^:]*://")), ref))
+            .when(scheme != "", F.lit(None).cast("string"))
+            .when(ref.startswith("//"), F.concat(F.lit("http:"), ref))
+            .when(ref.startswith("/"), F.concat(base, ref))
+            .when(ref.startswith("?"), F.concat(base, path_of(url), ref))
+            .otherwise(F.concat(base, folder, ref)))
+
+
+def resolve(url: Column, href: Column) -> Column:
+    """The address that ``href`` leads to from ``url``, by the rules of RFC 3986.
+
+    ``&amp;`` stands for ``&``. Null where it leads to no other page: an empty one, a fragment
+    alone, a scheme other than http and https, or a ``url`` without a host part to stand on.
+    """
+    ref = F.replace(F.btrim(href, F.lit(" \t\n\f\r")), F.lit("&amp;"), F.lit("&"))
+    return _let(F.regexp_replace(ref, "(?s)#.*$", ""), lambda r: _let(_placed(url, r), lambda whole: F.when(
+        whole.isNotNull(), _address(host_of(whole), without_dots(path_of(whole)), _query(whole)))))
 
 
 def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Column:
@@ -104,21 +138,29 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Colum
     return F.lit(None).cast("string") if found is None else found.otherwise(F.lit(None).cast("string"))
 
 
+def _attribute(tag: Column, pattern: str) -> Column:
+    """The value of an attribute, from whichever of the pattern's groups holds it."""
+    return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
+
+
+def _node(address: Column) -> Column:
+    """128 bits that stand for an address in the graph: rounds shuffle these, not long URLs."""
+    return F.unhex(F.md5(address))
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
-    """``(a, b, other)``: address ``a`` of a page is an alias of ``b``, the address of URL ``other``."""
+    """``(a, b, from_address, to_address)``: the nodes and addresses of two aliases."""
     url, html = F.col("url"), F.col("html")
-    tag = F.regexp_extract(html, CANONICAL_TAG, 0)
-    quoted = F.regexp_extract(tag, HREF, 1)
-    canonical = F.when(quoted != "", quoted).otherwise(F.regexp_extract(tag, BARE_HREF, 1))
-    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), ANY_REFRESH_URL, 1)
+    canonical = _attribute(F.regexp_extract(html, CANONICAL_TAG, 0), HREF)
+    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), REFRESH_URL, 1)
     others = F.array(
-        F.concat(F.lit("http://"), canonical_of(url)),
+        canonical_of(url),
         F.when(F.instr(F.lower(html), "canonical") > 0, resolve(url, canonical)),
         F.when(F.instr(F.lower(html), "refresh") > 0, resolve(url, refresh)))
-    return (pages.select(address_of(url).alias("a"), F.explode(others).alias("other"))
-            .select("a", address_of(F.col("other")).alias("b"), "other")
-            .filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-            .distinct())
+    return (pages.select(address_of(url).alias("from_address"), F.explode(others).alias("to_address"))
+            .filter(F.col("from_address") != F.col("to_address")).distinct()
+            .select(_node(F.col("from_address")).alias("a"), _node(F.col("to_address")).alias("b"),
+                    "from_address", "to_address"))
 
 
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -135,9 +177,11 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     url = F.col("url")
     links = materialize(alias_links(pages), "alias-links")
     roots = connected_components(links, "a", "b", "alias-rounds")
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-    as_url = F.concat(F.lit("http://"), F.col("node"))
-    decided = ends.select("node", rule_of(host_of(as_url), path_of(as_url), rules, verdict).alias("decision"))
+    ends = links.select(F.col("a").alias("node"), F.col("from_address").alias("address")).unionByName(
+        links.select(F.col("b").alias("node"), F.col("to_address").alias("address")))
+    as_url = F.concat(F.lit("http://"), F.col("address"))
+    decided = ends.select("node", rule_of(host_of(as_url), path_of(as_url), rules, verdict).alias("decision")).filter(
+        "decision is not null").distinct()
     known = roots.join(decided, "node")
     blocked = known.groupBy("root").agg(
         F.max((F.col("decision") == "block").cast("int")).alias("block"),
@@ -145,7 +189,8 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     ).filter((F.col("block") == 1) & (F.coalesce("allow", F.lit(0)) == 0)).select("root")
     guilty = roots.join(blocked, "root").select(F.col("node").alias("guilty"))
     judged = pages.select(
-        "page_id", host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("node"))
+        "page_id", host_of(url).alias("host"), path_of(url).alias("path"),
+        _node(address_of(url)).alias("node"))
     judged = judged.withColumns({
         "rule": rule_of(F.col("host"), F.col("path"), rules, lambda r: r.name),
         "ruled": rule_of(F.col("host"), F.col("path"), rules, verdict)})
@@ -153,51 +198,3 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("guilty").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
         .alias("verdict"))
-
-
-def oracle_sql(rules: tuple[Rule, ...] = RULES) -> str:
-    """The same rows in DuckDB SQL over ``pages``; components by a recursive reachability query."""
-    def q(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
-
-    def rule(what, host="host", path="path") -> str:
-        ordered = sorted(rules, key=lambda r: (-len(r.name), r.verdict != "allow"))
-        return "CASE " + " ".join(
-            f"WHEN ({host} = '{r.host}' OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') "
-            f"THEN '{what(r)}'" for r in ordered) + " END"
-
-    rest = "CASE WHEN instr({u}, '://') > 0 THEN substr({u}, instr({u}, '://') + 3) END"
-
-    def parts(u: str) -> str:
-        r = rest.format(u=u)
-        return (f"{r} AS rest, coalesce(translate(regexp_extract({r}, '^[^/?#]*'), '{UPPER}', '{LOWER}'), '') AS host, "
-                f"coalesce(regexp_extract({r}, '^[^/?#]*([^?#]*)', 1), '') AS path, "
-                f"coalesce(regexp_extract({r}, '^[^?#]*[?]([^#]*)', 1), '') AS query")
-
-    node = "CASE WHEN rest IS NOT NULL THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END"
-    clean = f"regexp_replace(regexp_replace('&' || query, '{TRACKING}', '', 'g'), '^&', '')"
-    return f"""
-WITH RECURSIVE p AS (SELECT row_number() OVER () AS rid, page_id, url, html, {parts('url')} FROM pages),
-n AS (SELECT *, {node} AS node,
-        regexp_extract(regexp_extract(html, {q(CANONICAL_TAG)}), {q(HREF)}, 1) AS canon,
-        regexp_extract(regexp_extract(html, {q(REFRESH_TAG)}), {q(REFRESH_URL)}, 1) AS refresh FROM p),
-hrefs AS (SELECT rid, unnest([canon, refresh]) AS href FROM n),
-others AS (
-  SELECT node AS a, 'http://' || regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '')
-    || CASE WHEN {clean} <> '' THEN '?' || {clean} ELSE '' END AS other FROM n WHERE rest IS NOT NULL
-  UNION
-  SELECT node, CASE WHEN instr(href, '://') > 0 THEN href WHEN starts_with(href, '//') THEN 'http:' || href
-    WHEN starts_with(href, '/') THEN 'http://' || host || href
-    ELSE 'http://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END || href END
-  FROM n JOIN hrefs USING (rid) WHERE rest IS NOT NULL AND href <> ''),
-o AS (SELECT a, {parts('other')} FROM others),
-e AS (SELECT a, b FROM (SELECT a, {node} AS b FROM o) WHERE b IS NOT NULL AND a <> b),
-both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-reach(x, y) AS (SELECT a, a FROM both_ways UNION SELECT x, b FROM reach JOIN both_ways ON y = a),
-ends AS (SELECT DISTINCT y, {parts("('http://' || y)")} FROM reach),
-decided AS (SELECT y, {rule(lambda r: r.verdict)} AS decision FROM ends),
-guilty AS (SELECT x FROM reach JOIN decided USING (y) GROUP BY x
-           HAVING bool_or(decision = 'block') AND NOT coalesce(bool_or(decision = 'allow'), false))
-SELECT page_id, host, path, {rule(lambda r: r.name)} AS rule,
-  coalesce({rule(lambda r: r.verdict)}, CASE WHEN guilty.x IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
-FROM n LEFT JOIN guilty ON guilty.x = n.node"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dealhouse.llm import url_filter as uf
 from dealhouse.llm.components import connected_components
+from dealhouse.llm.url_oracle import oracle_sql
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -63,7 +64,7 @@ def test_equals_sql(pages):
     frame = pd.DataFrame([tuple(r) for r in pages.collect()], columns=["page_id", "url", "html"])
     with duckdb.connect() as con:
         con.register("pages", frame.astype({"page_id": "Int64"}))
-        want = con.execute(uf.oracle_sql()).fetchall()
+        want = con.execute(oracle_sql(uf.RULES)).fetchall()
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in uf.judge_urls(pages).collect())
 
 
@@ -97,3 +98,48 @@ def test_bare_canonical_and_quoted_refresh_are_links(spark):
     rules = (uf.Rule("block", "b.com", "/x"),)
     got = {r["page_id"]: r["verdict"] for r in uf.judge_urls(pages, rules).collect()}
     assert got == {**{i: "block" for i in range(len(tags))}, 99: "allow"}
+
+
+BASE = "http://a.net/x/y.html?k=1#f"
+REFERENCES = [
+    ("/login?next=http://www.example.org/es/x", "a.net/login?next=http://www.example.org/es/x"),
+    ("z", "a.net/x/z"), ("./z", "a.net/x/z"), ("../z", "a.net/z"), ("../../../z", "a.net/z"), ("..", "a.net/"),
+    (".", "a.net/x/"), ("b/../c/./d", "a.net/x/c/d"), ("b/..", "a.net/x/"), ("?q=2", "a.net/x/y.html?q=2"),
+    ("#top", None), ("", None), ("  ", None), ("z#top", "a.net/x/z"), ("//B.com/q/../p", "b.com/p"),
+    ("HTTPS://B.com", "b.com"), ("https://b.com/a/../b", "b.com/b"), ("http://b.com?x=../y", "b.com?x=../y"),
+    ("mailto:me@b.com", None), ("javascript:alert('http://b.com')", None), ("http:odd", None), ("z?a=1&amp;b=2", "a.net/x/z?a=1&b=2"),
+    (" z ", "a.net/x/z"), ("/", "a.net/"), ("/..", "a.net/"), ("a:b/c", None), ("./a:b", "a.net/x/a:b"), ("...", "a.net/x/...")]
+
+
+def test_references_resolve_by_the_rules(spark):
+    rows = spark.createDataFrame([(BASE, ref) for ref, _ in REFERENCES], "url string, ref string")
+    got = rows.select("ref", uf.resolve(F.col("url"), F.col("ref")).alias("to")).collect()
+    assert [tuple(r) for r in got] == REFERENCES
+    lone = spark.createDataFrame([("http://h.net", "z"), ("http://h.net", "?q"), ("no scheme", "z"), (None, "z"), ("http://h.net", None)],
+                                 "url string, ref string")
+    assert [r[0] for r in lone.select(uf.resolve(F.col("url"), F.col("ref"))).collect()] == [
+        "h.net/z", "h.net?q", None, None, None]
+
+
+def test_a_query_that_holds_a_url_is_no_link_to_it(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/p.html", canonical("/login?next=http://www.example.org/es/x"))], SCHEMA)
+    assert uf.judge_urls(pages).first()["verdict"] == "allow"
+
+
+def test_every_link_form_equals_sql(spark):
+    forms = [canonical, refresh, lambda r: f"<link href='{r}' rel=canonical>", lambda r: f"<LINK data-href=\"/no\" REL='canonical' HREF=\"{r}\">",
+             lambda r: f"<link rel=canonical data-href={r}>", lambda r: f"<link rel=stylesheet href=/css><link\nrel = canonical href = {r}>",
+             lambda r: f"<meta http-equiv=\"refresh\" content=\"0; URL='{r}'\">", lambda r: f"<meta data-http-equiv=refresh content='0;url={r}'>",
+             lambda r: f"<link rel=\"canonical\" href=\"{r}\"/>{refresh('/other')}"]
+    targets = [r for r, _ in REFERENCES if "'" not in r] + ["http://b.com/de/1", "//www.example.org/es/", "../../en/1"]
+    rows = [(i * 100 + j, f"http://{h}/d/p{i}-{j}", form(r)) for i, form in enumerate(forms) for j, r in enumerate(targets)
+            for h in (f"s{i}.net",)]
+    rows += [(9000 + j, f"https://www.Example.edu/d/e{j}?utm_x=1&a=2&&ref=3", f"<link rel=canonical href='{r}'>") for j, r in enumerate(targets)]
+    rows += [(9900, "http://b.com/x", "<link rel=canonical"), (9901, None, canonical("/x")), (9902, "http://q.net/x?", ""),
+             (9903, "http://big.net/x", "<p>" * 200_000 + canonical("http://b.com/de/1"))]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    with duckdb.connect() as con:
+        con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+        want = sorted(map(str, con.execute(oracle_sql(uf.RULES)).fetchall()))
+    got = sorted(str(tuple(r)) for r in uf.judge_urls(pages).collect())
+    assert got == want and sum("'block'" in r for r in got) > 10
