@@ -101,7 +101,7 @@ def transactions_quarantine(raw: DataFrame) -> DataFrame:
     return flag_transactions(raw).filter(F.col("quarantine_reason").isNotNull())
 
 
-def _typed_transactions(df: DataFrame) -> DataFrame:
+def _typed_transactions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(
         *[norm_id(c).alias(c) for c in ("transaction_id", "target_id", "acquirer_id")],
         date_or_null("announce_date").alias("announce_date"),
@@ -116,11 +116,13 @@ def _typed_transactions(df: DataFrame) -> DataFrame:
         clean_str("strategic_rationale_tags").alias("strategic_rationale_tags"),
         int_or_null("num_bidders").alias("num_bidders"),
         int_or_null("days_to_close").alias("days_to_close"),
+        *keep,
     )
 
 
-def stg_transactions(raw: DataFrame) -> DataFrame:
-    return _typed_transactions(flag_transactions(raw).filter(F.col("quarantine_reason").isNull()))
+def stg_transactions(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Clean, typed deals; the columns ``keep`` pass through."""
+    return _typed_transactions(flag_transactions(raw).filter(F.col("quarantine_reason").isNull()), keep)
 
 
 def stg_acquirer_financials(raw: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ raw_transactions AS (
          WHEN o.o_orderkey % 7 = 0 THEN replace(CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR), '-', '/')
          ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS announce_date,
     CASE WHEN o.o_orderstatus = 'F' THEN CAST(CAST(l.last_ship AS DATE) AS VARCHAR) ELSE '' END AS close_date,
-    CAST(year(o.o_orderdate) AS VARCHAR) AS deal_year,
+    CASE WHEN o.o_orderkey % 223 = 5 THEN '2525' WHEN o.o_orderkey % 227 = 5 THEN ''
+         ELSE CAST(year(o.o_orderdate) AS VARCHAR) END AS deal_year,
     'Q' || CAST(quarter(o.o_orderdate) AS VARCHAR) AS deal_quarter,
     o.o_orderpriority AS deal_type,
     l.rf AS financing_type,
@@ -271,7 +272,9 @@ FROM deal LEFT JOIN target USING (target_id)
 """)
 
 
-FACT_SQL = fact_sql()
+IN_DOMAIN = "WHERE deal_year BETWEEN 1990 AND 2035"
+JOINED_SQL = fact_sql()
+FACT_SQL = JOINED_SQL + IN_DOMAIN + "\n"
 
 
 def _listed(field: str) -> str:
@@ -584,14 +587,59 @@ day2 AS (SELECT *, DATE '2025-01-02' AS data_date, 1 AS present FROM stg_targets
 {_merge_sql('target_id', _TGT_COLS, 'day1', 'day2')}
 """)
 
-ORACLE["backfill_partitions"] = FACT_SQL + "WHERE deal_year BETWEEN 1990 AND 2035\n"
-ORACLE["stream_ingest"] = ORACLE["backfill_partitions"]
+ORACLE["backfill_partitions"] = FACT_SQL
+
+
+def _n(column: str = "transaction_id") -> str:
+    return _KEYNUM.format(c=column)
+
+
+# Deals sent by stream change the table that they meet: tags with a line end, corrections, withdrawals.
+_SENT = f"""sent AS (
+  SELECT * REPLACE (
+    CASE WHEN n % 499 <> 0 AND n % 15 = 0 THEN 'Scale' || chr(10) || '"Synergy"' ELSE strategic_rationale_tags END
+      AS strategic_rationale_tags,
+    CASE WHEN corrected AND n % 3 = 1 THEN 'Final' WHEN corrected THEN 'Corrected' ELSE outcome END AS outcome,
+    CASE WHEN corrected AND n % 2 = 0 THEN 1994 ELSE deal_year END AS deal_year)
+  FROM (SELECT *, n % 499 <> 0 AND n % 5 <> 0 AND n % 45 = 1 AS corrected FROM (SELECT *, {_n()} AS n FROM stg_transactions))
+  WHERE NOT (n % 499 <> 0 AND n % 5 <> 0 AND n % 90 = 2)),
+"""
+ORACLE["stream_ingest"] = fact_sql("(SELECT * EXCLUDE (n, corrected) FROM sent)", extra=_SENT) + IN_DOMAIN
+ORACLE["stream_rejected"] = with_ctes(["raw_transactions", "stg_transactions"], f"""
+, feed AS (SELECT {_n()} AS n, * FROM raw_transactions WHERE {_n()} % 499 <> 0),
+kind AS (SELECT CASE WHEN n % 3 = 0 THEN 'wrong_header' WHEN n % 7 IN (1, 2) THEN 'wrong_width' END AS reason FROM feed)
+SELECT reason, count(*) AS row_count FROM kind WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'logged', count(*) FROM (SELECT {_n()} AS n FROM stg_transactions)
+WHERE n % 499 <> 0 AND n % 3 <> 0 AND n % 7 NOT IN (1, 2)""")
+_RENAMED = """renamed AS (SELECT * REPLACE (CASE WHEN target_id = (
+    SELECT 'TGT-' || max(TRY_CAST(regexp_extract(target_id, '([0-9]+)$', 1) AS BIGINT)) FROM stg_transactions)
+  THEN 'Renamed' ELSE target_name END AS target_name) FROM dim_target), """
+_AFTER = f"SELECT *, coalesce(bool_or(target_name = 'Renamed') OVER (PARTITION BY deal_year), false) AS replaced FROM (" + \
+    fact_sql(targets="renamed", extra=_RENAMED) + IN_DOMAIN + ")"
+ORACLE["incremental_refresh_years"] = f"""
+SELECT * REPLACE (CASE WHEN replaced THEN DATE '2025-01-02' ELSE DATE '2025-01-01' END AS data_date) FROM ({_AFTER})"""
+_CHANGED_INPUTS = {
+    "FROM dim_acquirer)": f"FROM (SELECT * REPLACE (CASE WHEN {_n('acquirer_id')} % 5 = 0 THEN acquirer_name || ' Holdings' "
+                          "ELSE acquirer_name END AS acquirer_name) FROM dim_acquirer))",
+    "FROM stg_sector_multiples)": "FROM stg_sector_multiples WHERE fiscal_year <> 1995)",
+    "FROM stg_acquirer_financials)": "FROM (SELECT * REPLACE (CASE WHEN fiscal_year = 1997 THEN 1.5 ELSE revenue_mm END "
+                                     "AS revenue_mm) FROM stg_acquirer_financials))"}
+
+
+def _replaced_all(sql: str, changes: dict[str, str]) -> str:
+    for old, new in changes.items():
+        assert old in sql, old
+        sql = sql.replace(old, new)
+    return sql
+
+
+ORACLE["incremental_refresh_inputs"] = _replaced_all(FACT_SQL, _CHANGED_INPUTS)
 ORACLE["partition_replace"] = FACT_SQL + (
-    "WHERE deal_year NOT IN (1996, 1997, 1999)\n"
-    "   OR (deal_year IN (1996, 1999) AND outcome ILIKE 'Closed%')\n")
+    "  AND (deal_year NOT IN (1996, 1997, 1999)\n"
+    "   OR (deal_year IN (1996, 1999) AND outcome ILIKE 'Closed%'))\n")
 # Deals of 1995 are gone; those whose key ends in 3 or 7 have left the domain or have no year.
 ORACLE["incremental_refresh_fact"] = FACT_SQL + (
-    f"WHERE deal_year <> 1995 AND coalesce({_KEYNUM.format(c='transaction_id')} % 10, 0) NOT IN (3, 7)\n")
+    f"  AND deal_year <> 1995 AND coalesce({_KEYNUM.format(c='transaction_id')} % 10, 0) NOT IN (3, 7)\n")
 
 
 def _scanned(raw: str) -> str:
@@ -657,10 +705,10 @@ def _project(sql: str, cols: str) -> str:
 
 
 ORACLE.update({
-    "join_left_single": _project(FACT_SQL, "transaction_id, target_id, target_name, target_sector"),
-    "join_left_composite": _project(FACT_SQL, "transaction_id, target_sector, deal_year, deal_quarter, "
+    "join_left_single": _project(JOINED_SQL, "transaction_id, target_id, target_name, target_sector"),
+    "join_left_composite": _project(JOINED_SQL, "transaction_id, target_sector, deal_year, deal_quarter, "
                                               "sector_median_ev_ebitda, sector_median_ev_revenue"),
-    "join_left_expr_key": _project(FACT_SQL, "transaction_id, acquirer_id, announce_date, "
+    "join_left_expr_key": _project(JOINED_SQL, "transaction_id, acquirer_id, announce_date, "
                                              "acquirer_fiscal_revenue_mm, acquirer_net_debt_mm"),
     "join_inner": with_ctes(["stg_transactions", "dim_target"], """
 SELECT t.transaction_id, t.target_id, tg.sector
@@ -686,8 +734,8 @@ GROUP BY transaction_id HAVING count(*) > 1"""),
     "win_deltas": _project(SEQUENCE_SQL, "target_id, deal_sequence_number, days_since_prior_announce, "
                                          "deal_size_mm_delta_vs_prior, ev_ebitda_multiple_delta_vs_prior, "
                                          "same_acquirer_as_prior"),
-    "deal_size_tier": _project(FACT_SQL, "transaction_id, deal_size_mm, deal_size_tier"),
-    "pct_vs_benchmark": _project(FACT_SQL, "transaction_id, ev_ebitda_pct_vs_sector_median, "
+    "deal_size_tier": _project(JOINED_SQL, "transaction_id, deal_size_mm, deal_size_tier"),
+    "pct_vs_benchmark": _project(JOINED_SQL, "transaction_id, ev_ebitda_pct_vs_sector_median, "
                                            "ev_revenue_pct_vs_sector_median"),
     "row_content_hash": with_ctes(["stg_acquirers", "stg_targets"], """
 SELECT acquirer_id AS entity_id, row_content_hash FROM stg_acquirers

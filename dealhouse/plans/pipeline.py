@@ -7,14 +7,16 @@ recomputes from the last written table, never from the sources.
 * ``refresh_core``: staging (+ quarantine), SCD1 dimensions, the acquirer
   rollup (SCD1 too), the sector report and the target timeline.
 * ``refresh_fact``: the year-partitioned fact; one job for the requested years,
-  or for the whole year domain (dynamic partition overwrite). A requested year
-  without rows is cleared; over the whole domain, so is any other partition.
+  or for the whole year domain, put in place at once. A requested year without rows
+  is cleared; over the whole domain, so is any other partition.
+* ``refresh_affected``: only the years that changed inputs reach.
 * ``refresh``: both, returning row counts observed during the writes.
 """
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,29 +24,68 @@ from pyspark.sql import types as T
 
 from dealhouse.operators import staging as stg
 from dealhouse.operators.merge import ensure_columns, scd1_merge
-from dealhouse.plans import marts
+from dealhouse.plans import changelog, marts
+from dealhouse.plans.delta import changed_keys, changed_values
+from dealhouse.plans.marts import YEAR_DOMAIN
 from dealhouse.plans.warehouse import Warehouse
 
 ENTITIES = list(stg.STAGERS)
-# Stream landing in the staging layer: a folder per micro-batch, and their compacted table.
-STREAM_TABLE, STREAM_BASE = "transactions_stream", "transactions_stream_base"
+# Staged deals lie in folders by year; those outside the fact's domain share one.
+YEAR_FOLDER, NO_YEAR = "year_folder", 0
 
 
 def land_raw(wh: Warehouse, sources: Mapping[str, DataFrame]) -> dict[str, int]:
     return {f"raw.{n}": wh.write("raw", n, df) for n, df in sources.items()}
 
 
+def _by_year(deals: DataFrame) -> DataFrame:
+    inside = F.col("deal_year").between(YEAR_DOMAIN.start, YEAR_DOMAIN.stop - 1)
+    return deals.withColumn(YEAR_FOLDER, F.when(inside, F.col("deal_year")).otherwise(F.lit(NO_YEAR))).hint(
+        "rebalance", F.col(YEAR_FOLDER))
+
+
 def refresh_staging(wh: Warehouse, names: Sequence[str] = ENTITIES) -> dict[str, int]:
+    """Staging tables of ``names``; deals landed now are later writes than what the stream sent before."""
     out = {}
     for n in names:
         raw = wh.read("raw", n)
-        out[f"staging.{n}"] = wh.write("staging", n, stg.STAGERS[n](raw))
         if n == "transactions":
+            staged = stg.STAGERS[n](raw)
+            before = changelog.last_batch(wh)
+            out["staging.transactions"] = wh.write("staging", n, _by_year(staged), partition_by=[YEAR_FOLDER])
+            changelog.settle(wh, batch_deals(wh), before)
             out["staging.transactions_quarantine"] = wh.write(
                 "staging", "transactions_quarantine", stg.transactions_quarantine(raw))
+        else:
+            out[f"staging.{n}"] = wh.write("staging", n, stg.STAGERS[n](raw))
     return out
 
 
+def batch_deals(wh: Warehouse, years: Sequence[int] | None = None, version: int | None = None) -> DataFrame:
+    """Clean deals landed by batch; with ``years``, only their folders are read."""
+    deals = wh.read("staging", "transactions", version)
+    if years is not None:
+        deals = deals.filter(F.col(YEAR_FOLDER).isin(list(years)))
+    return deals.drop(YEAR_FOLDER)
+
+
+def staged_transactions(wh: Warehouse, years: Sequence[int] | None = None,
+                        before_batch: int | None = None) -> DataFrame:
+    """Every clean deal, landed by batch or by stream, in its latest version: the one source of fact and marts.
+
+    ``before_batch``: as it was before that batch of the stream."""
+    deals = batch_deals(wh, years)
+    changes = changelog.latest(wh, deals.schema, before_batch)
+    if changes is None:
+        return deals
+    newer = changes.filter("NOT deleted").drop("deleted")
+    if years is not None:
+        newer = newer.filter(F.col("deal_year").isin(list(years)))
+    replaced = changes.select(F.col("transaction_id").alias("_replaced"))
+    return deals.join(replaced, F.col("transaction_id") == F.col("_replaced"), "left_anti").unionByName(
+        newer.select(*deals.columns))
+
+
 def _merge_table(wh: Warehouse, name: str, source: DataFrame, keys: list[str], columns: list[str]) -> int:
     current = wh.read("analytics", name) if wh.exists("analytics", name) else None
     if current is not None:
@@ -56,51 +97,18 @@ def _merge_table(wh: Warehouse, name: str, source: DataFrame, keys: list[str], c
     return wh.write("analytics", name, scd1_merge(current, source, keys, columns))
 
 
-def refresh_dimensions(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
-    acq = marts.dimension_rows(wh.read("staging", "acquirers"), marts.DIM_ACQUIRER_COLUMNS, run_ts)
-    tgt = marts.dimension_rows(wh.read("staging", "targets"), marts.DIM_TARGET_COLUMNS, run_ts)
-    return {
-        "analytics.dim_acquirer": _merge_table(wh, "dim_acquirer", acq, ["acquirer_id"],
-                                               marts.DIM_ACQUIRER_COLUMNS),
-        "analytics.dim_target": _merge_table(wh, "dim_target", tgt, ["target_id"], marts.DIM_TARGET_COLUMNS),
-    }
-
-
-def staged_transactions(wh: Warehouse) -> DataFrame:
-    """Every clean transaction, landed by batch or by stream: the one source of fact and marts."""
-    batch = wh.read("staging", "transactions")
-    return batch.unionByName(staged_stream(wh, batch.schema))
-
-
-def _stream_batches(wh: Warehouse) -> list[int]:
-    folders = wh.list_dir(wh.table_path("staging", STREAM_TABLE))
-    return sorted(int(f.removeprefix("batch=")) for f in folders if f.startswith("batch="))
+DIMENSIONS = {"acquirers": ("dim_acquirer", "acquirer_id", marts.DIM_ACQUIRER_COLUMNS),
+              "targets": ("dim_target", "target_id", marts.DIM_TARGET_COLUMNS)}
 
 
-def staged_stream(wh: Warehouse, schema: T.StructType) -> DataFrame:
-    """Clean transactions landed by the stream: the compacted table and the batches after it."""
-    through, base = -1, wh.spark.createDataFrame([], schema)
-    if wh.exists("staging", STREAM_BASE):
-        compacted = wh.read("staging", STREAM_BASE)
-        through = compacted.agg(F.max("through_batch")).first()[0]
-        through, base = -1 if through is None else through, compacted.select(*schema.names)
-    root = wh.table_path("staging", STREAM_TABLE)
-    paths = [f"{root}/batch={b:09d}" for b in _stream_batches(wh) if b > through]
-    return base.unionByName(wh.spark.read.schema(schema).parquet(*paths)) if paths else base
-
-
-def compact_stream(wh: Warehouse, max_batches: int = 32) -> None:
-    """Merge the stream's batch folders into one table once there are more than ``max_batches``.
-
-    The table names the last batch it holds, so a crash before the folders are deleted
-    counts no row twice."""
-    batches = _stream_batches(wh)
-    if len(batches) <= max_batches:
-        return
-    schema = wh.read("staging", "transactions").schema
-    wh.write("staging", STREAM_BASE, staged_stream(wh, schema).withColumn("through_batch", F.lit(batches[-1])))
-    for b in batches:
-        wh.delete_path(f"{wh.table_path('staging', STREAM_TABLE)}/batch={b:09d}")
+def refresh_dimensions(wh: Warehouse, run_ts: dt.datetime, names: Sequence[str] = tuple(DIMENSIONS)) -> dict[str, int]:
+    out = {}
+    for n in names:
+        if n in DIMENSIONS:
+            dim, key, columns = DIMENSIONS[n]
+            rows = marts.dimension_rows(wh.read("staging", n), columns, run_ts)
+            out[f"analytics.{dim}"] = _merge_table(wh, dim, rows, [key], columns)
+    return out
 
 
 def refresh_marts(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
@@ -122,25 +130,30 @@ def refresh_marts(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
 
 def refresh_core(wh: Warehouse, run_ts: dt.datetime, names: Sequence[str] = ENTITIES) -> dict[str, int]:
     out = refresh_staging(wh, names)
-    out.update(refresh_dimensions(wh, run_ts))
+    out.update(refresh_dimensions(wh, run_ts, names))
     out.update(refresh_marts(wh, run_ts))
     return out
 
 
 FACT_TABLE = "fct_transactions"
-# Years that the fact may hold; others, and deals without a year, stay in staging.
-YEAR_DOMAIN = range(1990, 2036)
+# What the fact is made of: versions of these tables, and the stream's change log.
+FACT_INPUTS = (("staging", "transactions"), ("analytics", "dim_target"), ("analytics", "dim_acquirer"),
+               ("staging", "sector_multiples"), ("staging", "acquirer_financials"))
 
 
 def fact_source(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,
                 transactions: DataFrame | None = None) -> DataFrame:
-    tx = transactions if transactions is not None else staged_transactions(wh)
+    tx = transactions if transactions is not None else staged_transactions(wh, years)
     return marts.fct_transactions(
         tx, wh.read("analytics", "dim_target"), wh.read("analytics", "dim_acquirer"),
         wh.read("staging", "sector_multiples"), wh.read("staging", "acquirer_financials"),
         run_ts.date(), list(years) if years else None)
 
 
+def input_versions(wh: Warehouse) -> dict[str, int]:
+    return {f"{layer}.{name}": wh.current_version(layer, name) for layer, name in FACT_INPUTS}
+
+
 def refresh_fact(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None = None,
                  transactions: DataFrame | None = None, domain: Sequence[int] = YEAR_DOMAIN) -> dict[str, int]:
     """Replace the fact's ``years``, or, without any, all of ``domain`` and nothing beside it.
@@ -149,13 +162,80 @@ def refresh_fact(wh: Warehouse, run_ts: dt.datetime, years: Sequence[int] | None
     if outside := sorted(set(years or ()) - set(domain)):
         raise ValueError(f"years outside the fact's domain: {outside}")
     wanted = list(years) if years else list(domain)
+    built_from = input_versions(wh)
     src = fact_source(wh, run_ts, wanted, transactions)
     counts = wh.replace_partitions("analytics", FACT_TABLE, src, "deal_year", wanted, only=not years)
+    if not years and transactions is None:
+        wh.pin(FACT_TABLE, built_from)
+        changelog.clear_pending(wh)
     out = {f"analytics.{FACT_TABLE}[{y}]": n for y, n in counts.items() if n or years}
     out[f"analytics.{FACT_TABLE}"] = wh.last_written_rows
     return out
 
 
+# The columns of each side that the fact shows.
+SHOWN_OF_TARGET = ("target_name", "sector", "sub_sector", "geography", "ownership_type", "ltm_revenue_mm",
+                   "ebitda_margin_pct")
+SHOWN_OF_ACQUIRER = ("acquirer_name", "acquirer_type", "primary_sector_focus", "geographic_reach")
+SHOWN_OF_BENCHMARK = ("median_ev_ebitda", "median_ev_revenue")
+SHOWN_OF_YEAR = ("revenue_mm", "ebitda_mm", "net_debt_mm", "cash_on_hand_mm", "total_assets_mm")
+
+
+def affected_years(wh: Warehouse) -> list[int] | None:
+    """Years of the fact that differ from what its inputs now say; None: all, its last inputs are not known.
+
+    Each input that has a newer version is compared with the one that the fact was built from:
+    deals by year, as an order-free sum of row hashes; targets, buyers, benchmarks and financials
+    by key, of the columns that the fact shows. Changed keys lead to years by semi joins with the
+    deals. What reaches the driver is a list of years."""
+    pinned, current = wh.pins(FACT_TABLE), input_versions(wh)
+    changed = [t for t, v in current.items() if pinned.get(t) != v]
+    if any(pinned.get(t) not in wh.versions(*t.split(".")) for t in current):
+        return None
+
+    def old_new(table: str) -> tuple[DataFrame, DataFrame]:
+        layer, name = table.split(".")
+        return wh.read(layer, name, pinned[table]), wh.read(layer, name)
+
+    deals = staged_transactions(wh).select("target_id", "acquirer_id", "deal_year",
+                                           F.year("announce_date").alias("filing_year"))
+    parts = []
+    if "staging.transactions" in changed:
+        old, new = old_new("staging.transactions")
+        parts.append(changed_values(old, new, YEAR_FOLDER).select(F.col(YEAR_FOLDER).alias("deal_year")))
+    for table, keys, shown, on in (
+            ("analytics.dim_target", ["target_id"], SHOWN_OF_TARGET, ["target_id"]),
+            ("analytics.dim_acquirer", ["acquirer_id"], SHOWN_OF_ACQUIRER, ["acquirer_id"]),
+            ("staging.acquirer_financials", ["acquirer_id", "fiscal_year"], SHOWN_OF_YEAR, ["acquirer_id", "filing_year"])):
+        if table in changed:
+            keys_changed = changed_keys(*old_new(table), keys, shown).toDF(*on)
+            parts.append(deals.join(keys_changed, on, "left_semi").select("deal_year"))
+    if "staging.sector_multiples" in changed:
+        keys = ["sector", "fiscal_year", "fiscal_quarter"]
+        moved = changed_keys(*old_new("staging.sector_multiples"), keys, SHOWN_OF_BENCHMARK).select(
+            "sector", F.col("fiscal_year").alias("deal_year")).distinct()
+        sectors = wh.read("analytics", "dim_target").select("target_id", "sector")
+        parts.append(deals.select("target_id", "deal_year").distinct().join(sectors, "target_id")
+                     .join(moved, ["sector", "deal_year"], "left_semi").select("deal_year"))
+    years = set(changelog.pending_years(wh))
+    if parts:
+        found = reduce(DataFrame.unionByName, parts).distinct()
+        years |= {r[0] for r in found.filter(F.col("deal_year").isin(list(YEAR_DOMAIN))).collect()}
+    return sorted(y for y in years if y in YEAR_DOMAIN)
+
+
+def refresh_affected(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
+    """Bring the fact up to its inputs by replacing only the years that they touch."""
+    built_from = input_versions(wh)
+    years = affected_years(wh)
+    if years is None:
+        return refresh_fact(wh, run_ts)
+    out = refresh_fact(wh, run_ts, years) if years else {}
+    wh.pin(FACT_TABLE, built_from)
+    changelog.clear_pending(wh)
+    return out
+
+
 def read_fact(wh: Warehouse) -> DataFrame:
     schema = T.StructType([
         T.StructField(f.name, f.dataType, True) for f in _FACT_TYPES])
@@ -211,13 +291,16 @@ def land_csv_sources(wh: Warehouse, source_dir: str, names: Sequence[str]) -> di
 
 def incremental_refresh(wh: Warehouse, source_dir: str, run_ts: dt.datetime,
                         years: Sequence[int] | None = None) -> dict[str, int]:
-    """Refresh only when source files changed since the last successful run.
+    """Refresh only what the source files that changed since the last successful run touch.
 
-    Changed sources are re-landed and re-staged; dimensions, rollups and the fact are
-    rebuilt from staging. The file snapshot is written when the change is detected, before
-    any source is read, and takes effect only after the whole refresh succeeded: a failed
-    run is retried, and a file rewritten during a run is picked up by the next one. Files
-    that belong to no source (such as a stream's landing folder) are no change.
+    Changed sources are re-landed and re-staged, their dimensions merged, the rollups rebuilt
+    if deals, targets or buyers changed, and of the fact the years that the changed rows reach
+    (``affected_years``) are replaced. Rows that nothing touches keep their stamps. The file
+    snapshot is written when the change is detected, before any source is read, and takes effect
+    only after the whole refresh succeeded: a failed run is retried, and a file rewritten during
+    a run is picked up by the next one. Years still to be replaced after a failure follow from the
+    versions that the fact was last built from. Files that belong to no source (such as a stream's
+    landing folder) are no change. With ``years``, those are replaced instead.
 
     A source whose files are gone raises ``MissingSourceError`` on this and every later run
     until it is back; a file with the header alone empties it on purpose."""
@@ -232,7 +315,10 @@ def incremental_refresh(wh: Warehouse, source_dir: str, run_ts: dt.datetime,
     if not names:
         return {}
     out = land_csv_sources(wh, source_dir, names)
-    out.update(refresh_core(wh, run_ts, names=names))
-    out.update(refresh_fact(wh, run_ts, years))
+    out.update(refresh_staging(wh, names))
+    out.update(refresh_dimensions(wh, run_ts, names))
+    if {"transactions", "targets", "acquirers"} & set(names):
+        out.update(refresh_marts(wh, run_ts))
+    out.update(refresh_fact(wh, run_ts, years) if years else refresh_affected(wh, run_ts))
     wh.write("_meta", "file_snapshot", snap)
     return out

@@ -1,20 +1,24 @@
 """Path-based warehouse layout on a shared file system.
 
-``<root>/<layer>/<table>/v=<n>/`` holds full versions of replace-style and
-merged tables; a version counts once Spark's job commit has written its
-``_SUCCESS`` marker, so a crashed write is never read. Readers take the
-newest complete version; older ones are kept for rollback (``keep``), and no
-version goes before it is ``retain_s`` seconds old, so that readers which
-resolved an older one can finish.
-``<root>/analytics/fct_transactions/deal_year=<y>/`` holds the partitioned
-fact, replaced per year through Spark's dynamic partition overwrite.
-
-File-system calls go through Hadoop's ``FileSystem`` so the same code works on
-HDFS, object stores and local disk.
+``<root>/<layer>/<table>/v=<n>/`` holds full versions of replace-style and merged tables; a
+version counts once what is known of it (rows, schema) is written beside its files, after
+Spark's job commit, so a crashed write is never read. Readers take the newest complete version; older ones are kept for
+rollback (``keep``), no version goes before it is ``retain_s`` seconds old, so that readers
+which resolved an older one can finish, and none that a consumer has pinned.
+
+A partitioned table, such as the fact, keeps ``<table>/data/_data_version=<n>/<column>=<value>/`` and names
+in a manifest the version that each partition value is read from. A replace writes new
+partitions beside the old ones and then puts the next manifest in place by one rename:
+replaced, cleared and untouched partitions change at once, and a reader sees one manifest.
+
+File-system calls go through Hadoop's ``FileSystem`` so the same code works on HDFS, object
+stores and local disk.
 """
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,7 +27,13 @@ from pyspark.sql import types as T
 
 LAYERS = ("raw", "staging", "analytics")
 # Written into each version folder; names starting with '_' are skipped by readers.
-ROWS_FILE = "_ROWS"
+META_FILE = "_META"
+# The folder of a partitioned table's data version; Spark reads it as a column, so no data column has this name.
+VERSION = "_data_version"
+
+
+class ConcurrentReplace(RuntimeError):
+    """Another writer put its manifest in place first; nothing of this replace is visible."""
 
 
 class ReadOnlyWarehouse(PermissionError):
@@ -73,6 +83,36 @@ class Warehouse:
         finally:
             stream.close()
 
+    def _put_next(self, folder: str, text: str, after: int | None = None) -> int:
+        """Write ``text`` as the next numbered file of ``folder``, whole or not at all.
+
+        With ``after``, only if that is still the newest number."""
+        self._guard()
+        newest = self._newest(folder)
+        if after is not None and newest != after:
+            raise ConcurrentReplace(f"{folder} went from {after} to {newest} meanwhile")
+        fs, tmp = self._path(f"{folder}/_tmp-{uuid.uuid4().hex}")
+        self._write_text(tmp.toString(), text)
+        _, final = self._path(f"{folder}/n={newest + 1:09d}")
+        if not fs.rename(tmp, final):
+            fs.delete(tmp, False)
+            raise ConcurrentReplace(f"{final.toString()} exists already")
+        return newest + 1
+
+    def _newest(self, folder: str) -> int:
+        return max((int(f[2:]) for f in self.list_dir(folder) if f.startswith("n=")), default=0)
+
+    def _get_newest(self, folder: str) -> tuple[int, dict]:
+        n = self._newest(folder)
+        return n, json.loads(self._read_text(f"{folder}/n={n:09d}")) if n else {}
+
+    def note(self, name: str, value: dict) -> None:
+        """Keep a small JSON value under ``name``; the newest one counts."""
+        self._put_next(f"{self.root}/_notes/{name}", json.dumps(value))
+
+    def noted(self, name: str) -> dict:
+        return self._get_newest(f"{self.root}/_notes/{name}")[1]
+
     def age_s(self, p: str) -> float:
         fs, jp = self._path(p)
         return time.time() - fs.getFileStatus(jp).getModificationTime() / 1000
@@ -83,6 +123,13 @@ class Warehouse:
         if fs.exists(jp):
             fs.delete(jp, True)
 
+    def move_path(self, source: str, target: str) -> None:
+        self._guard()
+        fs, a = self._path(source)
+        _, b = self._path(target)
+        if not fs.rename(a, b):
+            raise OSError(f"cannot move {source} to {target}")
+
     def _guard(self) -> None:
         if self.read_only:
             raise ReadOnlyWarehouse(f"warehouse {self.root} is read-only")
@@ -95,28 +142,38 @@ class Warehouse:
         base = self.table_path(layer, name)
         out = []
         for d in self.list_dir(base):
-            if d.startswith("v=") and self.exists_path(f"{base}/{d}/_SUCCESS"):
+            if d.startswith("v=") and self.exists_path(f"{base}/{d}/{META_FILE}"):
                 out.append(int(d[2:]))
         return sorted(out)
 
     def exists(self, layer: str, name: str) -> bool:
         return bool(self.versions(layer, name))
 
+    def current_version(self, layer: str, name: str) -> int | None:
+        vs = self.versions(layer, name)
+        return vs[-1] if vs else None
+
+    def meta(self, layer: str, name: str, version: int | None = None) -> dict:
+        """What was written down beside a version: its rows and what the writer added."""
+        v = version or self.current_version(layer, name)
+        text = self._read_text(f"{self.table_path(layer, name)}/v={v:06d}/{META_FILE}") if v else None
+        return json.loads(text) if text else {}
+
     def row_count(self, layer: str, name: str) -> int | None:
         """Rows of the current version, as observed when it was written (no job)."""
-        vs = self.versions(layer, name)
-        if not vs:
-            return None
-        text = self._read_text(f"{self.table_path(layer, name)}/v={vs[-1]:06d}/{ROWS_FILE}")
-        return int(text) if text else None
+        return self.meta(layer, name).get("rows")
 
-    def read(self, layer: str, name: str) -> DataFrame:
+    def read(self, layer: str, name: str, version: int | None = None) -> DataFrame:
         vs = self.versions(layer, name)
-        if not vs:
-            raise FileNotFoundError(f"{layer}.{name} has no complete version under {self.root}")
-        return self.spark.read.parquet(f"{self.table_path(layer, name)}/v={vs[-1]:06d}")
+        if not vs or version is not None and version not in vs:
+            raise FileNotFoundError(f"{layer}.{name} has no complete version {version or ''} under {self.root}")
+        v = version or vs[-1]
+        # The schema as written: a partitioned table without rows has no file to tell it.
+        schema = T.StructType.fromJson(self.meta(layer, name, v)["schema"])
+        return self.spark.read.schema(schema).parquet(f"{self.table_path(layer, name)}/v={v:06d}")
 
-    def write(self, layer: str, name: str, df: DataFrame) -> int:
+    def write(self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = (),
+              meta: dict | None = None) -> int:
         """Write ``df`` as the next version; returns its row count (observed
         during the write, no second pass)."""
         self._guard()
@@ -124,61 +181,95 @@ class Warehouse:
         existing = [int(d[2:]) for d in self.list_dir(base) if d.startswith("v=")]
         nxt = (max(existing) + 1) if existing else 1
         obs = Observation(f"{layer}.{name}.v{nxt}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
-            f"{base}/v={nxt:06d}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").partitionBy(
+            *partition_by).parquet(f"{base}/v={nxt:06d}")
         rows = int(obs.get["rows"])
-        self._write_text(f"{base}/v={nxt:06d}/{ROWS_FILE}", str(rows))
+        self._write_text(f"{base}/v={nxt:06d}/{META_FILE}", json.dumps(
+            {**(meta or {}), "rows": rows, "schema": df.schema.jsonValue()}))
+        pinned = self._pinned(f"{layer}.{name}")
         for old in self.versions(layer, name)[:-self.keep]:
-            if self.age_s(f"{base}/v={old:06d}") >= self.retain_s:
+            if old not in pinned and self.age_s(f"{base}/v={old:06d}") >= self.retain_s:
                 self.delete_path(f"{base}/v={old:06d}")
         return rows
 
+    def pin(self, consumer: str, versions: dict[str, int]) -> None:
+        """Hold the versions, by ``layer.table``, that ``consumer`` was last built from."""
+        self.note(f"pins/{consumer}", versions)
+
+    def pins(self, consumer: str) -> dict[str, int]:
+        return self.noted(f"pins/{consumer}")
+
+    def _pinned(self, table: str) -> set[int]:
+        return {self.pins(c).get(table) for c in self.list_dir(f"{self.root}/_notes/pins")}
+
     # -- partitioned table ---------------------------------------------------
-    def read_partitioned(self, layer: str, name: str, schema: T.StructType,
-                         columns: Sequence[str]) -> DataFrame:
+    def _manifest(self, layer: str, name: str) -> tuple[int, dict]:
+        return self._get_newest(f"{self.table_path(layer, name)}/_manifests")
+
+    def partition_versions(self, layer: str, name: str) -> dict[int, int]:
+        """The data version that each partition value is read from."""
+        return {int(value): v for value, v in self._manifest(layer, name)[1].get("partitions", {}).items()}
+
+    def partition_rows(self, layer: str, name: str) -> dict[int, int]:
+        """Rows per partition value, as observed when it was written (no job)."""
+        return {int(value): n for value, n in self._manifest(layer, name)[1].get("rows", {}).items()}
+
+    def read_partitioned(self, layer: str, name: str, schema: T.StructType, columns: Sequence[str],
+                         part_col: str = "deal_year") -> DataFrame:
         """Read with a declared schema: columns absent from older files come
         back NULL (additive evolution), partition values keep their type."""
-        path = self.table_path(layer, name)
-        if not self.exists_path(path):
+        data = f"{self.table_path(layer, name)}/data"
+        paths = [f"{data}/{VERSION}={v:06d}/{part_col}={value}" for value, v in self.partition_versions(layer, name).items()]
+        if not paths:
             return self.spark.createDataFrame([], schema).select(*columns)
-        return self.spark.read.schema(schema).parquet(path).select(*columns)
+        return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).select(*columns)
 
     def replace_partitions(self, layer: str, name: str, df: DataFrame, part_col: str,
                            values: Sequence[int] | None = None, only: bool = False) -> dict[int, int]:
-        """Replace whole partitions of ``part_col``.
+        """Replace whole partitions of ``part_col``, all at once.
 
-        With ``values``: rows outside them are ignored, and every listed value
-        ends up holding exactly the rows ``df`` has for it; a value with no
-        rows is cleared (static semantics). Without: every partition present
-        in ``df`` is replaced, others are untouched. With ``only``, partitions
-        that are not listed go. Returns rows per listed value."""
+        With ``values``: rows outside them are ignored, and every listed value ends up holding
+        exactly the rows ``df`` has for it; a value with no rows is cleared (static semantics).
+        Without: every partition present in ``df`` is replaced, others are untouched. With
+        ``only``, partitions that are not listed go. Returns rows per replaced value.
+
+        Rows are rebalanced by partition value before the write: a large value is split over
+        several tasks, small ones share one, so files are few at any number of tasks."""
         self._guard()
-        path = self.table_path(layer, name)
+        base = self.table_path(layer, name)
+        number, manifest = self._manifest(layer, name)
         src = df.filter(F.col(part_col).isNotNull())
-        vals = list(values or [])
-        if vals:
-            src = src.filter(F.col(part_col).isin(vals))
-        obs = Observation(f"{layer}.{name}.replace")
-        metrics = [F.count(F.lit(1)).alias("rows")] + [
-            F.count_if(F.col(part_col) == F.lit(v)).alias(f"p_{v}") for v in vals]
-        # No repartition by the partition column: a year holding a third of
-        # all rows would land in one task. Each task writes its own files per
-        # year (Spark sorts locally by the partition column before writing).
-        (src.observe(obs, *metrics)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(part_col).parquet(path))
-        got = obs.get
-        counts = {v: int(got[f"p_{v}"]) for v in vals}
-        for v, n in counts.items():
-            if n == 0:
-                self.delete_path(f"{path}/{part_col}={v}")
-        if only:
-            kept = {f"{part_col}={v}" for v in vals}
-            for folder in self.list_dir(path):
-                if folder.startswith(f"{part_col}=") and folder not in kept:
-                    self.delete_path(f"{path}/{folder}")
-        self.last_written_rows = int(got["rows"])
-        return counts
+        if values:
+            src = src.filter(F.col(part_col).isin(list(values)))
+        nxt = 1 + max((int(d.partition("=")[2]) for d in self.list_dir(f"{base}/data") if d.startswith(VERSION)), default=0)
+        target = f"{base}/data/{VERSION}={nxt:06d}"
+        src.hint("rebalance", F.col(part_col)).write.mode("errorifexists").partitionBy(part_col).parquet(target)
+        # Counts come from the files' footers: only the partition column is read.
+        written = {} if not any(d.startswith(f"{part_col}=") for d in self.list_dir(target)) else {
+            int(r[0]): int(r[1]) for r in self.spark.read.option("basePath", target).parquet(target)
+            .groupBy(part_col).agg(F.count(F.lit(1))).collect()}
+        replaced = set(values or written)
+        kept = {} if only else {k: v for k, v in manifest.get("partitions", {}).items() if int(k) not in replaced}
+        rows = {k: n for k, n in manifest.get("rows", {}).items() if k in kept}
+        self._put_next(f"{base}/_manifests", json.dumps({
+            "partitions": {**kept, **{str(y): nxt for y in written}},
+            "rows": {**rows, **{str(y): n for y, n in written.items()}}}), after=number)
+        self.last_written_rows = sum(written.values())
+        self._drop_unread(base)
+        return {y: written.get(y, 0) for y in sorted(replaced)}
+
+    def _drop_unread(self, base: str) -> None:
+        """Delete manifests beyond ``keep`` and data versions that none names, once they are old enough."""
+        numbers = sorted(int(f[2:]) for f in self.list_dir(f"{base}/_manifests") if f.startswith("n="))
+        for n in numbers[:-self.keep]:
+            if self.age_s(f"{base}/_manifests/n={n:09d}") >= self.retain_s:
+                self.delete_path(f"{base}/_manifests/n={n:09d}")
+                numbers.remove(n)
+        named = {v for n in numbers
+                 for v in json.loads(self._read_text(f"{base}/_manifests/n={n:09d}")).get("partitions", {}).values()}
+        for d in self.list_dir(f"{base}/data"):
+            if d.startswith(VERSION) and int(d.partition("=")[2]) not in named and self.age_s(f"{base}/data/{d}") >= self.retain_s:
+                self.delete_path(f"{base}/data/{d}")
 
     # -- maintenance -----------------------------------------------------------
     def reset_layers(self, layers: Sequence[str] = ("analytics", "staging", "raw")) -> list[str]:

@@ -95,7 +95,8 @@ from dealhouse.plans.warehouse import Warehouse  # noqa: E402
 from dealhouse.session import scratch_dir  # noqa: E402
 from dealhouse.sources import csv as _csv  # noqa: E402
 from dealhouse.sources.files import changed_files, file_snapshot  # noqa: E402
-from dealhouse.streaming.ingest import stream_ingest  # noqa: E402
+from dealhouse.plans import changelog as _changelog  # noqa: E402
+from dealhouse.streaming.ingest import rejected, stream_ingest, withdraw_deals  # noqa: E402
 
 DAY2_TS = RUN_TS + _dt.timedelta(days=1)
 
@@ -199,22 +200,104 @@ def _incremental_fact(m: Model) -> DataFrame:
     return _pl.read_fact(wh)
 
 
+@register("incremental_refresh_years", pure=False)
+def _incremental_years(m: Model) -> DataFrame:
+    """Refresh; one target is renamed -> the next refresh replaces the years of its deals alone;
+    returns the fact, with the run that made each row and whether its year's files changed."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    src = scratch_dir(m.spark, "src")
+    _land_csv_sources(m, src)
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    before = wh.partition_versions("analytics", _pl.FACT_TABLE)
+    last = wh.read("staging", "transactions").agg(F.max(_key_number("target_id"))).first()[0]
+    renamed = m.raw("targets").withColumn("target_name", F.when(
+        _key_number("target_id") == last, F.lit("Renamed")).otherwise(F.col("target_name")))
+    _csv.write_csv(renamed, f"{src}/targets")
+    _pl.incremental_refresh(wh, src, DAY2_TS)
+    replaced = [y for y, v in wh.partition_versions("analytics", _pl.FACT_TABLE).items() if before.get(y) != v]
+    return _pl.read_fact(wh).withColumn("replaced", F.col("deal_year").isin(replaced))
+
+
+@register("incremental_refresh_inputs", pure=False)
+def _incremental_inputs(m: Model) -> DataFrame:
+    """Refresh; then buyers, benchmarks and financials each change in some rows -> the fact again."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    src = scratch_dir(m.spark, "src")
+    _land_csv_sources(m, src)
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    _csv.write_csv(_renamed(m.raw("acquirers"), "acquirer_id", "acquirer_name"), f"{src}/acquirers")
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    _csv.write_csv(m.raw("sector_multiples").filter("fiscal_year <> '1995'"), f"{src}/sector_multiples")
+    _csv.write_csv(m.raw("acquirer_financials").withColumn("revenue_mm", F.when(
+        F.col("fiscal_year") == "1997", F.lit("1.5")).otherwise(F.col("revenue_mm"))), f"{src}/acquirer_financials")
+    _pl.incremental_refresh(wh, src, RUN_TS)
+    return _pl.read_fact(wh)
+
+
+def _write_lines(lines, path: str) -> None:
+    """Lines as they are, below a header: what a CSV writer would not write."""
+    lines.coalesce(1).write.mode("append").option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+
+
+def _parts_of_stream(m: Model) -> dict[str, DataFrame]:
+    """Deals landed by batch, sent fresh by stream, corrected once, corrected again, and withdrawn."""
+    raw = m.raw("transactions")
+    n = F.coalesce(_key_number("transaction_id"), F.lit(1))
+    lone = n % 499 != 0  # ids that no second deal has
+    batch = raw.filter(~(lone & (n % 5 == 0)))
+    landed = raw.filter(lone & (n % 5 != 0))
+    corrected = landed.filter(n % 45 == 1).withColumns({
+        "outcome": F.lit("Corrected"), "deal_year": F.when(n % 2 == 0, F.lit("1994")).otherwise(F.col("deal_year"))})
+    return {"batch": batch, "fresh": raw.filter(lone & (n % 5 == 0)), "corrected": corrected,
+            "again": corrected.filter(n % 3 == 1).withColumn("outcome", F.lit("Final")),
+            "withdrawn": landed.filter(n % 90 == 2).select("transaction_id")}
+
+
 @register("stream_ingest", pure=False)
 def _stream(m: Model) -> DataFrame:
-    """Most deals arrive by batch, every fifth by stream in several micro-batches, one of them
-    with quarantined rows only; returns the fact that both maintained."""
-    raw = m.raw("transactions")
-    bad = F.coalesce(F.trim("transaction_id"), F.lit("")) == ""
-    streamed = F.coalesce(_key_number("transaction_id") % 5 == 0, F.lit(False))
-    wh = _landed_warehouse(m, raw.filter(~bad & ~streamed))
+    """Most deals arrive by batch, some by stream: fresh ones, every tenth a correction of a batch
+    deal, some corrected again, some withdrawn; files with their columns in another order, rows
+    with line ends in a field, and rows and files that are set apart. Returns the fact."""
+    parts = _parts_of_stream(m)
+    wh = _landed_warehouse(m, parts["batch"])
     _pl.refresh_fact(wh, RUN_TS)
-    src = scratch_dir(m.spark, "stream-src")
-    _csv.write_csv(raw.filter(bad).coalesce(1), f"{src}/bad")
-    _csv.write_csv(raw.filter(~bad & streamed).repartition(4), f"{src}/good")
-    stream_ingest(wh, f"{src}/*", scratch_dir(m.spark, "stream-ckpt"), RUN_TS, max_files_per_trigger=1)
+    src, ckpt = scratch_dir(m.spark, "stream-src"), scratch_dir(m.spark, "stream-ckpt")
+    n = _key_number("transaction_id")
+    fresh = parts["fresh"].withColumn("strategic_rationale_tags", F.when(
+        n % 15 == 0, F.lit("Scale\n\"Synergy\"")).otherwise(F.col("strategic_rationale_tags")))
+    _csv.write_csv(fresh.filter(n % 10 == 0).repartition(2), f"{src}/in-order")
+    _csv.write_csv(fresh.filter(n % 10 != 0).select(*reversed(fresh.columns)), f"{src}/other-order")
+    broken = parts["batch"].filter(_key_number("transaction_id") % 8 == 1)
+    _write_lines(broken.select(F.concat(F.to_csv(F.struct(*broken.columns)), F.lit(",more")).alias(
+        ",".join(_stg.TRANSACTION_COLUMNS))), f"{src}/over-wide")
+    _csv.write_csv(broken.withColumnRenamed("outcome", "result"), f"{src}/other-header")
+    _csv.write_csv(parts["corrected"].coalesce(1), f"{src}/corrected")
+    stream_ingest(wh, f"{src}/*", ckpt, RUN_TS, max_files_per_trigger=4)
+    _csv.write_csv(parts["again"].coalesce(1), f"{src}/again")
+    withdraw_deals(wh, parts["withdrawn"], f"{src}/gone")
+    stream_ingest(wh, f"{src}/*", ckpt, RUN_TS)
     return _pl.read_fact(wh)
 
 
+@register("stream_rejected", pure=False)
+def _stream_rejected(m: Model) -> DataFrame:
+    """Files with over-wide and short rows and one with another header: rows set apart, by reason, and
+    those that reached the change log."""
+    raw = m.raw("transactions").filter(F.coalesce(_key_number("transaction_id") % 499 != 0, F.lit(False)))
+    wh = _landed_warehouse(m, raw.limit(0))
+    src = scratch_dir(m.spark, "stream-src")
+    n, head = _key_number("transaction_id"), ",".join(_stg.TRANSACTION_COLUMNS)
+    line = F.to_csv(F.struct(*raw.columns))
+    shaped = (F.when(n % 7 == 1, F.concat(line, F.lit(",more"))).when(n % 7 == 2, F.substring_index(line, ",", 2))
+              .otherwise(line))
+    _write_lines(raw.filter(n % 3 != 0).select(shaped.alias(head)), f"{src}/rows")
+    _csv.write_csv(raw.filter(n % 3 == 0).withColumnRenamed("outcome", "result"), f"{src}/other-header")
+    stream_ingest(wh, f"{src}/*", scratch_dir(m.spark, "stream-ckpt"), RUN_TS)
+    logged = _changelog.latest(wh, _pl.batch_deals(wh).schema)
+    return rejected(wh).groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")).unionByName(
+        logged.agg(F.lit("logged").alias("reason"), F.count(F.lit(1)).alias("row_count")))
+
+
 def _odd_text(raw, name: str):
     """A raw source with quotes, commas and line ends in the second column of some rows."""
     key, text = raw.columns[0], raw.columns[1]

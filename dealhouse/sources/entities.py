@@ -58,7 +58,8 @@ def raw_transactions(t: DriverTables) -> DataFrame:
         .otherwise(_s(order_day))
         .alias("announce_date"),
         F.when(status == "F", _s(ship_day)).otherwise(F.lit("")).alias("close_date"),
-        _s(F.year("o_orderdate")).alias("deal_year"),
+        F.when(k % 223 == 5, F.lit("2525")).when(k % 227 == 5, F.lit("")).otherwise(_s(F.year("o_orderdate")))
+        .alias("deal_year"),
         F.concat(F.lit("Q"), _s(F.quarter("o_orderdate"))).alias("deal_quarter"),
         F.col("o_orderpriority").alias("deal_type"),
         F.when(F.col("rf_code").isNotNull(), F.chr(F.col("rf_code"))).alias("financing_type"),
