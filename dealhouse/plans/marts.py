@@ -151,16 +151,21 @@ def _joined(value: str, order: list[str]) -> F.Column:
 
 
 def activity_measures(tx: DataFrame, dim_target: DataFrame) -> DataFrame:
-    """Per-acquirer measures (no names, no stamps): by day first, then the days of an acquirer.
-
-    Lists are in the order of date, id, and the two listed values."""
-    enriched = tx.select(
+    """Per-acquirer measures (no names, no stamps) of deals, with the sectors of their targets."""
+    return activity_of(tx.select(
         "acquirer_id", "transaction_id", "deal_year", "deal_type", "deal_size_mm",
         "ev_ebitda_multiple", "ev_revenue_multiple", "announce_date", "target_id",
     ).join(
         dim_target.select(F.col("target_id").alias("_tg_id"), F.col("sector").alias("target_sector")),
         F.col("_tg_id") == F.col("target_id"), "left",
-    ).withColumn("sector_label", F.coalesce(F.col("target_sector"), F.lit(UNKNOWN_SECTOR)))
+    ))
+
+
+def activity_of(deals: DataFrame) -> DataFrame:
+    """Measures of deals that carry ``target_sector``: by day first, then the days of an acquirer.
+
+    Lists are in the order of date, id, and the two listed values."""
+    enriched = deals.withColumn("sector_label", F.coalesce(F.col("target_sector"), F.lit(UNKNOWN_SECTOR)))
     in_day = ["transaction_id", "deal_type", "sector_label"]
     days = enriched.groupBy("acquirer_id", "announce_date").agg(
         F.count(F.lit(1)).alias("n"),
@@ -216,7 +221,10 @@ def activity_measures(tx: DataFrame, dim_target: DataFrame) -> DataFrame:
 
 def dim_acquirer_activity(tx: DataFrame, dim_target: DataFrame, dim_acquirer: DataFrame,
                           run_ts: dt.datetime) -> DataFrame:
-    m = activity_measures(tx, dim_target)
+    return named_activity(activity_measures(tx, dim_target), dim_acquirer, run_ts)
+
+
+def named_activity(m: DataFrame, dim_acquirer: DataFrame, run_ts: dt.datetime) -> DataFrame:
     names = dim_acquirer.select(F.col("acquirer_id").alias("_aq_id"), "acquirer_name", "acquirer_type")
     j = m.join(names, F.col("_aq_id") == F.col("acquirer_id"), "left")
     return j.select(
@@ -226,12 +234,14 @@ def dim_acquirer_activity(tx: DataFrame, dim_target: DataFrame, dim_acquirer: Da
     )
 
 
-def rpt_sector_trend_summary(tx: DataFrame, dim_target: DataFrame, data_date: dt.date) -> DataFrame:
+def report_partials(tx: DataFrame) -> DataFrame:
+    """Partial sums and counts per target and year; they add up, and can be taken back."""
     closed = F.col("outcome").ilike("Closed%")
     pending = F.col("outcome").ilike("Pending%")
-    per_target = tx.filter(F.col("target_id").isNotNull()).groupBy("target_id", "deal_year").agg(
+    return tx.filter(F.col("target_id").isNotNull()).groupBy("target_id", "deal_year").agg(
         F.count(F.lit(1)).alias("n"),
         fixed_sum_exact("deal_size_mm").alias("s"),
+        F.count("deal_size_mm").alias("sn"),
         fixed_sum_exact("ev_ebitda_multiple").alias("es"),
         F.count("ev_ebitda_multiple").alias("en"),
         fixed_sum_exact("ev_revenue_multiple").alias("rs"),
@@ -239,13 +249,16 @@ def rpt_sector_trend_summary(tx: DataFrame, dim_target: DataFrame, data_date: dt
         F.count_if(closed).alias("c"),
         F.count_if(pending).alias("p"),
     )
-    j = per_target.join(
+
+
+def report_of(partials: DataFrame, dim_target: DataFrame, data_date: dt.date) -> DataFrame:
+    j = partials.join(
         dim_target.select(F.col("target_id").alias("_tg_id"), "sector"),
         F.col("_tg_id") == F.col("target_id"), "inner",
     )
     g = j.groupBy("sector", "deal_year").agg(
         F.sum("n").alias("transaction_count"),
-        F.sum("s").cast("double").alias("total_deal_size_mm"),
+        F.when(F.sum("sn") > 0, F.sum("s").cast("double")).alias("total_deal_size_mm"),
         avg_from_parts(F.sum("es"), F.sum("en")).alias("avg_ev_ebitda_multiple"),
         avg_from_parts(F.sum("rs"), F.sum("rn")).alias("avg_ev_revenue_multiple"),
         F.sum("c").alias("closed_deal_count"),
@@ -256,6 +269,10 @@ def rpt_sector_trend_summary(tx: DataFrame, dim_target: DataFrame, data_date: dt
             .orderBy(F.col("sector").asc_nulls_last(), F.col("deal_year").asc_nulls_last()))
 
 
+def rpt_sector_trend_summary(tx: DataFrame, dim_target: DataFrame, data_date: dt.date) -> DataFrame:
+    return report_of(report_partials(tx), dim_target, data_date)
+
+
 # Tie-breakers after (announce_date, transaction_id) so that repeated ids
 # still get a reproducible sequence on every engine and every retry.
 SEQUENCE_TIEBREAK = ["acquirer_id", "close_date", "outcome", "deal_size_mm", "ev_ebitda_multiple",

@@ -115,19 +115,36 @@ def refresh_marts(wh: Warehouse, run_ts: dt.datetime) -> dict[str, int]:
     tx = staged_transactions(wh)
     dim_target = wh.read("analytics", "dim_target")
     dim_acquirer = wh.read("analytics", "dim_acquirer")
-    activity = marts.dim_acquirer_activity(tx, dim_target, dim_acquirer, run_ts)
     return {
-        "analytics.dim_acquirer_activity": _merge_table(
-            wh, "dim_acquirer_activity", activity, ["acquirer_id"], marts.ACTIVITY_COLUMNS),
+        "analytics.dim_acquirer_activity": merge_activity(
+            wh, marts.dim_acquirer_activity(tx, dim_target, dim_acquirer, run_ts)),
         "analytics.rpt_sector_trend_summary": wh.write(
             "analytics", "rpt_sector_trend_summary",
             marts.rpt_sector_trend_summary(tx, dim_target, run_ts.date())),
-        "analytics.fct_target_deal_sequence": wh.write(
-            "analytics", "fct_target_deal_sequence",
-            marts.fct_target_deal_sequence(tx, dim_target, run_ts.date())),
+        "analytics.fct_target_deal_sequence": write_timeline(
+            wh, marts.fct_target_deal_sequence(tx, dim_target, run_ts.date())),
     }
 
 
+def merge_activity(wh: Warehouse, activity: DataFrame) -> int:
+    return _merge_table(wh, "dim_acquirer_activity", activity, ["acquirer_id"], marts.ACTIVITY_COLUMNS)
+
+
+# Folders of the timeline, by hash of the target.
+TIMELINE, TARGET_BUCKET, TARGET_BUCKETS = "fct_target_deal_sequence", "target_bucket", 64
+
+
+def write_timeline(wh: Warehouse, timeline: DataFrame, buckets: Sequence[int] | None = None) -> int:
+    """Replace the timeline, or only the targets of ``buckets``."""
+    rows = timeline.withColumn(TARGET_BUCKET, F.pmod(F.xxhash64("target_id"), F.lit(TARGET_BUCKETS)).cast("int"))
+    wh.replace_partitions("analytics", TIMELINE, rows, TARGET_BUCKET, buckets, only=buckets is None)
+    return wh.row_count("analytics", TIMELINE)
+
+
+def read_timeline(wh: Warehouse) -> DataFrame:
+    return wh.read_parts("analytics", TIMELINE).select(*marts.SEQUENCE_COLUMNS)
+
+
 def refresh_core(wh: Warehouse, run_ts: dt.datetime, names: Sequence[str] = ENTITIES) -> dict[str, int]:
     out = refresh_staging(wh, names)
     out.update(refresh_dimensions(wh, run_ts, names))

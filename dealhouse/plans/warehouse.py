@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LAYERS = ("raw", "staging", "analytics")
+LAYERS = ("raw", "staging", "analytics", "state")
 # Written into each version folder; names starting with '_' are skipped by readers.
 META_FILE = "_META"
 # The folder of a partitioned table's data version; Spark reads it as a column, so no data column has this name.
@@ -161,7 +161,8 @@ class Warehouse:
 
     def row_count(self, layer: str, name: str) -> int | None:
         """Rows of the current version, as observed when it was written (no job)."""
-        return self.meta(layer, name).get("rows")
+        number, manifest = self._manifest(layer, name)
+        return sum(manifest["rows"].values()) if number else self.meta(layer, name).get("rows")
 
     def read(self, layer: str, name: str, version: int | None = None) -> DataFrame:
         vs = self.versions(layer, name)
@@ -224,8 +225,26 @@ class Warehouse:
             return self.spark.createDataFrame([], schema).select(*columns)
         return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).select(*columns)
 
+    def partition_meta(self, layer: str, name: str) -> dict:
+        """What the last replace wrote down."""
+        return self._manifest(layer, name)[1].get("meta", {})
+
+    def read_parts(self, layer: str, name: str, values: Sequence[int] | None = None) -> DataFrame:
+        """A partitioned table with its schema as last written; with ``values``, no other partition is listed or read."""
+        number, manifest = self._manifest(layer, name)
+        if not number:
+            raise FileNotFoundError(f"{layer}.{name} has no manifest under {self.root}")
+        schema, part_col = T.StructType.fromJson(manifest["schema"]), manifest["column"]
+        data = f"{self.table_path(layer, name)}/data"
+        paths = [f"{data}/{VERSION}={v:06d}/{part_col}={value}" for value, v in manifest["partitions"].items()
+                 if values is None or int(value) in set(values)]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).select(*schema.names)
+
     def replace_partitions(self, layer: str, name: str, df: DataFrame, part_col: str,
-                           values: Sequence[int] | None = None, only: bool = False) -> dict[int, int]:
+                           values: Sequence[int] | None = None, only: bool = False,
+                           meta: dict | None = None) -> dict[int, int]:
         """Replace whole partitions of ``part_col``, all at once.
 
         With ``values``: rows outside them are ignored, and every listed value ends up holding
@@ -253,7 +272,8 @@ class Warehouse:
         rows = {k: n for k, n in manifest.get("rows", {}).items() if k in kept}
         self._put_next(f"{base}/_manifests", json.dumps({
             "partitions": {**kept, **{str(y): nxt for y in written}},
-            "rows": {**rows, **{str(y): n for y, n in written.items()}}}), after=number)
+            "rows": {**rows, **{str(y): n for y, n in written.items()}},
+            "column": part_col, "schema": df.schema.jsonValue(), "meta": meta or {}}), after=number)
         self.last_written_rows = sum(written.values())
         self._drop_unread(base)
         return {y: written.get(y, 0) for y in sorted(replaced)}

@@ -253,11 +253,10 @@ def _parts_of_stream(m: Model) -> dict[str, DataFrame]:
             "withdrawn": landed.filter(n % 90 == 2).select("transaction_id")}
 
 
-@register("stream_ingest", pure=False)
-def _stream(m: Model) -> DataFrame:
+def _streamed(m: Model) -> Warehouse:
     """Most deals arrive by batch, some by stream: fresh ones, every tenth a correction of a batch
     deal, some corrected again, some withdrawn; files with their columns in another order, rows
-    with line ends in a field, and rows and files that are set apart. Returns the fact."""
+    with line ends in a field, and rows and files that are set apart."""
     parts = _parts_of_stream(m)
     wh = _landed_warehouse(m, parts["batch"])
     _pl.refresh_fact(wh, RUN_TS)
@@ -276,7 +275,34 @@ def _stream(m: Model) -> DataFrame:
     _csv.write_csv(parts["again"].coalesce(1), f"{src}/again")
     withdraw_deals(wh, parts["withdrawn"], f"{src}/gone")
     stream_ingest(wh, f"{src}/*", ckpt, RUN_TS)
-    return _pl.read_fact(wh)
+    return wh
+
+
+@register("stream_ingest", pure=False)
+def _stream(m: Model) -> DataFrame:
+    """The fact after batch and stream."""
+    return _pl.read_fact(_streamed(m))
+
+
+@register("stream_activity", pure=False)
+def _stream_activity(m: Model) -> DataFrame:
+    """The rollup that the stream kept by change, of buyers that still have deals."""
+    wh = _streamed(m)
+    buyers = _pl.staged_transactions(wh).select(F.col("acquirer_id").alias("_a")).distinct()
+    rows = wh.read("analytics", "dim_acquirer_activity")
+    return _no_load_ts(rows.join(buyers, F.col("acquirer_id").eqNullSafe(F.col("_a")), "left_semi"))
+
+
+@register("stream_timeline", pure=False)
+def _stream_timeline(m: Model) -> DataFrame:
+    """The timeline that the stream kept by change."""
+    return _pl.read_timeline(_streamed(m))
+
+
+@register("stream_report", pure=False)
+def _stream_report(m: Model) -> DataFrame:
+    """The sector report that the stream kept by change."""
+    return _streamed(m).read("analytics", "rpt_sector_trend_summary")
 
 
 @register("stream_rejected", pure=False)

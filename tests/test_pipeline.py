@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from dealhouse.model import RUN_TS, Model
 from dealhouse.operators import staging as stg
-from dealhouse.plans import changelog, marts
+from dealhouse.plans import changelog, marts, states
 from dealhouse.plans import pipeline as pl
 from dealhouse.plans.warehouse import Warehouse
 from dealhouse.session import scratch_dir
@@ -118,8 +118,7 @@ def test_batch_and_stream_feed_one_fact(spark, raw, refreshed):
     whole, _ = refreshed
     assert 0 < before < pl.read_fact(wh).count() and rejected(wh).count() == 0
     assert rows_of(pl.read_fact(wh)) == rows_of(pl.read_fact(whole))
-    for table in ("rpt_sector_trend_summary", "fct_target_deal_sequence"):
-        assert rows_of(wh.read("analytics", table)) == rows_of(whole.read("analytics", table))
+    same_marts(wh, whole)
     # compaction changes where the rows lie, not which there are
     deals = pl.staged_transactions(wh)
     had = rows_of(deals)
@@ -147,6 +146,61 @@ def held(wh):
     return got
 
 
+def same_marts(a, b):
+    assert rows_of(a.read("analytics", "rpt_sector_trend_summary")) == rows_of(b.read("analytics", "rpt_sector_trend_summary"))
+    assert rows_of(pl.read_timeline(a)) == rows_of(pl.read_timeline(b))
+    drop = ("dw_updated_at", "data_date")
+    assert rows_of(a.read("analytics", "dim_acquirer_activity").drop(*drop)) == rows_of(
+        b.read("analytics", "dim_acquirer_activity").drop(*drop))
+
+
+def test_states_equal_the_full_models_after_three_batches(spark, raw):
+    """Corrections move deals between buyers, targets, years; one target changes its sector between batches."""
+    deals = raw["transactions"]
+    wh = landed(spark, raw, deals.filter("deal_quarter <> 'Q4'"))
+    src, ckpt, keep = scratch_dir(spark, "stream"), scratch_dir(spark, "ckpt"), F.length("transaction_id") > 3
+    one = deals.filter(keep & (F.col("deal_quarter") == "Q2"))
+    for name, df in {"a": deals.filter("deal_quarter = 'Q4'"), "b": one.withColumns({
+            "acquirer_id": F.lit("ACQ-7"), "deal_size_mm": F.lit(None).cast("string"), "announce_date": F.lit("1997-02-03")}),
+            "c": one.withColumns({"target_id": F.lit("TGT-9"), "deal_year": F.lit("1993"), "outcome": F.lit("Pending vote")})}.items():
+        write_csv(df.coalesce(1), f"{src}/{name}")
+        stream_ingest(wh, f"{src}/*", ckpt, RUN_TS)
+        if name == "b":
+            wh.write("raw", "targets", raw["targets"].withColumn("sector", F.when(
+                F.col("target_id").endswith("5"), F.lit("Moved")).otherwise(F.col("sector"))))
+            pl.refresh_staging(wh, ["targets"])
+            pl.refresh_dimensions(wh, RUN_TS, ["targets"])
+    full = Warehouse(spark, scratch_dir(spark, "wh"))
+    for layer, name in (("staging", "transactions"), ("analytics", "dim_target"), ("analytics", "dim_acquirer")):
+        rows = pl._by_year(pl.staged_transactions(wh)) if name == "transactions" else wh.read(layer, name)
+        full.write(layer, name, rows, partition_by=[pl.YEAR_FOLDER] if name == "transactions" else ())
+    pl.refresh_marts(full, RUN_TS)
+    gone = wh.read("analytics", "dim_acquirer_activity").join(full.read("analytics", "dim_acquirer_activity"), "acquirer_id", "left_anti")
+    full.write("analytics", "dim_acquirer_activity", full.read("analytics", "dim_acquirer_activity").unionByName(
+        wh.read("analytics", "dim_acquirer_activity").join(gone, "acquirer_id", "left_semi")))  # a merge deletes nothing
+    same_marts(wh, full)
+
+
+def test_a_small_change_touches_its_own_buckets(spark, raw):
+    small = {n: df.limit(5) for n, df in raw.items()}
+    wh = landed(spark, small, deal_rows(spark, *[deal(i, 2001, target_id=f"TGT-{i}", acquirer_id=f"ACQ-{i}") for i in range(40)]))
+    src, ckpt = scratch_dir(spark, "stream"), scratch_dir(spark, "ckpt")
+    write_csv(deal_rows(spark, deal(50, 2001, target_id="TGT-50", acquirer_id="ACQ-50")).coalesce(1), f"{src}/a")
+    stream_ingest(wh, f"{src}/*", ckpt, RUN_TS)
+    before = {t: wh.partition_versions("state", t) for t in states.KEYS}
+    write_csv(deal_rows(spark, deal(3, 2001, "77", target_id="TGT-3", acquirer_id="ACQ-3")).coalesce(1), f"{src}/b")
+    stream_ingest(wh, f"{src}/*", ckpt, RUN_TS)
+    for t in states.KEYS:
+        after = wh.partition_versions("state", t)
+        assert sum(after[b] != before[t][b] for b in after) == 1
+    batch = changelog.last_batch(wh)
+    rows = rows_of(wh.read_parts("state", "report"))
+    states.apply_batch(wh, pl.staged_transactions(wh), pl.staged_transactions(wh), batch)  # run again: nothing
+    assert rows_of(wh.read_parts("state", "report")) == rows
+    plan = wh.read_parts("state", "deals", [1, 2])
+    assert {f.split("bucket=")[1].split("/")[0] for f in plan.inputFiles()} <= {"1", "2"}
+
+
 def test_the_last_writer_of_a_deal_wins(spark, raw, monkeypatch):
     small = {n: df.limit(5) for n, df in raw.items()}
     wh = landed(spark, small, deal_rows(spark, deal(1, 2001), deal(2, 2001), deal(3, 2002), deal(3, 2002, "11"), deal(4, 2003)))
