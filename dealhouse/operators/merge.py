@@ -39,6 +39,17 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"source repeats key {list(keys)}")
 
 
+def rows_to_upsert(current: DataFrame, source: DataFrame, keys: Sequence[str],
+                   hash_column: str | None = "row_content_hash") -> DataFrame:
+    """The rows of ``source`` whose key is new or whose hash differs; of ``current`` only keys and hashes are read."""
+    compared = [*keys, *([hash_column] if hash_column else [])]
+    if not hash_column:
+        return source
+    held = current.select(*[F.col(c).alias(f"t__{c}") for c in compared])
+    same = reduce(lambda a, b: a & b, [F.col(f"t__{c}").eqNullSafe(F.col(c)) for c in compared])
+    return source.join(held, same, "left_anti")
+
+
 def scd1_merge(current: DataFrame | None, source: DataFrame, keys: Sequence[str],
                columns: Sequence[str], hash_column: str | None = "row_content_hash",
                check_unique: bool = True) -> DataFrame:

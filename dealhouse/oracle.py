@@ -578,6 +578,8 @@ day1 AS (
 {_merge_sql('acquirer_id', _ACQ_COLS, 'day1', 'day2')}
 """)
 
+ORACLE["scd1_merge_buckets"] = ORACLE["scd1_merge"]
+
 ORACLE["incremental_refresh"] = with_ctes(["stg_targets"], f"""
 , raw_targets_day2 AS (
   SELECT * REPLACE (CASE WHEN {_KEYNUM.format(c='target_id')} % 5 = 0

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealhouse.operators import staging as stg
-from dealhouse.operators.merge import ensure_columns, scd1_merge
+from dealhouse.operators.merge import assert_unique_keys, ensure_columns, rows_to_upsert, scd1_merge
 from dealhouse.plans import changelog, marts
 from dealhouse.plans.delta import changed_keys, changed_values
 from dealhouse.plans.marts import YEAR_DOMAIN
-from dealhouse.plans.warehouse import Warehouse
+from dealhouse.plans.warehouse import HIDDEN_BUCKET, Warehouse
 
 ENTITIES = list(stg.STAGERS)
 # Staged deals lie in folders by year; those outside the fact's domain share one.
@@ -86,15 +86,40 @@ def staged_transactions(wh: Warehouse, years: Sequence[int] | None = None,
         newer.select(*deals.columns))
 
 
+MERGE_BUCKETS = 64
+
+
+def _in_buckets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(HIDDEN_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(MERGE_BUCKETS)).cast("int"))
+
+
 def _merge_table(wh: Warehouse, name: str, source: DataFrame, keys: list[str], columns: list[str]) -> int:
-    current = wh.read("analytics", name) if wh.exists("analytics", name) else None
-    if current is not None:
-        # The merge reads its source twice: land it once.
-        wh.write("staging", f"merge_{name}", source.select(*columns))
-        source = wh.read("staging", f"merge_{name}")
-        current = ensure_columns(current, T.StructType([
+    """SCD1 upsert of ``source`` into a table that lies in buckets of its key.
+
+    Only buckets that the source's keys lie in are read, keys and hashes alone, to find what is new or
+    changed; only buckets that hold such rows are read whole and rewritten. Without any, the table
+    keeps its version."""
+    if not wh.exists("analytics", name):
+        wh.replace_partitions("analytics", name, _in_buckets(source.select(*columns), keys), HIDDEN_BUCKET, only=True)
+        return wh.row_count("analytics", name)
+    # The merge reads its source several times: land it once.
+    wh.write("staging", f"merge_{name}", _in_buckets(source.select(*columns), keys))
+    landed = wh.read("staging", f"merge_{name}")
+    assert_unique_keys(landed, keys)
+
+    def held(buckets: list[int]) -> DataFrame:
+        return ensure_columns(wh.read_parts("analytics", name, buckets), T.StructType([
             T.StructField("data_date", T.DateType()), T.StructField("row_content_hash", T.StringType())]))
-    return wh.write("analytics", name, scd1_merge(current, source, keys, columns))
+
+    def buckets_of(rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select(HIDDEN_BUCKET).distinct().collect())  # MERGE_BUCKETS at most
+
+    dirty = buckets_of(rows_to_upsert(held(buckets_of(landed)), landed, keys))
+    if dirty:
+        merged = scd1_merge(held(dirty), landed.filter(F.col(HIDDEN_BUCKET).isin(dirty)), keys,
+                            [*columns, HIDDEN_BUCKET], check_unique=False)
+        wh.replace_partitions("analytics", name, merged, HIDDEN_BUCKET, dirty)
+    return wh.row_count("analytics", name)
 
 
 DIMENSIONS = {"acquirers": ("dim_acquirer", "acquirer_id", marts.DIM_ACQUIRER_COLUMNS),

@@ -30,6 +30,8 @@ LAYERS = ("raw", "staging", "analytics", "state")
 META_FILE = "_META"
 # The folder of a partitioned table's data version; Spark reads it as a column, so no data column has this name.
 VERSION = "_data_version"
+# A partition column that only says where a row lies, and is not part of the table.
+HIDDEN_BUCKET = "_bucket"
 
 
 class ConcurrentReplace(RuntimeError):
@@ -99,8 +101,11 @@ class Warehouse:
             raise ConcurrentReplace(f"{final.toString()} exists already")
         return newest + 1
 
+    def _numbers(self, folder: str) -> list[int]:
+        return sorted(int(f[2:]) for f in self.list_dir(folder) if f.startswith("n="))
+
     def _newest(self, folder: str) -> int:
-        return max((int(f[2:]) for f in self.list_dir(folder) if f.startswith("n=")), default=0)
+        return max(self._numbers(folder), default=0)
 
     def _get_newest(self, folder: str) -> tuple[int, dict]:
         n = self._newest(folder)
@@ -139,7 +144,10 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def versions(self, layer: str, name: str) -> list[int]:
+        """Numbers of the complete versions: of a partitioned table those of its manifests."""
         base = self.table_path(layer, name)
+        if manifests := self._numbers(f"{base}/_manifests"):
+            return manifests
         out = []
         for d in self.list_dir(base):
             if d.startswith("v=") and self.exists_path(f"{base}/{d}/{META_FILE}"):
@@ -169,6 +177,9 @@ class Warehouse:
         if not vs or version is not None and version not in vs:
             raise FileNotFoundError(f"{layer}.{name} has no complete version {version or ''} under {self.root}")
         v = version or vs[-1]
+        if self._newest(f"{self.table_path(layer, name)}/_manifests"):
+            rows = self.read_parts(layer, name, version=v)
+            return rows.drop(HIDDEN_BUCKET)
         # The schema as written: a partitioned table without rows has no file to tell it.
         schema = T.StructType.fromJson(self.meta(layer, name, v)["schema"])
         return self.spark.read.schema(schema).parquet(f"{self.table_path(layer, name)}/v={v:06d}")
@@ -204,8 +215,11 @@ class Warehouse:
         return {self.pins(c).get(table) for c in self.list_dir(f"{self.root}/_notes/pins")}
 
     # -- partitioned table ---------------------------------------------------
-    def _manifest(self, layer: str, name: str) -> tuple[int, dict]:
-        return self._get_newest(f"{self.table_path(layer, name)}/_manifests")
+    def _manifest(self, layer: str, name: str, version: int | None = None) -> tuple[int, dict]:
+        folder = f"{self.table_path(layer, name)}/_manifests"
+        if version is None:
+            return self._get_newest(folder)
+        return version, json.loads(self._read_text(f"{folder}/n={version:09d}"))
 
     def partition_versions(self, layer: str, name: str) -> dict[int, int]:
         """The data version that each partition value is read from."""
@@ -229,9 +243,10 @@ class Warehouse:
         """What the last replace wrote down."""
         return self._manifest(layer, name)[1].get("meta", {})
 
-    def read_parts(self, layer: str, name: str, values: Sequence[int] | None = None) -> DataFrame:
+    def read_parts(self, layer: str, name: str, values: Sequence[int] | None = None,
+                   version: int | None = None) -> DataFrame:
         """A partitioned table with its schema as last written; with ``values``, no other partition is listed or read."""
-        number, manifest = self._manifest(layer, name)
+        number, manifest = self._manifest(layer, name, version)
         if not number:
             raise FileNotFoundError(f"{layer}.{name} has no manifest under {self.root}")
         schema, part_col = T.StructType.fromJson(manifest["schema"]), manifest["column"]
@@ -275,14 +290,14 @@ class Warehouse:
             "rows": {**rows, **{str(y): n for y, n in written.items()}},
             "column": part_col, "schema": df.schema.jsonValue(), "meta": meta or {}}), after=number)
         self.last_written_rows = sum(written.values())
-        self._drop_unread(base)
+        self._drop_unread(base, self._pinned(f"{layer}.{name}"))
         return {y: written.get(y, 0) for y in sorted(replaced)}
 
-    def _drop_unread(self, base: str) -> None:
+    def _drop_unread(self, base: str, pinned: set[int]) -> None:
         """Delete manifests beyond ``keep`` and data versions that none names, once they are old enough."""
-        numbers = sorted(int(f[2:]) for f in self.list_dir(f"{base}/_manifests") if f.startswith("n="))
+        numbers = self._numbers(f"{base}/_manifests")
         for n in numbers[:-self.keep]:
-            if self.age_s(f"{base}/_manifests/n={n:09d}") >= self.retain_s:
+            if n not in pinned and self.age_s(f"{base}/_manifests/n={n:09d}") >= self.retain_s:
                 self.delete_path(f"{base}/_manifests/n={n:09d}")
                 numbers.remove(n)
         named = {v for n in numbers
@@ -292,8 +307,11 @@ class Warehouse:
                 self.delete_path(f"{base}/data/{d}")
 
     # -- maintenance -----------------------------------------------------------
-    def reset_layers(self, layers: Sequence[str] = ("analytics", "staging", "raw")) -> list[str]:
+    def reset_layers(self, layers: Sequence[str] = ("analytics", "staging", "raw", "state")) -> list[str]:
+        """Drop the layers that exist, and what is noted about them; returns their names."""
         self._guard()
+        for notes in ("_notes", "_meta"):
+            self.delete_path(f"{self.root}/{notes}")
         dropped = []
         for layer in layers:
             p = f"{self.root}/{layer}"

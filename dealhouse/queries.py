@@ -124,6 +124,19 @@ def _scd1(m: Model) -> DataFrame:
     return scd1_merge(day1, day2, ["acquirer_id"], cols).drop("dw_updated_at")
 
 
+@register("scd1_merge_buckets", pure=False)
+def _scd1_buckets(m: Model) -> DataFrame:
+    """The upsert of ``scd1_merge`` by the warehouse, bucket by bucket."""
+    wh, cols = Warehouse(m.spark, scratch_dir(m.spark, "wh")), _marts.DIM_ACQUIRER_COLUMNS
+    day1 = m.staged("acquirers").filter(_key_number("acquirer_id") % 11 != 0)
+    day2 = _stg.stg_acquirers(_renamed(m.raw("acquirers"), "acquirer_id", "acquirer_name")).filter(
+        _key_number("acquirer_id") % 7 != 0)
+    for rows, ts in ((day1, RUN_TS), (day2, DAY2_TS)):
+        wh.write("staging", "acquirers", rows)
+        _pl.refresh_dimensions(wh, ts, ["acquirers"])
+    return wh.read("analytics", "dim_acquirer").drop("dw_updated_at")
+
+
 def _landed_warehouse(m: Model, transactions=None) -> Warehouse:
     """Raw and staging layers and the dimensions: what the fact needs."""
     wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))

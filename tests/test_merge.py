@@ -67,7 +67,7 @@ def test_partition_replace_static_semantics(spark, tmp_root):
     assert wh.replace_partitions("analytics", "f", new, "deal_year", [2002, 2003]) == {2002: 1, 2003: 0}
     # rerun is idempotent
     wh.replace_partitions("analytics", "f", new, "deal_year", [2002, 2003])
-    back = spark.read.parquet(wh.table_path("analytics", "f"))
+    back = wh.read("analytics", "f")
     got = sorted((r["deal_year"], r["i"]) for r in back.collect())
     assert got == [(2001, 0), (2001, 1), (2001, 2), (2002, 9)]
 
