@@ -10,6 +10,7 @@ runs. Prints one JSON line.
 """
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import sys
@@ -19,7 +20,10 @@ from statistics import median
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from dealhouse.model import RUN_TS, Model  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from dealhouse.operators import staging as stg  # noqa: E402
+from dealhouse.operators.merge import scd1_merge  # noqa: E402
 from dealhouse.operators.quality import run_checks  # noqa: E402
 from dealhouse.operators.rules import ALL_CHECKS  # noqa: E402
 from dealhouse.plans import marts, pipeline  # noqa: E402
@@ -52,6 +56,14 @@ def headline(spark, sf_dir: str) -> dict:
         pipeline.refresh_fact(wh, RUN_TS)
         return pipeline.read_fact(wh)
 
+    def merge():
+        """All buyers upserted again a day later, every fifth renamed."""
+        renamed = read("raw", "acquirers").withColumn("acquirer_name", F.when(
+            F.pmod(F.xxhash64("acquirer_id"), F.lit(5)) == 0, F.concat("acquirer_name", F.lit(" Holdings")))
+            .otherwise(F.col("acquirer_name")))
+        day2 = marts.dimension_rows(stg.stg_acquirers(renamed), marts.DIM_ACQUIRER_COLUMNS, RUN_TS + dt.timedelta(days=1))
+        return scd1_merge(dims("dim_acquirer"), day2, ["acquirer_id"], marts.DIM_ACQUIRER_COLUMNS)
+
     tx, dims = lambda: read("staging", "transactions"), lambda n: read("analytics", n)
     return {
         "stg_transactions": lambda: stg.stg_transactions(read("raw", "transactions")),
@@ -61,6 +73,7 @@ def headline(spark, sf_dir: str) -> dict:
         "rpt_sector_trend_summary": lambda: marts.rpt_sector_trend_summary(tx(), dims("dim_target"), RUN_TS.date()),
         "fct_target_deal_sequence": lambda: marts.fct_target_deal_sequence(tx(), dims("dim_target"), RUN_TS.date()),
         "run_checks": checks,
+        "scd1_merge": merge,
         "backfill_partitions": fact_write,
         "land_and_stage": lambda: landed(spark, sf_dir)[1].read("staging", "transactions"),
     }

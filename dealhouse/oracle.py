@@ -704,6 +704,13 @@ def _count_rows_sql() -> str:
     return with_ctes(list(_COUNTED.values()), body)
 
 
+ORACLE["catalog_sql"] = f"""
+WITH fact AS ({FACT_SQL}), line AS ({SEQUENCE_SQL}), buyer AS (SELECT DISTINCT acquirer_id FROM ({ACTIVITY_SQL}))
+SELECT deal_year, count(*) AS deals,
+  count(*) FILTER (deal_year IN (1997, 1998) AND target_name IS NOT NULL AND {_KEYNUM.format(c='target_id')} % 5 = 0) AS renamed_deals,
+  count(*) FILTER (acquirer_id IN (SELECT acquirer_id FROM buyer WHERE acquirer_id IS NOT NULL)) AS known_buyers,
+  max((SELECT max(deal_sequence_number) FROM line WHERE line.transaction_id = fact.transaction_id)) AS longest
+FROM fact GROUP BY deal_year"""
 ORACLE["row_count_metrics"] = _count_rows_sql()
 ORACLE["reset_layers"] = f"""
 SELECT split_part(table_name, '.', 1) AS layer, CAST(sum(row_count) AS BIGINT) AS rows_dropped, true AS dropped,

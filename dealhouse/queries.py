@@ -77,6 +77,7 @@ def _null_sentinels(m: Model) -> DataFrame:
 
 # --- table maintenance, pipeline, sources, streaming ------------------------------
 import datetime as _dt  # noqa: E402
+import uuid  # noqa: E402
 
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -91,6 +92,8 @@ from dealhouse.operators import staging as _stg  # noqa: E402
 from dealhouse.operators.merge import ensure_column, scd1_merge  # noqa: E402
 from dealhouse.plans import marts as _marts  # noqa: E402
 from dealhouse.plans import pipeline as _pl  # noqa: E402
+from dealhouse.plans.catalog import CatalogStore  # noqa: E402
+from dealhouse.plans.catalog import refresh as _load_catalog  # noqa: E402
 from dealhouse.plans.warehouse import Warehouse  # noqa: E402
 from dealhouse.session import scratch_dir  # noqa: E402
 from dealhouse.sources import csv as _csv  # noqa: E402
@@ -373,25 +376,14 @@ def _export(m: Model) -> DataFrame:
     return _csv.read_manifest(m.spark, out)
 
 
-@register("row_count_metrics")
+@register("row_count_metrics", pure=False)
 def _row_counts(m: Model) -> DataFrame:
-    """Row count per modelled table, each one aggregate over its plan."""
-    frames = {f"raw.{n}": m.raw(n) for n in _stg.STAGERS}
-    frames.update({f"staging.{n}": m.staged(n) for n in _stg.STAGERS})
-    frames["staging.transactions_quarantine"] = m.quarantine
-    frames.update({
-        "analytics.dim_acquirer": m.dim_acquirer, "analytics.dim_target": m.dim_target,
-        "analytics.fct_transactions": m.fct_transactions(),
-        "analytics.dim_acquirer_activity": m.dim_acquirer_activity(),
-        "analytics.rpt_sector_trend_summary": m.rpt_sector_trend_summary(),
-        "analytics.fct_target_deal_sequence": m.fct_target_deal_sequence(),
-    })
-    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-             for name, df in frames.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows of every table of a refreshed warehouse, as observed when each was written: no second scan."""
+    wh = Warehouse(m.spark, scratch_dir(m.spark, "wh"))
+    _pl.refresh(wh, {n: m.raw(n) for n in _stg.STAGERS}, RUN_TS)
+    counts = [(f"{layer}.{t}", wh.row_count(layer, t)) for layer in ("raw", "staging", "analytics")
+              for t in wh.list_dir(f"{wh.root}/{layer}")]
+    return m.spark.createDataFrame(counts, "table_name string, row_count bigint")
 
 
 @register("changed_files", pure=False)
@@ -439,6 +431,26 @@ def _reset(m: Model) -> DataFrame:
     rows = [(x, held[x], x in dropped, len(wh.list_dir(f"{wh.root}/{x}"))) for x in layers]
     return m.spark.createDataFrame(rows, "layer string, rows_dropped bigint, dropped boolean, tables_left int")
 
+
+@register("catalog_sql", pure=False)
+def _catalog_sql(m: Model) -> DataFrame:
+    """All layers loaded twice as catalog tables, the second time with 1997 and 1998 replaced by what day 2
+    renamed; then plain SQL by table name."""
+    prefix = f"dealhouse_{uuid.uuid4().hex[:8]}_"
+    store = CatalogStore(m.spark, scratch_dir(m.spark, "catalog"), prefix)
+    raw = {n: m.raw(n) for n in _stg.STAGERS}
+    _load_catalog(store, raw, RUN_TS)
+    _load_catalog(store, {**raw, "targets": _renamed(m.raw("targets"), "target_id", "target_name")}, RUN_TS, [1997, 1998])
+    return m.spark.sql(f"""
+        SELECT f.deal_year, count(*) AS deals, count_if(f.target_name LIKE '% Holdings') AS renamed_deals,
+               count(a.acquirer_id) AS known_buyers, max(s.deal_sequence_number) AS longest
+        FROM {prefix}analytics.fct_transactions f
+        LEFT JOIN {prefix}analytics.dim_acquirer_activity a ON a.acquirer_id = f.acquirer_id
+        LEFT JOIN (SELECT transaction_id, max(deal_sequence_number) AS deal_sequence_number
+                   FROM {prefix}analytics.fct_target_deal_sequence GROUP BY transaction_id) s
+          ON s.transaction_id = f.transaction_id
+        GROUP BY f.deal_year""")
+
 # --- operator-level views (joins, aggregates, windows, scalar rules): each its own small plan ------
 
 
