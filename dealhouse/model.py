@@ -47,6 +47,7 @@ class Model:
 
         self._raw: dict[str, DataFrame] = {}
         self.query_cache: dict[str, DataFrame] = {}
+        self.runs: dict[str, object] = {}  # warehouses written by a run that several queries show
         self._staged: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
