@@ -257,7 +257,9 @@ def _write_lines(lines, path: str) -> None:
 
 def _parts_of_stream(m: Model) -> dict[str, DataFrame]:
     """Deals landed by batch, sent fresh by stream, corrected once, corrected again, and withdrawn."""
-    raw = m.raw("transactions")
+    path = scratch_dir(m.spark, "stream-raw")
+    m.raw("transactions").write.parquet(path)  # derived once, sent in many parts
+    raw = m.spark.read.parquet(path)
     n = F.coalesce(_key_number("transaction_id"), F.lit(1))
     lone = n % 499 != 0  # ids that no second deal has
     batch = raw.filter(~(lone & (n % 5 == 0)))
