@@ -1,14 +1,20 @@
 """Data-quality checks as Spark aggregates.
 
 Every check yields one verdict row ``(check_name, table_name, severity,
-violations, passed)``. ``run_checks`` fuses all row-level rules on one table
-into a single aggregate (one scan per table, not one per rule), adds one
-grouped count per uniqueness rule and one anti join per foreign key.
-
-Skew: uniqueness counts use partial aggregation; foreign keys are reduced to
-(key, rows) before the anti join, so a key holding a third of all rows is one
-row when it reaches the join. NULL keys form one group for uniqueness and
-count as orphans for foreign keys (NOT EXISTS semantics).
+violations, passed)``. ``run_checks`` reads each table once and needs one keyed
+exchange, however many checks there are: a row becomes a few tallies
+``(check, key, own, ref)``, one per row rule that it breaks, per uniqueness rule,
+per key it refers to and per key it offers as a reference. Tallies of all tables
+are added up by (check, key); a group then says by itself whether its key repeats,
+is an orphan or has a partner. A second aggregate, by check, sees a row per check
+and task.
+
+Skew: tallies are combined before the shuffle, so a key holding a third of all
+rows is one row a task when it travels. NULL keys form one group for uniqueness
+and count as orphans for foreign keys (NOT EXISTS semantics).
+
+Keys are compared by their text forms, a reference key cast to the type of the key
+that refers to it.
 """
 from __future__ import annotations
 
@@ -73,72 +79,62 @@ class MatchCheck:
 Check = RuleCheck | UniqueCheck | ForeignKeyCheck | MatchCheck
 
 
-def _verdict(name: str, table: str, severity: str, violations: Column) -> list[Column]:
-    v = violations.cast("bigint")
-    return [F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
-            F.lit(severity).alias("severity"), v.alias("violations"), (v == 0).alias("passed")]
+RULE, UNIQUE, ORPHAN, PARTNER = range(4)
+KINDS = {RuleCheck: RULE, UniqueCheck: UNIQUE, ForeignKeyCheck: ORPHAN, MatchCheck: PARTNER}
 
 
-def _rules_result(df: DataFrame, rules: Sequence[RuleCheck]) -> DataFrame:
-    """All row rules of one table in one aggregate, then one row per rule."""
-    counts = df.agg(*[F.count_if(r.violation()).alias(f"_v{i}") for i, r in enumerate(rules)])
-    rows = F.array(*[
-        F.struct(*_verdict(r.name, r.table, r.severity, F.col(f"_v{i}"))) for i, r in enumerate(rules)
-    ])
-    return counts.select(F.inline(rows))
+def _key(values: Sequence[Column]) -> Column:
+    """Text that tells keys apart, NULL parts included: every part with its length before it."""
+    text = [v.cast("string") for v in values]
+    return F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in text])
 
 
-def _unique_result(df: DataFrame, c: UniqueCheck) -> DataFrame:
-    dupes = df.groupBy(*c.keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return dupes.agg(*_verdict(c.name, c.table, c.severity, F.count(F.lit(1))))
+def _tally(check: int, key: Column, own: int, ref: int, when: Column | None = None) -> Column:
+    tally = F.struct(F.lit(check).alias("check"), key.alias("key"), F.lit(own).cast("bigint").alias("own"),
+                     F.lit(ref).cast("bigint").alias("ref"))
+    return tally if when is None else F.when(when, tally)
 
 
-def _keyed_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-
-
-def _ref_keys(ref: DataFrame, ref_key: Sequence[str], key: Sequence[str], flt: Violation | None) -> DataFrame:
-    if flt is not None:
-        ref = ref.filter(flt())
-    return ref.select(*[F.col(r).alias(f"_ref_{k}") for r, k in zip(ref_key, key)])
-
-
-def _join_cond(key: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_ref_{k}") for k in key])
-
-
-def _fk_result(df: DataFrame, ref: DataFrame, c: ForeignKeyCheck) -> DataFrame:
-    if c.row_filter is not None:
-        df = df.filter(c.row_filter())
-    orphans = _keyed_counts(df, c.key).join(
-        _ref_keys(ref, c.ref_key, c.key, c.ref_filter), _join_cond(c.key), "left_anti")
-    return orphans.agg(*_verdict(c.name, c.table, c.severity, F.coalesce(F.sum("_rows"), F.lit(0))))
-
-
-def _match_result(df: DataFrame, ref: DataFrame, c: MatchCheck) -> DataFrame:
-    if c.row_filter is not None:
-        df = df.filter(c.row_filter())
-    hits = _keyed_counts(df, c.key).join(
-        _ref_keys(ref, c.ref_key, c.key, c.ref_filter), _join_cond(c.key), "left_semi")
-    return hits.agg(*_verdict(c.name, c.table, c.severity, F.coalesce(F.sum("_rows"), F.lit(0))))
+def _tallies(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> dict[str, list[Column]]:
+    """What a row of each table adds to which check; a NULL entry adds nothing."""
+    out: dict[str, list[Column]] = {}
+    for i, c in enumerate(checks):
+        mine = out.setdefault(c.table, [])
+        if isinstance(c, RuleCheck):
+            mine.append(_tally(i, F.lit(""), 1, 0, c.violation()))
+        elif isinstance(c, UniqueCheck):
+            mine.append(_tally(i, _key([F.col(k) for k in c.keys]), 1, 0))
+        else:
+            mine.append(_tally(i, _key([F.col(k) for k in c.key]), 1, 0, c.row_filter and c.row_filter()))
+            types = [tables[c.table].schema[k].dataType for k in c.key]
+            parts = [F.col(r).cast(t) for r, t in zip(c.ref_key, types, strict=True)]
+            offered = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+            if c.ref_filter is not None:
+                offered = offered & c.ref_filter()
+            out.setdefault(c.ref_table, []).append(_tally(i, _key(parts), 0, 1, offered))
+    return out
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    parts: list[DataFrame] = []
-    rules_by_table: dict[str, list[RuleCheck]] = {}
-    for c in checks:
-        if isinstance(c, RuleCheck):
-            rules_by_table.setdefault(c.table, []).append(c)
-    for table, rules in rules_by_table.items():
-        parts.append(_rules_result(tables[table], rules))
-    for c in checks:
-        if isinstance(c, UniqueCheck):
-            parts.append(_unique_result(tables[c.table], c))
-        elif isinstance(c, ForeignKeyCheck):
-            parts.append(_fk_result(tables[c.table], tables[c.ref_table], c))
-        elif isinstance(c, MatchCheck):
-            parts.append(_match_result(tables[c.table], tables[c.ref_table], c))
-    return reduce(DataFrame.unionByName, parts).select(*RESULT_COLUMNS)
+    """A verdict per check, in no order. Checks without rows to look at pass with 0 violations."""
+    parts = [tables[name].select(F.inline(F.array_compact(F.array(*tallies))))
+             for name, tallies in _tallies(tables, checks).items()]
+    groups = reduce(DataFrame.unionAll, parts).groupBy("check", "key").agg(
+        F.sum("own").alias("own"), F.sum("ref").alias("ref"))
+    found = groups.groupBy("check").agg(
+        F.sum("own").alias(f"_v{RULE}"),
+        F.count_if(F.col("own") > 1).alias(f"_v{UNIQUE}"),
+        F.sum(F.when(F.col("ref") == 0, F.col("own"))).alias(f"_v{ORPHAN}"),
+        F.sum(F.when(F.col("ref") > 0, F.col("own"))).alias(f"_v{PARTNER}"))
+    listed = F.array(*[
+        F.struct(F.lit(i).alias("number"), F.lit(KINDS[type(c)]).alias("kind"), F.lit(c.name).alias("check_name"),
+                 F.lit(c.table).alias("table_name"), F.lit(c.severity).alias("severity"))
+        for i, c in enumerate(checks)])
+    spark = parts[0].sparkSession
+    verdicts = spark.range(1).select(F.inline(listed)).join(found, F.col("number") == F.col("check"), "left")
+    counted = F.coalesce(*[F.when(F.col("kind") == k, F.col(f"_v{k}")) for k in KINDS.values()], F.lit(0))
+    return verdicts.withColumn("violations", counted.cast("bigint")).withColumn(
+        "passed", F.col("violations") == 0).select(*RESULT_COLUMNS)
 
 
 def run_check(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:

@@ -98,3 +98,22 @@ def test_every_check_finds_its_violation(spark):
     got = verdicts(run_checks(tables, ALL_CHECKS.checks))
     assert {k for k, (n, passed) in got.items() if not n or passed} == set()
     assert len(got) == len(ALL_CHECKS.checks) == 30
+
+
+def test_all_checks_read_a_table_once_and_meet_in_one_keyed_exchange(spark, tmp_path):
+    t = spark.createDataFrame([(1, "x", 1), (1, "y", -1), (2, None, 0)], "id int, ref string, n int")
+    r = spark.createDataFrame([("x", "1"), (None, "7")], "ref string, other string")
+    t.write.parquet(f"{tmp_path}/t")
+    r.write.parquet(f"{tmp_path}/r")
+    tables = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in "tr"}
+    checks = [UniqueCheck("u", "t", ("id",)), UniqueCheck("u2", "t", ("id", "ref")), RuleCheck("neg", "t", lambda: F.col("n") < 0),
+              ForeignKeyCheck("fk", "t", ("ref",), "r", ("ref",)), MatchCheck("m", "t", ("id",), "r", ("other",)),
+              ForeignKeyCheck("back", "r", ("ref",), "t", ("ref",), ref_filter=lambda: F.col("n") > 5)]
+    df = run_checks(tables, checks)
+    assert verdicts(df) == {("u", "t"): (1, False), ("u2", "t"): (0, True), ("neg", "t"): (1, False),
+                            ("fk", "t"): (2, False), ("m", "t"): (2, False), ("back", "r"): (2, False)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    assert plan.count("Aggregate [check") == 2              # by (check, key), then by check
+    empty = {n: d.limit(0) for n, d in tables.items()}
+    assert set(verdicts(run_checks(empty, checks)).values()) == {(0, True)}
