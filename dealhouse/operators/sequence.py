@@ -1,15 +1,21 @@
 """Ordered numbering and previous-row values per group, without a group in one task.
 
 ``Window.partitionBy(g).orderBy(...)`` sends every row of a group to one task. Here rows
-are dealt by (group, first order key) instead: each such slice is numbered by itself, and a
-summary per slice (its rows and its last row, combined before the shuffle) gives the offset
-to add and the values to carry over from the slice before. Slices are a function of the
-row's own values, nothing is sampled, so both reads of the input agree whatever columns
-they keep. The result equals ``row_number()`` / ``lag(1)`` over the plain window, at every
-group size, by one path.
-
-Only rows that agree in both group and first order key meet in one task; the windows over
-summaries see a row per distinct first key.
+are dealt into slices that follow one another in the order, each slice is numbered by
+itself, and a summary per slice (its rows and its last row, combined before the shuffle)
+gives the offset to add and the values to carry over from the slice before. The result
+equals ``row_number()`` / ``lag(1)`` over the plain window, at every group size, by one path.
+
+A slice is (group, first order key, bucket). Buckets cut what agrees in group and first key by
+the second order key: its leading ``prefix`` characters, which order the same way as the whole
+text does. Summaries are themselves a sequence and are carried over level by level: bucket to
+bucket within a (group, first key), then first key to first key within the group. Slices are a
+function of the row's own values, nothing is sampled, so both reads of the input agree whatever
+columns they keep.
+
+Rows meet in one task only if they agree in group, first key and the leading characters of the
+second. A window over summaries sees a row per bucket of one (group, first key), or a row per
+first key of one group.
 """
 from __future__ import annotations
 
@@ -17,36 +23,67 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PREFIX = 10
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def _rank(columns: Sequence[str]) -> Column:
+    """A value that compares as the columns do; NULLs last, so a flag goes before each value."""
+    return F.struct(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))]) if columns else F.lit(0)
+
+
+def _bucket(df: DataFrame, rest: Sequence[str], prefix: int) -> Column:
+    """The part of the second order key that slices are cut by; one bucket if it is no text."""
+    if rest and isinstance(df.schema[rest[0]].dataType, T.StringType):
+        return F.substring(rest[0], 1, prefix)
+    return F.lit(None).cast("string")
+
+
+def _carried(summaries: DataFrame, over: Sequence[str], key: str, rows: str, last: str, name: str) -> DataFrame:
+    """``summaries`` with what comes before each of them within ``over``, in the order of ``key``."""
+    across = Window.partitionBy(*over).orderBy(F.col(key).asc_nulls_last())
+    return summaries.withColumns({
+        f"_s_{name}_rows": F.coalesce(
+            F.sum(rows).over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        f"_s_{name}_last": F.lag(last).over(across)})
+
+
 def sequence_with_prior(df: DataFrame, group: str, order: Sequence[str], lag_columns: Sequence[str],
-                        rn_name: str, prior_prefix: str = "prior_") -> DataFrame:
+                        rn_name: str, prior_prefix: str = "prior_", prefix: int = PREFIX) -> DataFrame:
     """Add ``rn_name`` (1-based order within ``group``) and ``prior_<c>`` for each of
     ``lag_columns`` (value on the previous row of the same group).
 
     ``order``: columns, all ascending with NULLs last; together they should tell rows apart.
-    ``group`` must not be NULL (filter such rows first)."""
+    ``group`` must not be NULL (filter such rows first). ``prefix``: characters of the second
+    order key that buckets are cut by; it decides how finely rows of one group and first key are
+    spread and leaves the result as it is."""
     slice_key, rest = order[0], order[1:]
-    # NULLs last in a struct comparison: the flag goes before the value.
-    rank = F.struct(*[x for c in rest for x in (F.col(c).isNull(), F.col(c))]) if rest else F.lit(0)
-    slices = df.groupBy(F.col(group).alias("_s_group"), F.col(slice_key).alias("_s_key")).agg(
-        F.count(F.lit(1)).alias("_s_rows"),
-        F.max_by(F.struct(*lag_columns), rank).alias("_s_last"))
-    across = Window.partitionBy("_s_group").orderBy(F.col("_s_key").asc_nulls_last())
-    before = slices.select(
-        "_s_group", "_s_key",
-        F.coalesce(F.sum("_s_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s_offset"),
-        F.lag("_s_last").over(across).alias("_s_carry"))
-    within = Window.partitionBy(group, slice_key).orderBy(*(_ascending(rest) or [F.lit(0)]))
-    numbered = df.withColumns({
+    bucketed = df.withColumn("_s_bucket", _bucket(df, rest, prefix))
+    buckets = bucketed.groupBy(F.col(group).alias("_s_group"), F.col(slice_key).alias("_s_key"),
+                               F.col("_s_bucket").alias("_s_cut")).agg(
+        F.count(F.lit(1)).alias("_s_rows"), F.max_by(F.struct(*lag_columns), _rank(rest)).alias("_s_end"))
+    keys = buckets.groupBy("_s_group", "_s_key").agg(
+        F.sum("_s_rows").alias("_s_key_rows"),
+        F.max_by("_s_end", _rank(["_s_cut"])).alias("_s_key_end"))
+    by_key = _carried(keys, ["_s_group"], "_s_key", "_s_key_rows", "_s_key_end", "outer").select(
+        F.col("_s_group").alias("_k_group"), F.col("_s_key").alias("_k_key"), "_s_outer_rows", "_s_outer_last")
+    by_bucket = _carried(buckets, ["_s_group", "_s_key"], "_s_cut", "_s_rows", "_s_end", "inner")
+    before = by_bucket.join(
+        by_key, (F.col("_s_group") == F.col("_k_group")) & F.col("_s_key").eqNullSafe(F.col("_k_key"))
+    ).select("_s_group", "_s_key", "_s_cut", (F.col("_s_outer_rows") + F.col("_s_inner_rows")).alias("_s_offset"),
+             F.coalesce("_s_inner_last", "_s_outer_last").alias("_s_carry"))
+    within = Window.partitionBy(group, slice_key, "_s_bucket").orderBy(*(_ascending(rest) or [F.lit(0)]))
+    numbered = bucketed.withColumns({
         "_s_local": F.row_number().over(within),
         **{f"_s_lag_{c}": F.lag(c).over(within) for c in lag_columns}})
     joined = numbered.join(
-        before, (F.col(group) == F.col("_s_group")) & F.col(slice_key).eqNullSafe(F.col("_s_key")), "left")
+        before, (F.col(group) == F.col("_s_group")) & F.col(slice_key).eqNullSafe(F.col("_s_key"))
+        & F.col("_s_bucket").eqNullSafe(F.col("_s_cut")), "left")
     first = F.col("_s_local") == 1
     return joined.select(
         *df.columns,

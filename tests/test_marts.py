@@ -115,3 +115,28 @@ def test_activity_lists_and_sums_by_day_equal_direct(spark):
         assert (got["deal_types_observed"], got["sectors_touched"]) == (r["types"], r["labels"])
         assert (got["distinct_target_sectors"], got["total_deal_volume_mm"]) == (r["sectors"], r["vol"])
     assert len(out) == direct.count() == 12
+
+
+def test_sequence_of_one_group_and_one_key_is_spread(spark):
+    """Every row has the same group and the same first key, or none: buckets of the second key share the work."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from dealhouse.operators.sequence import sequence_with_prior
+
+    n = 400_000
+    i = F.col("id")
+    df = spark.range(0, n, numPartitions=8).select(
+        F.lit("T1").alias("g"), F.when(i % 2 == 0, F.lit("2020-01-01").cast("date")).alias("d"),
+        F.when(i % 1000 != 0, F.concat(F.lit("TXN-"), F.lpad(F.xxhash64(i).bitwiseAND(0xFFFFF).cast("string"), 8, "0"))).alias("k"),
+        i.alias("tie"), F.when(i % 5 != 0, i % 7).alias("v"))
+    cols = ["g", "d", "k", "tie", "v", "rn", "prior_k", "prior_v"]
+    w = Window.partitionBy("g").orderBy(*[F.col(c).asc_nulls_last() for c in ("d", "k", "tie")])
+    plain = df.withColumns({"rn": F.row_number().over(w).cast("bigint"),
+                            "prior_k": F.lag("k").over(w), "prior_v": F.lag("v").over(w)}).select(cols)
+    for prefix in (3, 10):
+        ours = sequence_with_prior(df, "g", ["d", "k", "tie"], ["k", "v"], "rn", prefix=prefix).select(cols)
+        both = ours.withColumn("side", F.lit(1)).unionByName(plain.withColumn("side", F.lit(-1)))
+        assert both.groupBy(cols).agg(F.sum("side").alias("s"), F.count("*").alias("n")).filter("s <> 0 or n <> 2").count() == 0
+    largest = df.groupBy("g", "d", F.substring("k", 1, 10)).count().agg(F.max("count")).first()[0]
+    assert largest < n / 50
