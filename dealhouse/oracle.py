@@ -776,3 +776,41 @@ def _width_sql(raw: str) -> str:
 
 
 ORACLE["chk_csv_width"] = with_ctes(list(_RAW_COLUMNS), "\nUNION ALL\n".join(_width_sql(r) for r in _RAW_COLUMNS))
+
+# --- checks against what a sector or a country has ----------------------------
+
+_RATIOS = ("r AS (SELECT sector, CASE WHEN employee_count > 0 THEN ltm_revenue_mm / employee_count END AS v "
+           "FROM stg_targets)")
+ORACLE["size_vs_headcount_by_sector"] = with_ctes(["stg_targets"], f"""
+SELECT sector, count(v) AS rows_with_ratio,
+       count(*) FILTER (v < q1 - (q3 - q1)) AS below, count(*) FILTER (v > q3 + (q3 - q1)) AS above
+FROM (SELECT sector, v, quantile_cont(v, 0.25) OVER s AS q1, quantile_cont(v, 0.75) OVER s AS q3
+      FROM (WITH {_RATIOS} SELECT * FROM r) WINDOW s AS (PARTITION BY sector))
+GROUP BY sector""")
+ORACLE["size_vs_headcount_sketch"] = with_ctes(["stg_targets"], f"""
+SELECT sector, count(v) AS rows_with_ratio, true AS within_error
+FROM (WITH {_RATIOS} SELECT * FROM r) WHERE v IS NOT NULL GROUP BY sector""")
+ORACLE["geography_consistency"] = """
+WITH h AS (SELECT r_name AS country, n_name AS sub, n_nationkey, n_regionkey
+           FROM nation JOIN region ON r_regionkey = n_regionkey),
+offices AS (
+  SELECT CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 23 = 0 THEN ' , ;'
+              WHEN c_custkey % 19 = 0 THEN sub || ', Atlantis' WHEN c_custkey % 17 = 0 THEN 'Atlantis; ' || country
+              WHEN c_custkey % 13 = 0 THEN sub || ', ' || o.r_name WHEN c_custkey % 11 = 0 THEN sub
+              WHEN c_custkey % 7 = 0 THEN lower(country || ' / ' || sub) ELSE sub || ',' || country END AS hq
+  FROM customer JOIN h ON n_nationkey = c_nationkey JOIN region o ON o.r_regionkey = (n_regionkey + 1) % 5),
+named AS (
+  SELECT DISTINCT hq, upper(trim(x)) AS part
+  FROM (SELECT DISTINCT hq, unnest(regexp_split_to_array(hq, '[,/;]')) AS x FROM offices) WHERE trim(x) <> ''),
+judged AS (
+  SELECT hq, part, part IN (SELECT country FROM h) AS land, part IN (SELECT sub FROM h) AS region_name,
+         EXISTS (SELECT 1 FROM h JOIN named b ON b.part = h.country WHERE b.hq = named.hq AND h.sub = named.part) AS fits
+  FROM named),
+verdicts AS (
+  SELECT hq, CASE WHEN bool_or(land) AND bool_or(region_name AND NOT land AND NOT fits) THEN 'mismatch'
+                  WHEN bool_or(NOT land AND NOT region_name) THEN 'unknown'
+                  WHEN bool_or(land) AND bool_or(region_name AND NOT land) THEN 'consistent' ELSE 'partial' END AS verdict
+  FROM judged GROUP BY hq)
+SELECT coalesce(verdict, 'missing') AS verdict, count(DISTINCT coalesce(o.hq, '-')) AS addresses,
+       count(*) AS acquirers
+FROM offices o LEFT JOIN verdicts v ON v.hq = o.hq GROUP BY 1"""

@@ -621,3 +621,44 @@ def _csv_width(m: Model) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# --- checks against what a sector or a country has --------------------------------
+from dealhouse.operators import bands as _bands  # noqa: E402
+from dealhouse.operators import geography as _geo  # noqa: E402
+
+_REVENUE_PER_HEAD = ("ltm_revenue_mm", "employee_count")
+
+
+@register("size_vs_headcount_by_sector")
+def _size_by_sector(m: Model) -> DataFrame:
+    """Targets below and above the band of revenue per head that their sector's exact quartiles span."""
+    return _bands.sides_by_group(m.staged("targets"), "sector", _bands.per_head(*_REVENUE_PER_HEAD))
+
+
+@register("size_vs_headcount_sketch")
+def _size_sketch(m: Model) -> DataFrame:
+    """The same quartiles from mergeable sketches, held against exact ranks."""
+    return _bands.sketch_ranks(m.staged("targets"), "sector", _bands.per_head(*_REVENUE_PER_HEAD))
+
+
+@register("geography_consistency")
+def _geography(m: Model) -> DataFrame:
+    """Headquarters as addresses (some in another order, short of a part, or with a region of another
+    country) against the hierarchy of regions and nations."""
+    t, k = m.tables, F.col("c_custkey")
+    hierarchy = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("r_name").alias("country"), F.col("n_name").alias("subdivision"), "n_nationkey", "n_regionkey")
+    other = t.region.select(F.col("r_regionkey").alias("_next"), F.col("r_name").alias("other"))
+    places = hierarchy.join(other, F.col("_next") == (F.col("n_regionkey") + 1) % 5)
+    text = (F.when(k % 29 == 0, F.lit(None)).when(k % 23 == 0, F.lit(" , ;"))
+            .when(k % 19 == 0, F.concat("subdivision", F.lit(", Atlantis")))
+            .when(k % 17 == 0, F.concat(F.lit("Atlantis; "), F.col("country")))
+            .when(k % 13 == 0, F.concat("subdivision", F.lit(", "), "other"))
+            .when(k % 11 == 0, F.col("subdivision"))
+            .when(k % 7 == 0, F.concat(F.lower("country"), F.lit(" / "), F.lower("subdivision")))
+            .otherwise(F.concat("subdivision", F.lit(","), "country")))
+    offices = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(text.alias("headquarters"))
+    verdicts = _geo.address_verdicts(offices, "headquarters", hierarchy.select("country", "subdivision"))
+    return verdicts.groupBy("verdict").agg(
+        F.count(F.lit(1)).alias("addresses"), F.sum("rows").alias("acquirers"))

@@ -36,3 +36,7 @@ class DriverTables:
     @cached_property
     def nation(self) -> DataFrame:
         return self.table("nation")
+
+    @cached_property
+    def region(self) -> DataFrame:
+        return self.table("region")
