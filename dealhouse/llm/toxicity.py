@@ -3,23 +3,27 @@
 Labels are per document, so tokens are labelled at a distance: words and word beginnings
 ("cues") that stand in toxic documents far more often than chance allows mark their
 tokens as toxic there. A two-state chain is fitted to these labelled tokens; its
-forward-backward marginals give offending spans, and their sum, the expected number of
-toxic tokens, gives the document score through a calibration on the same rows.
+forward-backward marginals give offending spans. Their sum is the expected number of toxic
+tokens; what it has beyond that of a text of the same length without cues gives the document
+score, through a calibration on the same rows. So all documents without cues score alike.
 
 Most tokens carry no cue. They share one transition matrix, so forward and backward
 passes step over a run of them with a power of that matrix: the result is that of the
 whole chain, at the cost of the cue tokens alone.
 
-Fitting uses at most ``TRAIN_ROWS`` labelled documents, chosen by hash; every document is
-scored whole.
+Fitting uses at most ``TRAIN_ROWS`` labelled texts, chosen by hash, whatever number of rows
+repeats an id or a text; every document is scored whole.
 """
 from __future__ import annotations
 
+import logging
 import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +34,15 @@ from pyspark.sql import types as T
 
 from dealhouse.llm.common import bound_batches, map_rows, materialize
 
-TRAIN_ROWS = 20_000   # labelled documents that the model is fitted on, at most
+LOG = logging.getLogger(__name__)
+
+TRAIN_ROWS = 20_000   # labelled texts that the model is fitted on, at most
+GAP = 1e-3            # log likelihood that the fitted chain may lack of the optimum, over the whole sample
 MAX_CUES = 4096       # cues in a model, at most: the strongest
 MIN_EVIDENCE = 4.0    # -log10 of the chance of a cue's count in toxic documents
 MIN_TOXIC_DOCS = 3
 PREFIXES = range(4, 9)
+RARE = -6.0           # log odds of state 1 without a cue where fitting begins; where it ends does not depend on it
 EDGES = (1.5, 2.5, 4.0, 6.0)  # log odds that part the cue classes
 CLASSES = 2 * (len(EDGES) + 1)
 KNOWN_WORDS = 100_000  # words whose class a task remembers
@@ -56,39 +64,51 @@ def features(word: str) -> list[str]:
 
 # --- labelled tokens ------------------------------------------------------------------
 
+def text_key(text: str | None) -> bytes:
+    """Equal for texts with equal tokens."""
+    return xxhash.xxh3_128_digest(" ".join(tokens(text)).encode("utf-8", "surrogatepass"))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """``(sample_id, toxic)`` of the labelled rows to fit on, exact copies (equal tokens) once each.
+    """``(sample_id, toxic, text)`` of the labelled rows to fit on, exact copies (equal tokens) once each.
 
-    Rows whose crc32(doc_id) mod 4 is 2 are held out. A document labelled both ways is toxic.
+    Rows whose crc32(doc_id) mod 4 is 2 are held out. A document labelled both ways is toxic. Ids are taken by
+    hash, then texts by hash, so an id with any number of rows and texts brings no more than ``train_rows`` rows.
     """
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
              .withColumn("at", F.xxhash64("doc_id")))
     n = known.count()
     share = min(1.0, 1.2 * train_rows / max(n, 1))
-    sample = known.filter(F.pmod("at", F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("at").limit(train_rows)
-    sample = materialize(sample.select(F.col("doc_id").alias("sample_id"), "toxic"), "toxic-sample")
+    ids = known.filter(F.pmod("at", F.lit(1_000_000)) < int(share * 1_000_000)).orderBy("at").limit(train_rows)
+    ids = materialize(ids.select(F.col("doc_id").alias("sample_id"), "toxic"), "toxic-ids")
+    labelled = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("sample_id"))
 
     def keys(source: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, toxic, text in source:
-            yield doc_id, toxic, xxhash.xxh3_128_hexdigest(" ".join(tokens(text)).encode("utf-8", "surrogatepass"))
+            yield doc_id, toxic, text_key(text)
+
+    def texts(source: Iterator[tuple]) -> Iterator[tuple]:
+        for doc_id, toxic, text in source:
+            yield doc_id, toxic, text_key(text), text
 
-    keyed = map_rows(_sampled(docs, sample), ["sample_id", "toxic", "text"], keys, T.StructType([
-        sample.schema["sample_id"], sample.schema["toxic"], T.StructField("key", T.StringType())]))
-    return materialize(keyed.groupBy("key", "toxic").agg(F.min("sample_id").alias("sample_id"))
-                       .select("sample_id", "toxic"), "toxic-sample")
+    columns = ["sample_id", "toxic", "key"]
+    fields = [ids.schema["sample_id"], ids.schema["toxic"], T.StructField("key", T.BinaryType())]
+    chosen = materialize(map_rows(labelled, ["sample_id", "toxic", "text"], keys, T.StructType(fields))
+                         .groupBy("key", "toxic").agg(F.min("sample_id").alias("sample_id"))
+                         .orderBy(F.xxhash64("key"), "key", "toxic").limit(train_rows).select(columns), "toxic-keys")
+    with_text = map_rows(labelled, ["sample_id", "toxic", "text"], texts,
+                         T.StructType([*fields, T.StructField("text", T.StringType())]))
+    # Repeats of a chosen text are one row a task before they meet
+    return materialize(with_text.join(F.broadcast(chosen), columns).groupBy(columns).agg(F.max("text").alias("text"))
+                       .select("sample_id", "toxic", "text"), "toxic-sample")
 
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def _sampled(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """Sampled rows with their text; the sample is ``TRAIN_ROWS`` rows of two numbers at most."""
-    return docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("sample_id"))
-
-
-def learn_cues(docs: DataFrame, sample: DataFrame) -> dict[str, float]:
+def learn_cues(sample: DataFrame) -> dict[str, float]:
     """The strongest cues and their log odds, from document counts over the sample."""
     def count(source: Iterator[tuple]) -> Iterator[tuple]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
@@ -103,7 +123,7 @@ def learn_cues(docs: DataFrame, sample: DataFrame) -> dict[str, float]:
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
         return {}
-    counts = map_rows(_sampled(docs, sample), ["toxic", "text"], count, T.StructType([
+    counts = map_rows(sample, ["toxic", "text"], count, T.StructType([
         T.StructField("cue", T.StringType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
     sums = counts.groupBy("cue").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     share, other = F.col("a") / (F.col("a") + F.col("b")), F.lit(n_toxic / (n_toxic + n_clean))
@@ -184,23 +204,68 @@ class _Run:
         return self.p + (self.ratio ** n)[:, None, None] * self.q
 
 
-def log_partition(theta: np.ndarray, n: np.ndarray, gaps: np.ndarray, classes: np.ndarray) -> float:
-    """Sum of log Z over documents: ``n`` tokens, then per cue the run before it and its class (0: no more)."""
+def _forward(theta: np.ndarray, n: np.ndarray, gaps: np.ndarray,
+             classes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Log Z by document, the forward vectors before each run (the last: after the last cue), tokens left after it.
+
+    ``n`` tokens, then per cue the run before it and its class (0: no more)."""
     start, _, each = _steps(theta)
     run = _Run(each[0])
-    alpha = np.repeat(start[None], len(n), axis=0)
+    vectors = [np.repeat(start[None], len(n), axis=0)]
     log_z = np.zeros(len(n))
     left = n.astype(float).copy()
     for k in range(gaps.shape[1]):
-        live = classes[:, k] > 0
+        alpha, live = vectors[-1].copy(), classes[:, k] > 0
         stepped = np.einsum("di,dij->dj", alpha[live], run.power(gaps[live, k]))
         stepped = np.einsum("di,dij->dj", stepped, each[classes[live, k]])
         size = stepped.sum(axis=1)
         alpha[live] = stepped / size[:, None]
         log_z[live] += np.log(size) + gaps[live, k] * run.log_top
         left[live] -= gaps[live, k] + 1
-    alpha = np.einsum("di,dij->dj", alpha, run.power(left))
-    return float((log_z + left * run.log_top + np.log(alpha.sum(axis=1))).sum())
+        vectors.append(alpha)
+    ends = np.einsum("di,dij->dj", vectors[-1], run.power(left))
+    return log_z + left * run.log_top + np.log(ends.sum(axis=1)), vectors, left
+
+
+def log_partition(theta: np.ndarray, n: np.ndarray, gaps: np.ndarray, classes: np.ndarray) -> float:
+    """Sum of log Z over documents, by the forward pass."""
+    return float(_forward(theta, n, gaps, classes)[0].sum())
+
+
+def expected_counts(theta: np.ndarray, n: np.ndarray, gaps: np.ndarray, classes: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum of log Z over documents and, by forward and backward passes, how often each parameter acts on a path:
+    the gradient of that sum."""
+    start, move, each = _steps(theta)
+    run = _Run(each[0])
+    log_z, vectors, left = _forward(theta, n, gaps, classes)
+    moves, held = np.zeros((2, 2)), np.zeros(1 + CLASSES)
+
+    def through(alpha: np.ndarray, size: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Adds the moves within runs of ``size`` tokens; the backward vectors before them."""
+        # alpha M^j and M^(size-1-j) end are sums of a fixed part and one that shrinks by ratio^j: sum over j at once
+        r = run.ratio
+        whole, to_p, to_q = r ** size, alpha @ run.p, alpha @ run.q
+        p_end, q_end = end @ run.p.T, end @ run.q.T
+        back = p_end + whole[:, None] * q_end
+        z = (alpha * back).sum(axis=1)
+        flat, edge = (size / z)[:, None], ((1 - whole) / (1 - r) / z)[:, None]
+        both = (np.where(size > 0, size * r ** np.maximum(size - 1, 0), 0.0) / z)[:, None]
+        inside = (to_p * flat + to_q * edge).T @ p_end + (to_p * edge + to_q * both).T @ q_end
+        moves[:] += inside * move / run.top
+        return back / back.sum(axis=1)[:, None]
+
+    beta = through(vectors[-1], left, np.ones((len(n), 2)))
+    for k in reversed(range(gaps.shape[1])):
+        live = classes[:, k] > 0
+        alpha, c, size = vectors[k][live], classes[live, k], gaps[live, k].astype(float)
+        step = np.einsum("di,dij->dj", alpha, run.power(size))[:, :, None] * each[c] * beta[live][:, None, :]
+        step /= step.sum(axis=(1, 2))[:, None, None]
+        moves += step.sum(axis=0)
+        held += np.bincount(c, weights=step[:, :, 1].sum(axis=1), minlength=len(held))
+        beta[live] = through(alpha, size, np.einsum("dij,dj->di", each[c], beta[live]))
+    first = start * beta
+    begun = float((first[:, 1] / first.sum(axis=1)).sum())
+    return float(log_z.sum()), np.array([begun, moves[0, 1], moves[1, 0], moves[1, 1], *held[1:]])
 
 
 def _run_marginals(run: _Run, alpha: np.ndarray, n: int, end: np.ndarray) -> tuple[float, list[tuple[int, float]]]:
@@ -282,15 +347,15 @@ def label_counts(n: int, hits: list[tuple[int, int]], toxic: int) -> np.ndarray:
     return counts
 
 
-def fit_chain(sequences: DataFrame, steps: int = 24, ridge: float = 1.0) -> np.ndarray:
-    """Maximum likelihood with a ridge, by sign-driven steps; each needs one pass over ``sequences``.
+def fit_chain(sequences: DataFrame, ridge: float = 1.0, gap: float = GAP) -> np.ndarray:
+    """Maximum likelihood with a ridge by quasi-Newton steps; each needs one pass over ``sequences``, which returns
+    the likelihood and its gradient, so the driver adds vectors of fixed size.
 
-    A pass returns one number per parameter and task, so the driver adds vectors of fixed size.
+    The loss is convex and the ridge bounds its curvature from below, so a gradient g proves that at most
+    ``|g|^2 / (2 ridge)`` is lacking: steps go on until that is ``gap`` or less. Where rounding ends the descent
+    before, a warning tells what may be lacking.
     """
-    size = 4 + CLASSES
-    small = 1e-4
-
-    def total(fn: Callable[[tuple], np.ndarray], width: int) -> np.ndarray:
+    def total(fn: Callable[[list], np.ndarray], width: int) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros(width)
             for batch in batches:
@@ -303,28 +368,55 @@ def fit_chain(sequences: DataFrame, steps: int = 24, ridge: float = 1.0) -> np.n
         row = parts.agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(width)]).first()
         return np.array([x or 0.0 for x in row])
 
-    observed = total(lambda rows: sum(label_counts(n, list(zip(at, c, strict=True)), t) for n, at, c, t in rows), size)
+    size = 4 + CLASSES
+
+    def labelled(rows: list) -> np.ndarray:
+        on_path = sum(label_counts(n, list(zip(at, c, strict=True)), t) for n, at, c, t in rows)
+        at_all = np.bincount(np.fromiter(chain.from_iterable(r[2] for r in rows), dtype=np.int64), minlength=1 + CLASSES)
+        return np.concatenate((on_path, at_all[1:]))
 
-    def partitions(thetas: list[np.ndarray]) -> Callable[[list], np.ndarray]:
+    counted = total(labelled, size + CLASSES)
+    observed, tokens_of_class = counted[:size], counted[size:]
+
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         def fn(rows: list) -> np.ndarray:
-            out = np.zeros(len(thetas))
+            out = np.zeros(1 + size)
             for part in _alike(rows):
-                n, gaps, classes = _padded(part)
-                out += [log_partition(theta, n, gaps, classes) for theta in thetas]
+                log_z, counts = expected_counts(theta, *_padded(part))
+                out += [log_z, *counts]
             return out
-        return fn
-
-    theta, step, last = np.zeros(size), np.full(size, 0.5), np.zeros(size)
-    theta[1], theta[0] = -4.0, -4.0
-    for _ in range(steps):
-        around = [theta, *(theta + small * np.eye(size)[i] for i in range(size))]
-        values = total(partitions(around), len(around))
-        slope = (values[1:] - values[0]) / small - observed + ridge * theta
-        same = np.sign(slope) * np.sign(last)
-        step = np.clip(np.where(same > 0, step * 1.4, np.where(same < 0, step * 0.5, step)), 1e-3, 2.0)
-        slope = np.where(same < 0, 0.0, slope)
-        theta = theta - np.sign(slope) * step
-        last = slope
+
+        sums = total(fn, 1 + size)
+        return (float(sums[0] - observed @ theta + ridge / 2 * theta @ theta),
+                sums[1:] - observed + ridge * theta, sums[1:])
+
+    # Begins where each token's chance of state 1 is its class's share of toxic labels
+    theta = np.zeros(size)
+    theta[:4] = RARE
+    theta[4:] = np.log((observed[4:] + 0.5) / (tokens_of_class - observed[4:] + 0.5)) - RARE
+    theta[4:][tokens_of_class == 0] = 0.0
+    theta[2] = 0.0
+    value, slope, counts = loss(theta)
+    inverse = np.diag(1 / (counts + ridge))  # of counts that are rare and apart; steps mend it
+    while slope @ slope > 2 * ridge * gap:
+        way = -inverse @ slope
+        way *= min(1.0, 4.0 / np.abs(way).max())
+        length = 1.0
+        while True:
+            ahead = theta + length * way
+            new_value, new_slope, _ = loss(ahead)
+            if new_value <= value + 1e-4 * length * float(slope @ way):
+                break
+            length /= 3
+            if length < 1e-6:
+                LOG.warning("toxicity chain: the log likelihood may lack up to %.3g", slope @ slope / (2 * ridge))
+                return theta
+        moved, turned = ahead - theta, new_slope - slope
+        along = float(moved @ turned)
+        if along > 0:
+            mend = np.eye(size) - np.outer(moved, turned) / along
+            inverse = mend @ inverse @ mend.T + np.outer(moved, moved) / along
+        theta, value, slope = ahead, new_value, new_slope
     return theta
 
 
@@ -341,19 +433,36 @@ def _alike(rows: list) -> Iterator[list]:
 
 
 def _padded(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    width = max(len(r[1]) for r in rows)
-    gaps, classes = np.zeros((len(rows), width)), np.zeros((len(rows), width), dtype=np.int64)
-    for i, (_, at, c, _) in enumerate(rows):
-        gaps[i, :len(at)] = np.diff([-1, *at]) - 1
-        classes[i, :len(c)] = c
+    sizes = np.array([len(r[1]) for r in rows])
+    filled = np.arange(sizes.max()) < sizes[:, None]
+    places, classes = np.zeros(filled.shape, dtype=np.int64), np.zeros(filled.shape, dtype=np.int64)
+    places[filled] = np.fromiter(chain.from_iterable(r[1] for r in rows), dtype=np.int64)
+    classes[filled] = np.fromiter(chain.from_iterable(r[2] for r in rows), dtype=np.int64)
+    gaps = np.where(filled, np.diff(places, axis=1, prepend=-1) - 1, 0)
     return np.array([r[0] for r in rows]), gaps, classes
 
 
 # --- document scores ------------------------------------------------------------------
 
-def _terms(expected: float, n: int) -> tuple[float, ...]:
-    """What the calibration sees: expected toxic tokens, and how many in a thousand."""
-    return 1.0, math.log1p(4 * expected), math.log1p(1000 * expected / (n + 5)), float(expected < 0.05)
+def _terms(excess: float, n: int) -> tuple[float, ...]:
+    """What the calibration sees: toxic tokens beyond those of a text without cues, and how many in a thousand."""
+    return 1.0, math.log1p(4 * excess), math.log1p(1000 * excess / (n + 5)), float(excess < 0.05)
+
+
+def excess_tagger(theta: np.ndarray) -> Callable[[int, list[tuple[int, int]]], tuple[float, dict[int, float]]]:
+    """A function from a text's length and cues to the expected toxic tokens beyond those of a text of that length
+    without cues (0 at least, and without cues), and the chances of the likely ones by position."""
+    @lru_cache(maxsize=KNOWN_WORDS)
+    def plain(n: int) -> float:
+        return tagged(theta, n, [])[0]
+
+    def excess(n: int, hits: list[tuple[int, int]]) -> tuple[float, dict[int, float]]:
+        if not hits:
+            return 0.0, {}
+        total, sure = tagged(theta, n, hits)
+        return max(0.0, total - plain(n)), sure
+
+    return excess
 
 
 @dataclass
@@ -362,15 +471,20 @@ class ToxicityModel:
     theta: np.ndarray = field(default_factory=lambda: np.zeros(4 + CLASSES))
     weights: tuple[float, ...] | None = None  # None: nothing was learned, every score is 0
 
-    def tag(self, tag: Callable, text: str | None) -> tuple[int, float, dict[int, float]]:
-        """Number of tokens, expected number of toxic ones, and the likely ones by position."""
-        words = tokens(text)
-        return len(words), *(tagged(self.theta, len(words), tag(words)) if self.cues else (0.0, {}))
+    def reader(self) -> Callable[[str | None], tuple[int, float, dict[int, float]]]:
+        """A function from a text to its number of tokens, the excess of toxic ones, and the likely ones by position."""
+        tag, excess = tagger(self.cues), excess_tagger(self.theta)
+
+        def read(text: str | None) -> tuple[int, float, dict[int, float]]:
+            words = tokens(text)
+            return len(words), *excess(len(words), tag(words))
+
+        return read
 
-    def score(self, expected: float, n: int) -> float:
+    def score(self, excess: float, n: int) -> float:
         if self.weights is None:
             return 0.0
-        x = sum(w * t for w, t in zip(self.weights, _terms(expected, n), strict=True))
+        x = sum(w * t for w, t in zip(self.weights, _terms(excess, n), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
@@ -380,7 +494,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     Without toxic and clean labelled rows the model is empty and scores 0.
     """
     sample = training_sample(docs, labels, train_rows)
-    cues = learn_cues(docs, sample)
+    cues = learn_cues(sample)
     if not cues:
         return ToxicityModel()
 
@@ -392,14 +506,15 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
             yield len(words), [at for at, _ in found], [c for _, c in found], toxic
 
     ints = T.ArrayType(T.IntegerType())
-    sequences = materialize(map_rows(_sampled(docs, sample), ["toxic", "text"], compact, T.StructType([
+    sequences = materialize(map_rows(sample, ["toxic", "text"], compact, T.StructType([
         T.StructField("n", T.IntegerType()), T.StructField("at", ints), T.StructField("classes", ints),
         T.StructField("toxic", T.IntegerType())])), "toxic-sequences")
     theta = fit_chain(sequences)
 
     def expect(source: Iterator[tuple]) -> Iterator[tuple]:
+        excess = excess_tagger(theta)
         for n, at, classes, toxic in source:
-            total, _ = tagged(theta, n, list(zip(at, classes, strict=True)))
+            total, _ = excess(n, list(zip(at, classes, strict=True)))
             yield min(int(8 * math.log2(1 + total)), 127), int(2 * math.log2(1 + n)), toxic, total, n
 
     binned = map_rows(sequences, ["n", "at", "classes", "toxic"], expect, T.StructType([
@@ -432,11 +547,11 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     document without cues.
     """
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
-        tag = tagger(model.cues)
+        read = model.reader()
         for doc_id, text in source:
-            n, expected, sure = model.tag(tag, text)
+            n, excess, sure = read(text)
             spans = [(m.start(), m.end(), sure[i]) for i, m in enumerate(TOKEN.finditer(text)) if i in sure] if sure else []
-            yield doc_id, model.score(expected, n), [{"start": s, "end": e, "chance": p} for s, e, p in spans]
+            yield doc_id, model.score(excess, n), [{"start": s, "end": e, "chance": p} for s, e, p in spans]
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                          T.StructField("chance", T.DoubleType())])
@@ -449,14 +564,14 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
     text_at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tag = tagger(model.cues)
+        read = model.reader()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 mask = []
                 for text in part.column(text_at).to_pylist():
-                    n, expected, _ = model.tag(tag, text)
-                    mask.append(model.score(expected, n) < threshold)
+                    n, excess, _ = read(text)
+                    mask.append(model.score(excess, n) < threshold)
                 yield part.filter(pa.array(mask, type=pa.bool_()))
 
     return bound_batches(docs).mapInArrow(keep, docs.schema)

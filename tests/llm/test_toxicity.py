@@ -48,6 +48,62 @@ def test_label_counts():
     assert not tx.label_counts(6, [(1, 2)], 0).any()
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_expected_counts_equal_all_paths(seed):
+    rng = np.random.default_rng(seed)
+    theta = rng.normal(size=4 + tx.CLASSES)
+    sequences = [[0], [0, 0, 0], [3], [2, 0, 0, 5, 5, 0, 0], [0, 0, 7, 1], []]
+    rows = [(len(s), [i for i, c in enumerate(s) if c], [c for c in s if c], 0) for s in sequences]
+    got = tx.expected_counts(theta, *tx._padded(rows))
+    eps = 1e-5
+
+    def log_z(t):
+        return sum(np.log(sum(w for _, w in paths(t, s))) for s in sequences if s)
+
+    want = [(log_z(theta + eps * e) - log_z(theta - eps * e)) / (2 * eps) for e in np.eye(len(theta))]
+    start = np.exp(theta[0]) / (1 + np.exp(theta[0]))  # the empty text's own start
+    want[0] += start
+    assert got[0] == pytest.approx(log_z(theta) + np.log(1 + np.exp(theta[0])))
+    assert got[1] == pytest.approx(want, abs=1e-6)
+
+
+def test_the_fitted_chain_is_the_optimum(spark):
+    """The ridge makes the loss strongly convex: a brute-force gradient g proves the optimum within |g| of the fit."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(40):
+        n = rng.randrange(1, 8)
+        classes = [rng.choice([0, 0, 1, 3, 6, tx.CLASSES]) for _ in range(n)]
+        hits = [(i, c) for i, c in enumerate(classes) if c]
+        rows.append((n, [i for i, _ in hits], [c for _, c in hits], int(rng.random() < 0.5), classes))
+    schema = "n int, at array<int>, classes array<int>, toxic int"
+    theta = tx.fit_chain(spark.createDataFrame([r[:4] for r in rows], schema).repartition(3))
+    observed = sum(tx.label_counts(n, list(zip(at, c)), t) for n, at, c, t, _ in rows)
+
+    def loss(t):
+        return sum(np.log(sum(w for _, w in paths(t, s))) for *_, s in rows) - observed @ t + t @ t / 2
+
+    eps = 1e-4
+    slope = np.array([(loss(theta + eps * e) - loss(theta - eps * e)) / (2 * eps) for e in np.eye(len(theta))])
+    assert slope @ slope / 2 <= 1.1 * tx.GAP
+
+
+def test_an_id_with_many_rows_does_not_widen_the_sample(spark):
+    rows = [(1, f"text number {i} of one id") for i in range(200)] + [(1, "repeated text")] * 200 + [(3, "other"), (4, None)]
+    labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (4, 1, 0)], LABELS)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = tx.training_sample(docs, labels, train_rows=50).collect()
+    assert len(got) == 50 and len({r["text"] for r in got}) == 50
+    whole = tx.training_sample(docs, labels).collect()
+    assert sorted((r["sample_id"], r["text"] or "") for r in whole) == sorted({(i, t or "") for i, t in rows if i != 2})
+
+
+def test_documents_without_cues_score_alike(fitted, make_docs):
+    _, model, _ = fitted
+    docs = make_docs([(1, ""), (2, None), (3, "the river"), (4, "the old road " * 40_000)])
+    assert len({r["score"] for r in tx.score_documents(docs, model).collect()}) == 1
+
+
 def corpus(n=900):
     rng = random.Random(21)
     plain = ["the", "river", "stone", "wall", "green", "tree", "old", "road"] + [f"w{i}" for i in range(200)]
