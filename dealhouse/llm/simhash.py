@@ -55,21 +55,20 @@ def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def as_long(fp: int) -> int:
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``(doc_id, fp)`` per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text in source:
-            fp = simhash(text, shingle_words)
-            yield doc_id, fp - (1 << 64) if fp >> 63 else fp
+            yield doc_id, as_long(simhash(text, shingle_words))
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType())])
     return map_rows(docs, ["doc_id", "text"], rows, schema)
 
 
-def _signed(mask: int) -> int:
-    return mask - (1 << 64) if mask >> 63 else mask
-
-
 def posting_families(levels: int = 4) -> list[list[tuple[int, int, int]]]:
     """Per level, ``(parent, family, mask)``: the bits that a posting of the family shares.
 
@@ -85,7 +84,7 @@ def posting_families(levels: int = 4) -> list[list[tuple[int, int, int]]]:
             blocks = [sum(1 << i for i in free[k * size:(k + 1) * size]) for k in range(4)]
             for x, y in combinations(range(4), 2):
                 found.append((parent, len(found), mask | blocks[x] | blocks[y]))
-        out.append([(p, f, _signed(m)) for p, f, m in found])
+        out.append([(p, f, as_long(m)) for p, f, m in found])
         last = found
     return out
 
@@ -128,6 +127,21 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS, max_posting: int
     return found.distinct()
 
 
+def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+               max_posting: int = MAX_POSTING) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` per row of ``docs``, and ``(fp, root, component_id)`` per fingerprint.
+
+    ``root`` is a component's smallest fingerprint, its identity: where doc_ids repeat, two components may have
+    the same smallest doc_id."""
+    marked = materialize(fingerprints(docs, shingle_words), "simhash")
+    classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    roots = connected_components(link_fingerprints(classes, max_bits, max_posting), "a", "b", "simhash-links")
+    placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked, placed.join(named, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     max_posting: int = MAX_POSTING) -> DataFrame:
     """``(doc_id, fp, component_id)`` per row of ``docs``.
@@ -137,29 +151,44 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     repeated rows stay repeated; a null doc_id never names a component unless all its
     members are null; an empty table gives an empty table.
     """
-    marked = materialize(fingerprints(docs, shingle_words), "simhash")
-    classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    roots = connected_components(link_fingerprints(classes, max_bits, max_posting), "a", "b", "simhash-links")
-    placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(placed.join(named, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id")
+    marked, placed = components(docs, shingle_words, max_bits, max_posting)
+    return marked.join(placed, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs``, less all but the document with the smallest doc_id of each
-    near-duplicate group.
+def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                  max_posting: int = MAX_POSTING) -> DataFrame:
+    """The rows of ``docs``, less all but one row of each near-duplicate group: one with its smallest doc_id.
 
-    A row that repeats both doc_id and text stays once. Rows without a doc_id cannot be
-    named by a group and pass unchanged.
+    Where several rows of a group have that doc_id, the one with the smallest fingerprint stays, of equal
+    fingerprints the one with the smallest text (null first). A doc_id that repeats in several groups is judged
+    in each of them. Rows without a doc_id cannot be named by a group and pass unchanged.
     """
-    groups = near_duplicates(docs, **params).filter("doc_id is not null")
+    marked, placed = components(docs, shingle_words, max_bits, max_posting)
+    groups = marked.filter("doc_id is not null").join(placed, "fp")
     ids = groups.groupBy("doc_id").agg(
         F.max(F.col("doc_id") == F.col("component_id")).alias("_stays"), F.count(F.lit(1)).alias("_rows"))
     odd = materialize(ids.filter("not _stays or _rows > 1").withColumnRenamed("doc_id", "_odd_id"), "simhash-odd")
     joined = docs.join(odd, docs["doc_id"] == F.col("_odd_id"), "left")
     kept = joined.filter("_rows is null").select(docs.columns)
-    if odd.filter("_stays").isEmpty():
+    repeated = odd.filter("_stays").select(F.col("_odd_id").alias("doc_id"))
+    if repeated.isEmpty():
         return kept
-    return kept.unionByName(joined.filter("_stays").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+    leads = (groups.join(repeated, "doc_id", "left_semi").filter("doc_id = component_id")
+             .groupBy("root", "doc_id").agg(F.min("fp").alias("_lead_fp"))
+             .select(F.col("doc_id").alias("_lead_id"), "_lead_fp"))
+    leads = materialize(leads, "simhash-leads")
+
+    def rows(source: Iterator[tuple]) -> Iterator[tuple]:
+        for *row, text in source:
+            yield *row, as_long(simhash(text, shingle_words))
+
+    # Copies of a row collapse in their tasks before they meet
+    again = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text").join(
+        repeated.withColumnRenamed("doc_id", "_odd_id"), F.col("doc_id") == F.col("_odd_id"), "left_semi")
+    with_fp = map_rows(again.select("_row", "doc_id", F.col("text").alias("_order"), "text"),
+                       ["_row", "doc_id", "_order", "text"], rows, T.StructType([
+                           T.StructField("_row", docs.schema), T.StructField("_lead_id", docs.schema["doc_id"].dataType),
+                           T.StructField("_order", T.StringType()), T.StructField("_lead_fp", T.LongType())]))
+    chosen = (with_fp.join(leads, ["_lead_id", "_lead_fp"]).groupBy("_lead_id", "_lead_fp")
+              .agg(F.min_by("_row", F.struct("_order")).alias("_row")))
+    return kept.unionByName(chosen.select("_row.*"))

@@ -110,3 +110,18 @@ def test_one_per_group_keeps_the_smallest(make_docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
     again = sh.one_per_group(make_docs([(1, "q w e"), (1, "q w e"), (2, "q w e"), (3, None)]))
     assert sorted(r["doc_id"] for r in again.collect()) == [1, 3]
+
+
+def test_repeated_ids_are_judged_by_row(make_docs):
+    base = [f"w{i}" for i in range(3000)]
+    near = " ".join(base[:1500] + ["edit"] + base[1501:])
+    base = " ".join(base)
+    assert (brute_simhash(base) ^ brute_simhash(near)).bit_count() <= 2
+    rows = [(3, base), (3, near), (3, near), (5, base), (5, "one of its own kind"), (7, "one of its own kind"),
+            (3, "led by three as well"), (4, "led by three as well"), (8, None), (8, ""), (8, " "), (None, base)]
+    docs = make_docs(rows * 2).withColumn("fp", F.lit("clash")).withColumn("root", F.lit(None).cast("date"))
+    kept = sh.one_per_group(docs)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    lead = min([(brute_simhash(t) - ((1 << 64) if brute_simhash(t) >> 63 else 0), t) for t in (base, near)])[1]
+    got = sorted([(r["doc_id"] or -1, r["text"] or "") for r in kept.collect()])
+    assert got == sorted([(-1, base), (-1, base), (3, lead), (3, "led by three as well"), (5, "one of its own kind"), (8, "")])
