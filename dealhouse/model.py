@@ -13,13 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealhouse.operators import staging as stg
-from dealhouse.operators.rules import FINANCING_BY_DEAL_TYPE
 from dealhouse.plans import marts
 from dealhouse.sources.entities import RAW_BUILDERS
 from dealhouse.sources.tables import DriverTables
 
 # Views whose staging filter would otherwise be rewritten into the view.
 OBSERVED_RAW = frozenset({"transactions"})
+# Rule tables of the order data that stands in for deals: EV/EBITDA bounds by deal type (types that are not listed
+# have none), and the financing that each deal type may have.
+MULTIPLE_BY_DEAL_TYPE = {"1-URGENT": (0.0, 7.0), "2-HIGH": (0.0, 7.5), "5-LOW": (4.0, 100.0)}
+FINANCING_BY_DEAL_TYPE = {"1-URGENT": ("A", "N"), "2-HIGH": ("A", "N", "R"), "3-MEDIUM": ("A", "N", "R"),
+                          "4-NOT SPECIFIED": ("A", "N", "R"), "5-LOW": ("N", "R")}
 # Pinned run timestamp for reproducible stamps in queries and tests.
 RUN_TS = dt.datetime(2025, 1, 1, 0, 0, 0)
 
@@ -72,11 +76,13 @@ class Model:
         return dict(self._check_tables)
 
     def reference_tables(self) -> dict[str, DataFrame]:
-        """Geography, pairs that the rules allow, and the sector tree of the smaller parts."""
+        """Geography, pairs and intervals that the rules allow, and the sector tree of the smaller parts."""
+        bounds = [(k, lo, hi) for k, (lo, hi) in MULTIPLE_BY_DEAL_TYPE.items()]
         pairs = [(k, f) for k, kinds in FINANCING_BY_DEAL_TYPE.items() for f in kinds]
         tree = self.tables.part.filter("p_size <= 45").select(
             F.trim("p_brand").alias("sector"), F.trim("p_type").alias("sub_sector")).distinct()
         return {"nation": self.tables.nation, "ref_sector_tree": tree,
+                "ref_multiple_bounds": self.spark.createDataFrame(bounds, "deal_type string, lo double, hi double"),
                 "ref_deal_financing": self.spark.createDataFrame(pairs, "deal_type string, financing_type string")}
 
     @cached_property

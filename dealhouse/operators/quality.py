@@ -76,11 +76,28 @@ class MatchCheck:
     severity: str = ERROR
 
 
-Check = RuleCheck | UniqueCheck | ForeignKeyCheck | MatchCheck
+@dataclass(frozen=True)
+class IntervalCheck:
+    """Counts rows whose ``value`` lies in none of the intervals that ``ref_table`` lists for the row's ``key``.
+
+    An interval is ``(ref_key, lo, hi)``, ends included, a NULL end open. Keys without an interval, NULL keys and
+    NULL values break nothing."""
+    name: str
+    table: str
+    key: str
+    value: str
+    ref_table: str
+    ref_key: str
+    lo: str = "lo"
+    hi: str = "hi"
+    severity: str = ERROR
+
+
+Check = RuleCheck | UniqueCheck | ForeignKeyCheck | MatchCheck | IntervalCheck
 
 
 RULE, UNIQUE, ORPHAN, PARTNER = range(4)
-KINDS = {RuleCheck: RULE, UniqueCheck: UNIQUE, ForeignKeyCheck: ORPHAN, MatchCheck: PARTNER}
+KINDS = {RuleCheck: RULE, UniqueCheck: UNIQUE, ForeignKeyCheck: ORPHAN, MatchCheck: PARTNER, IntervalCheck: RULE}
 
 
 def _key(values: Sequence[Column]) -> Column:
@@ -102,6 +119,10 @@ def _tallies(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> dict[s
         mine = out.setdefault(c.table, [])
         if isinstance(c, RuleCheck):
             mine.append(_tally(i, F.lit(""), 1, 0, c.violation()))
+        elif isinstance(c, IntervalCheck):
+            value, met = F.col(c.value), F.col(_bounds(i))
+            inside = F.exists(met, lambda b: F.coalesce(value >= b["lo"], F.lit(True)) & F.coalesce(value <= b["hi"], F.lit(True)))  # noqa: B023
+            mine.append(_tally(i, F.lit(""), 1, 0, value.isNotNull() & met.isNotNull() & ~inside))
         elif isinstance(c, UniqueCheck):
             mine.append(_tally(i, _key([F.col(k) for k in c.keys]), 1, 0))
         else:
@@ -115,8 +136,30 @@ def _tallies(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> dict[s
     return out
 
 
+def _bounds(check: int) -> str:
+    return f"_bounds_of_check_{check}"
+
+
+def _with_bounds(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> dict[str, DataFrame]:
+    """Tables whose rows hold the intervals of their key, for each interval check.
+
+    The rules are one row a key, so the join adds no rows; it is a broadcast where their measured size allows, else
+    a sort-merge join that splits hot keys."""
+    out = dict(tables)
+    for i, c in enumerate(checks):
+        if isinstance(c, IntervalCheck):
+            types = tables[c.table].schema
+            lo, hi = (F.col(b).cast(types[c.value].dataType).alias(n) for b, n in ((c.lo, "lo"), (c.hi, "hi")))
+            key = f"_key_of_check_{i}"
+            rules = (tables[c.ref_table].select(F.col(c.ref_key).cast(types[c.key].dataType).alias(key), F.struct(lo, hi).alias("bound"))
+                     .groupBy(key).agg(F.collect_set("bound").alias(_bounds(i))))
+            out[c.table] = out[c.table].join(rules, F.col(c.key) == F.col(key), "left").drop(key)
+    return out
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """A verdict per check, in no order. Checks without rows to look at pass with 0 violations."""
+    tables = _with_bounds(tables, checks)
     parts = [tables[name].select(F.inline(F.array_compact(F.array(*tallies))))
              for name, tallies in _tallies(tables, checks).items()]
     groups = reduce(DataFrame.unionAll, parts).groupBy("check", "key").agg(

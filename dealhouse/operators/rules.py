@@ -2,10 +2,15 @@
 
 Table names are the staged entity names: acquirers, targets, transactions,
 acquirer_financials, sector_multiples; ``raw_*`` for landed strings and
-``nation`` for the geography reference.
+``nation`` for the geography reference; ``ref_*`` for rule tables (``ref_deal_financing``:
+financing that a deal type may have; ``ref_multiple_bounds``: intervals of the multiple by deal type).
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +19,7 @@ from dealhouse.operators.quality import (
     WARN,
     CheckSuite,
     ForeignKeyCheck,
+    IntervalCheck,
     MatchCheck,
     RuleCheck,
     UniqueCheck,
@@ -29,11 +35,6 @@ BUSINESS_DAY_TOLERANCE = 1
 REVENUE_PER_HEAD_BAND_MM = (0.001, 5.0)
 ID_PATTERNS = {"transaction_id": r"^TXN-[0-9]+$", "target_id": r"^TGT-[0-9]+$",
                "acquirer_id": r"^ACQ-[0-9]+$"}
-# EV/EBITDA bounds by deal type; types that are not listed have none.
-MULTIPLE_BY_DEAL_TYPE = {"1-URGENT": (0.0, 7.0), "2-HIGH": (0.0, 7.5), "5-LOW": (4.0, 100.0)}
-# Financing that each deal type may have.
-FINANCING_BY_DEAL_TYPE = {"1-URGENT": ("A", "N"), "2-HIGH": ("A", "N", "R"), "3-MEDIUM": ("A", "N", "R"),
-                          "4-NOT SPECIFIED": ("A", "N", "R"), "5-LOW": ("N", "R")}
 NULL_SENTINELS = ("NULL", "NAN", "NONE", "N/A")
 SPONSOR_LABEL = "Financial Sponsor"
 PRIVATE_LABEL = "Private"
@@ -63,9 +64,8 @@ def _business_days_violation() -> Column:
             & (F.abs(F.col("days_to_close") - bd) > BUSINESS_DAY_TOLERANCE))
 
 
-def _id_format_violation() -> Column:
-    bad = [F.col(c).isNotNull() & ~F.col(c).rlike(p) for c, p in ID_PATTERNS.items()]
-    return bad[0] | bad[1] | bad[2]
+def _id_format(*columns: str) -> Callable[[], Column]:
+    return lambda: reduce(or_, [F.col(c).isNotNull() & ~F.col(c).rlike(ID_PATTERNS[c]) for c in columns])
 
 
 def _percentile_order_violation() -> Column:
@@ -81,14 +81,6 @@ def _revenue_per_head_violation() -> Column:
     return (F.col("employee_count") > 0) & F.col("ltm_revenue_mm").isNotNull() & ~per_head.between(lo, hi)
 
 
-def _multiple_violation() -> Column:
-    out = F.lit(False)
-    for kind, (lo, hi) in MULTIPLE_BY_DEAL_TYPE.items():
-        out = out | ((F.col("deal_type") == kind) & F.col("ev_ebitda_multiple").isNotNull()
-                     & ~F.col("ev_ebitda_multiple").between(lo, hi))
-    return out
-
-
 def null_sentinel_violation(columns: list[str]) -> Column:
     hits = [F.upper(clean_str(F.col(c))).isin(list(NULL_SENTINELS)) for c in columns]
     out = hits[0]
@@ -132,7 +124,9 @@ DOCUMENTED = CheckSuite([
     RuleCheck("chk_percentile_order", "sector_multiples", _percentile_order_violation),
     UniqueCheck("chk_unique_fiscal_grain", "acquirer_financials", ("acquirer_id", "fiscal_year")),
     UniqueCheck("chk_unique_benchmark_grain", "sector_multiples", ("sector", "fiscal_year", "fiscal_quarter")),
-    RuleCheck("chk_id_format", "transactions", _id_format_violation),
+    RuleCheck("chk_id_format", "transactions", _id_format("transaction_id", "target_id", "acquirer_id")),
+    RuleCheck("chk_id_format_acquirers", "acquirers", _id_format("acquirer_id")),
+    RuleCheck("chk_id_format_targets", "targets", _id_format("target_id")),
     MatchCheck("chk_sponsor_in_financials", "acquirers", ("acquirer_id",), "acquirer_financials",
                ("acquirer_id",), row_filter=lambda: F.col("acquirer_type") == SPONSOR_LABEL),
     RuleCheck("chk_business_days", "transactions", _business_days_violation, WARN),
@@ -147,7 +141,8 @@ DOCUMENTED = CheckSuite([
                     row_filter=lambda: _both("deal_type", "financing_type")),
     ForeignKeyCheck("chk_sub_sector_of_sector", "targets", ("sector", "sub_sector"), "ref_sector_tree",
                     ("sector", "sub_sector"), severity=WARN, row_filter=lambda: _both("sector", "sub_sector")),
-    RuleCheck("chk_multiple_by_deal_type", "transactions", _multiple_violation, WARN),
+    IntervalCheck("chk_multiple_by_deal_type", "transactions", "deal_type", "ev_ebitda_multiple",
+                  "ref_multiple_bounds", "deal_type", severity=WARN),
     MatchCheck("chk_private_has_no_market_cap", "acquirer_financials", ("acquirer_id",), "acquirers",
                ("acquirer_id",), row_filter=lambda: F.col("market_cap_mm").isNotNull(),
                ref_filter=lambda: F.col("ticker_or_status") == PRIVATE_LABEL),

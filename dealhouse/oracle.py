@@ -480,6 +480,10 @@ CHECK_SQL: dict[str, tuple[list[str], str]] = {
         "chk_id_format", "transactions",
         "stg_transactions WHERE NOT regexp_matches(transaction_id, '^TXN-[0-9]+$') "
         "OR NOT regexp_matches(target_id, '^TGT-[0-9]+$') OR NOT regexp_matches(acquirer_id, '^ACQ-[0-9]+$')")),
+    "chk_id_format_acquirers": (["stg_acquirers"], _verdict_sql(
+        "chk_id_format_acquirers", "acquirers", "stg_acquirers WHERE NOT regexp_matches(acquirer_id, '^ACQ-[0-9]+$')")),
+    "chk_id_format_targets": (["stg_targets"], _verdict_sql(
+        "chk_id_format_targets", "targets", "stg_targets WHERE NOT regexp_matches(target_id, '^TGT-[0-9]+$')")),
     "chk_sponsor_in_financials": (["stg_acquirers", "stg_acquirer_financials"], _verdict_sql(
         "chk_sponsor_in_financials", "acquirers",
         "stg_acquirers a WHERE a.acquirer_type = 'Financial Sponsor' AND EXISTS "

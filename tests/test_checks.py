@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealhouse.operators.quality import ForeignKeyCheck, MatchCheck, RuleCheck, UniqueCheck, run_checks
+from dealhouse.operators.quality import ForeignKeyCheck, IntervalCheck, MatchCheck, RuleCheck, UniqueCheck, run_checks
 from dealhouse.operators.rules import ALL_CHECKS, CODED, business_days_between
 
 
@@ -83,9 +83,9 @@ def test_every_check_finds_its_violation(spark):
             dict(transaction_id="TXN-2", announce_date=d(2020, 1, 6), close_date=d(2020, 2, 6)),
             dict(transaction_id="TXN-3", announce_date=d(2020, 1, 6), close_date=d(2020, 2, 6), days_to_close=400)],
         "targets": [dict(target_id="TGT-1", sector="S", sub_sector="of another", employee_count=1, ltm_revenue_mm=900.0),
-                    dict(target_id="TGT-1", employee_count=-1)],
+                    dict(target_id="TGT-1", employee_count=-1), dict(target_id="7")],
         "acquirers": [dict(acquirer_id="ACQ-1", acquirer_type="Financial Sponsor", headquarters="Nowhere",
-                           ticker_or_status="Private"), dict(acquirer_id="ACQ-1", annual_revenue_mm=-1.0)],
+                           ticker_or_status="Private"), dict(acquirer_id="ACQ-1", annual_revenue_mm=-1.0), dict(acquirer_id="B-1")],
         "acquirer_financials": [dict(acquirer_id="ACQ-1", fiscal_year=1900, market_cap_mm=1.0),
                                 dict(acquirer_id="ACQ-1", fiscal_year=1900, revenue_mm=-1.0)],
         "sector_multiples": [dict(sector="S", fiscal_year=2020, fiscal_quarter="Q1", p25_ev_ebitda=3.0, median_ev_ebitda=2.0),
@@ -97,7 +97,7 @@ def test_every_check_finds_its_violation(spark):
         tables[name] = spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in given], schema)
     got = verdicts(run_checks(tables, ALL_CHECKS.checks))
     assert {k for k, (n, passed) in got.items() if not n or passed} == set()
-    assert len(got) == len(ALL_CHECKS.checks) == 30
+    assert len(got) == len(ALL_CHECKS.checks) == 32
 
 
 def test_all_checks_read_a_table_once_and_meet_in_one_keyed_exchange(spark, tmp_path):
@@ -117,3 +117,34 @@ def test_all_checks_read_a_table_once_and_meet_in_one_keyed_exchange(spark, tmp_
     assert plan.count("Aggregate [check") == 2              # by (check, key), then by check
     empty = {n: d.limit(0) for n, d in tables.items()}
     assert set(verdicts(run_checks(empty, checks)).values()) == {(0, True)}
+
+
+def test_interval_check_equals_brute_force(spark):
+    rng = random.Random(3)
+    rules = [("a", 0.0, 2.0), ("a", 5.0, 7.0), ("a", 6.0, 6.5), ("b", None, 1.0), ("c", 9.0, None), ("c", 9.0, None),
+             (None, 0.0, 1.0), ("e", 3.0, 1.0)]
+    # a hot key, exact ends, NULL keys and values, a key without rules, an interval that holds nothing
+    rows = [(rng.choice("aaaaabcde"), rng.choice([0.0, 2.0, 5.0, 7.0, 9.0, rng.uniform(-1, 12)])) for _ in range(500)]
+    rows += [(None, 3.0), ("a", None), ("a", 3.0), ("a", 3.0)]
+
+    def broken(key, value):
+        mine = [(lo, hi) for k, lo, hi in rules if k == key and k is not None]
+        return value is not None and bool(mine) and not any(
+            (lo is None or value >= lo) and (hi is None or value <= hi) for lo, hi in mine)
+
+    t = spark.createDataFrame(rows, "kind string, x double").withColumn("lo", F.lit("clash"))
+    text = [(k, None if lo is None else str(lo), None if hi is None else str(hi)) for k, lo, hi in rules]
+    check = IntervalCheck("i", "t", "kind", "x", "r", "kind")
+    for r in (spark.createDataFrame(rules, "kind string, lo double, hi double"),
+              spark.createDataFrame(text, "kind string, lo string, hi string")):
+        got = verdicts(run_checks({"t": t, "r": r}, [check, RuleCheck("n", "t", lambda: F.col("x").isNull())]))
+        want = sum(broken(*row) for row in rows)
+        assert 0 < want < len(rows) and got == {("i", "t"): (want, False), ("n", "t"): (1, False)}
+    assert verdicts(run_checks({"t": t, "r": r.limit(0)}, [check])) == {("i", "t"): (0, True)}
+
+
+def test_id_formats_of_each_table(spark):
+    acquirers = spark.createDataFrame([("ACQ-1",), ("TGT-1",), ("ACQ-",), (None,)], "acquirer_id string")
+    targets = spark.createDataFrame([("TGT-7",), (" TGT-7",)], "target_id string")
+    checks = [ALL_CHECKS.get("chk_id_format_acquirers"), ALL_CHECKS.get("chk_id_format_targets")]
+    assert [v for v, _ in sorted(verdicts(run_checks({"acquirers": acquirers, "targets": targets}, checks)).values())] == [1, 2]
