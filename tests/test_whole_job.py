@@ -36,3 +36,8 @@ def sf(spark):
 def test_the_fact_has_deals_of_any_year_and_without_one(spark, sf):
     years = {r["transaction_id"]: r["deal_year"] for r in REGISTRY["fct_transactions"](spark, sf).collect()}
     assert years == {"TXN-3": 1996, "TXN-228": 2525, "TXN-232": None}
+
+
+def test_the_export_counts_deals_of_any_year(spark, sf):
+    counts = {r["table_name"]: r["row_count"] for r in REGISTRY["export_csv_with_manifest"](spark, sf).collect()}
+    assert counts["fct_transactions"] == 3
