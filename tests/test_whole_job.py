@@ -41,3 +41,56 @@ def test_the_fact_has_deals_of_any_year_and_without_one(spark, sf):
 def test_the_export_counts_deals_of_any_year(spark, sf):
     counts = {r["table_name"]: r["row_count"] for r in REGISTRY["export_csv_with_manifest"](spark, sf).collect()}
     assert counts["fct_transactions"] == 3
+
+
+def test_lines_travel_once_to_their_order(spark, sf):
+    deals = REGISTRY["raw_transactions"](spark, sf)
+    plan = deals._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" in plan and ", l_suppkey" not in plan.split("Exchange hashpartitioning(l_orderkey")[1][:30]
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    got = {r["transaction_id"]: r for r in deals.collect()}["TXN-3"]
+    assert (got["target_id"], got["num_bidders"], got["financing_type"], got["ev_ebitda_multiple"]) == ("TGT-1", "2", "A", "2.3")
+
+
+def test_quartiles_of_both_multiples(spark, sf):
+    (row,) = REGISTRY["raw_sector_multiples"](spark, sf).collect()
+    assert (row["median_ev_ebitda"], row["median_ev_revenue"], row["p75_ev_ebitda"], row["p75_ev_revenue"], row["deal_count"]) \
+        == ("1.50", "0.38", "2.50", "0.63", "4")
+
+
+@pytest.mark.parametrize("name", ["chk_csv_width", "export_csv_with_manifest"])
+def test_deals_sent_in_parts_are_derived_once(spark, sf, monkeypatch, name):
+    from dealhouse.sources import csv
+
+    sent, write = [], csv.write_csv
+
+    def recorded(df, path, mode="overwrite"):
+        sent.append((path.rsplit("/", 1)[-1], {f.rsplit("/", 2)[-2] for f in df.inputFiles()}))
+        return write(df, path, mode)
+
+    monkeypatch.setattr(csv, "write_csv", recorded)
+    REGISTRY[name](spark, sf).collect()
+    # The benchmarks of the exported fact are the one input that is still read from the lines.
+    assert not [to for to, tables in sent if "lineitem.parquet" in tables and to != "fct_transactions"]
+    assert len(sent) == (15 if name == "chk_csv_width" else 3)
+
+
+def test_records_of_a_large_file_stay_spread(spark):
+    from pyspark.sql import functions as F
+
+    from dealhouse.sources.deal_files import AT, FILE, LINE, split_rows
+
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(0, 4000, 1, 4).select(
+            F.lit("f").alias(FILE), F.col("id").alias(AT), F.when(F.col("id") == 0, F.array(F.lit("b"), F.lit("A "))).otherwise(
+                F.array(F.lit("x"), F.col("id").cast("string"))).alias("fields"),
+            F.when(F.col("id") % 10 == 9, F.lit("x,y,z")).alias(LINE))
+        good, bad = split_rows(rows, ["a", "b"])
+        parts = good.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) == 4 and sum(r["count"] for r in parts) == 3599 and bad.count() == 400
+        assert good.filter("a = cast(_at as string) AND b = 'x'").count() == 3599
+    finally:
+        from dealhouse.session import apply_conf
+        apply_conf(spark)
