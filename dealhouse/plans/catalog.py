@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from dealhouse.operators import staging as stg
 from dealhouse.operators.merge import scd1_merge
+from dealhouse.operators.sequence import SMALL
 from dealhouse.plans import marts
 
 LAYERS = ("raw", "staging", "analytics")
@@ -84,8 +85,12 @@ class CatalogStore:
             self.write(layer, table, source.select(*columns))
             return
         path = f"{self.root}/_merge/{uuid.uuid4().hex}"
-        scd1_merge(self.read(layer, table), source, keys, columns).write.parquet(path)
-        self.write(layer, table, self.spark.read.parquet(path))
+        rows = source.select(*columns)
+        rows.write.parquet(f"{path}/source")  # the merge reads it twice
+        source = self.spark.read.schema(rows.schema).parquet(f"{path}/source")
+        merged = scd1_merge(self.read(layer, table), source, keys, columns)
+        merged.write.parquet(f"{path}/next")
+        self.write(layer, table, self.spark.read.schema(merged.schema).parquet(f"{path}/next"))
 
     def reset_layers(self) -> None:
         for layer in LAYERS:
@@ -106,10 +111,11 @@ def refresh(store: CatalogStore, sources: Mapping[str, DataFrame], run_ts: dt.da
         store.merge("analytics", dim, marts.dimension_rows(staged, columns, run_ts), [key], columns)
     deals, targets, buyers = (store.read(*t) for t in (
         ("staging", "transactions"), ("analytics", "dim_target"), ("analytics", "dim_acquirer")))
-    store.merge("analytics", "dim_acquirer_activity", marts.dim_acquirer_activity(deals, targets, buyers, run_ts),
+    store.merge("analytics", "dim_acquirer_activity", marts.dim_acquirer_activity(deals, targets, buyers, run_ts, SMALL),
                 ["acquirer_id"], marts.ACTIVITY_COLUMNS)
     store.write("analytics", "rpt_sector_trend_summary", marts.rpt_sector_trend_summary(deals, targets, run_ts.date()))
-    store.write("analytics", "fct_target_deal_sequence", marts.fct_target_deal_sequence(deals, targets, run_ts.date()))
+    store.write("analytics", "fct_target_deal_sequence",
+                marts.fct_target_deal_sequence(deals, targets, run_ts.date(), SMALL))
     store.replace_partitions("analytics", "fct_transactions", marts.fct_transactions(
         deals, targets, buyers, store.read("staging", "sector_multiples"),
         store.read("staging", "acquirer_financials"), run_ts.date()), "deal_year", list(years))

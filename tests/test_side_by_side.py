@@ -1,4 +1,4 @@
-"""Independent steps run at once, and models of ordinary groups take one step in the stream too."""
+"""Independent steps run at once, and models of ordinary groups take one step in the stream and the catalog too."""
 import datetime as dt
 import threading
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dealhouse.operators import sequence
-from dealhouse.plans import marts, pipeline, states
+from dealhouse.plans import catalog, marts, pipeline, states
 from dealhouse.plans.warehouse import Warehouse
 from dealhouse.session import scratch_dir
 
@@ -71,3 +71,49 @@ def test_published_models_take_ordinary_groups_in_one_step(spark, monkeypatch):
     states.publish(wh, dt.datetime(2025, 1, 1))
     assert sizes == [sequence.SMALL] and sorted(df.count() for df in made) == [1, 3]
     assert wh.noted(states.PENDING) == {}
+
+
+def test_catalog_models_take_ordinary_groups_in_one_step(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    asked = {}
+
+    def timeline(*a):
+        asked["timeline"] = a[3:]
+        raise Stop
+
+    monkeypatch.setattr(marts, "dim_acquirer_activity", lambda *a: asked.update(rollup=a[4:]))
+    monkeypatch.setattr(marts, "fct_target_deal_sequence", timeline)
+    monkeypatch.setattr(marts, "rpt_sector_trend_summary", lambda *a: None)
+    monkeypatch.setattr(marts, "dimension_rows", lambda *a: None)
+
+    class Store:
+        create_namespaces = write = merge = read = lambda self, *a: None
+
+    monkeypatch.setattr(catalog.stg, "transactions_quarantine", lambda raw: None)
+    with pytest.raises(Stop):
+        catalog.refresh(Store(), {}, dt.datetime(2025, 1, 1))
+    assert asked == {"rollup": (sequence.SMALL,), "timeline": (sequence.SMALL,)}
+
+
+def test_a_merge_into_a_catalog_table_makes_its_source_once(spark):
+    store = catalog.CatalogStore(spark, scratch_dir(spark, "catalog"), "once_")
+    store.create_namespaces()
+    try:
+        made = spark.sparkContext.accumulator(0)
+
+        def counted(rows):
+            for r in rows:
+                made.add(1)
+                yield r
+
+        first = spark.createDataFrame([("a", "1", "h1")], "k string, v string, row_content_hash string")
+        second = spark.createDataFrame(spark.createDataFrame([("a", "2", "h2"), ("b", "1", "h1")]).rdd.mapPartitions(counted), first.schema)
+        columns = ["k", "v", "row_content_hash"]
+        store.merge("analytics", "d", first, ["k"], columns)
+        store.merge("analytics", "d", second, ["k"], columns)
+        assert sorted(tuple(r) for r in store.read("analytics", "d").collect()) == [("a", "2", "h2"), ("b", "1", "h1")]
+        assert made.value == 2
+    finally:
+        store.reset_layers()
